@@ -72,7 +72,7 @@ def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
     key = f"{base}"
     if key not in _powers or _powers[key].shape[1] < n:
-        size = max(1 << 20, 1 << (n - 1).bit_length())
+        size = 1 << max(16, (n - 1).bit_length())
         out = np.ones((2, size), np.uint64)
         for row, b in enumerate((base, pow(base, -1, 2**64))):
             done, step = 1, b
@@ -100,7 +100,7 @@ def prefix_sums(data: np.ndarray, table: np.ndarray = _BYTE) -> tuple[np.ndarray
     return sums, inverse
 
 
-def text_blocks(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def text_blocks(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` bytes together; a longer text stands alone."""
     start = size = 0
     for i, t in enumerate(texts):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import join_small, mixed, prefix_sums, stored, unique_documents
 
 #: Bytes of a repeat at least; of an anchor; of a text that a task takes at once; occurrences that one task compares.
-LEAST, GRAM, PIECE, GROUP = 100, 32, 4 << 20, 50_000
+LEAST, GRAM, PIECE, GROUP = 100, 32, 1 << 20, 50_000
 _MASK = np.uint64((1 << 26) - 1)
 
 
