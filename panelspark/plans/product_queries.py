@@ -126,7 +126,7 @@ X_SQL = """SELECT o_orderkey AS entity, CAST(try_strptime(us, '%m/%d/%Y') AS DAT
 try_cast(replace(replace(price, '$', ''), ',', '') AS DOUBLE) AS money, CAST(year(DATE '1998-12-01') - year(od) - CASE WHEN (month(od), day(od)) > (12, 1) THEN 1 ELSE 0 END AS INT) AS age,
 {money} AS money_band, CASE WHEN o_orderpriority LIKE '1%' THEN 'urgent' WHEN o_orderpriority LIKE '2%' THEN 'high' ELSE 'other' END AS rank_label,
 CAST(CAST((o_orderdate AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS DATE) AS VARCHAR) AS local_date, strftime((o_orderdate AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago', '%b %d, %I:%M %p') AS local_label,
-lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(length(CAST(o_orderkey AS VARCHAR)), 4) AS INT), '0') AS padded, round_even(o_totalprice / 7, 1) AS half_even,
+lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(length(CAST(o_orderkey AS VARCHAR)), 4) AS INT), '0') AS padded, round_even(o_orderkey / 4, 1) AS half_even,
 CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'unknown' END AS looked_up
 FROM (SELECT *, CAST(o_orderdate AS DATE) AS od, CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' ELSE strftime(o_orderdate, '%m/%d/%Y') END AS us, CASE WHEN o_orderkey % 5 = 0 THEN '1998' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || 'T00:00' END AS iso,
 '$' || format('{{:,}}', CAST(floor(o_totalprice) AS BIGINT)) AS price FROM orders)""".format(money=MONEY.format("o_totalprice"))
@@ -152,7 +152,7 @@ def x1_to_x20_scalars(spark: SparkSession, d: str) -> DataFrame:
         S.local_date(F.col("at"), "America/Chicago").cast("string").alias("local_date"),
         S.local_label(F.col("at"), "America/Chicago").alias("local_label"),
         S.padded_id(F.col("o_orderkey"), 4).alias("padded"),
-        F.bround(F.col("o_totalprice") / 7, 1).alias("half_even"),
+        F.bround(F.col("o_orderkey") / 4, 1).alias("half_even"),
         S.looked_up(F.col("o_orderstatus"), {"F": "finished", "O": "open"}, "unknown").alias("looked_up"),
     )
 
