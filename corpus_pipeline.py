@@ -41,13 +41,13 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Texts without the bytes that stand in an earlier 100-byte string; documents of which nothing is left go.
 
     A character that is cut in two goes as a whole."""
-    spans = stored(suffix_dedup.repeated_spans(docs), "spans")
+    spans, columns = stored(suffix_dedup.repeated_spans(docs), "spans"), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [suffix_dedup.kept_bytes((t or "").encode(), s).decode(errors="ignore") for t, s in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True)]
             text = pa.array(texts, pa.string())
-            cols = {n: text if n == "text" else pa.array(list(map(len, texts)), b.schema.field(n).type) if n == "n_chars" else b.column(n) for n in docs.columns}
+            cols = {n: text if n == "text" else pa.array(list(map(len, texts)), b.schema.field(n).type) if n == "n_chars" else b.column(n) for n in columns}
             yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
     n = spans.count()
