@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import array
+import functools
+import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -11,35 +15,62 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 WINDOW = 2048
-#: Words whose ids a task remembers; then it starts anew.
-REMEMBERED = 400_000
+#: Stretches whose ids a worker remembers, and how many more it makes before it forgets them for newer ones.
+REMEMBERED, STALE = 500_000, 5_000_000
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LETTERS_FIRST = re.compile(r"([^\W\d_]+)([!-@\[-`{-~].*)", re.S)
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
-class WordTokens:
-    """Ids of a text by a tokenizer whose normaliser and splitter never look across a space or a line feed.
+class Words(dict):
+    """Ids, as little-endian bytes, of stretches between spaces and line feeds, made by the tokenizer when asked first.
 
-    Each distinct stretch between spaces and line feeds is encoded by the tokenizers library once and remembered."""
+    Letters before the first ASCII sign of a stretch are a stretch of their own: the tokenizer's splitter cuts there
+    too, so `word,` and `word` share their letters, and ASCII letters are looked up in lower case."""
 
     def __init__(self, file: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known = Tokenizer.from_file(file), {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(file)
+        self.model = self.tokenizer.model
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.table = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100) if c != 0xF7}
+        self.parts: dict[str, bytes] = {}
+        self.made = 0
+
+    def part(self, text: str) -> bytes:
+        latin = LATIN.fullmatch(text)
+        text = text.lower() if latin else text
+        if (got := self.parts.get(text)) is None:
+            ids = [t.id for t in self.model.tokenize(text.translate(self.table))] if latin else self.tokenizer.encode(text, add_special_tokens=False).ids
+            got = array.array("i", ids).tobytes()
+            if len(self.parts) < REMEMBERED:
+                self.parts[text] = got
+        return got
+
+    def __missing__(self, word: str) -> bytes:
+        self.made += 1
+        if self.made > STALE:
+            self.made = 0
+            self.clear()
+            self.parts.clear()
+        m = LETTERS_FIRST.fullmatch(word)
+        got = self.part(m[1]) + self.part(m[2]) if m else self.part(word)
+        if len(self) < REMEMBERED:
+            self[word] = got
+        return got
 
     def ids(self, text: str | None) -> np.ndarray:
-        words = (text or "").replace("\n", " ").split(" ")
-        known = self.known
-        if new := [w for w in set(words) if w not in known]:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<i4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4")
+        return np.frombuffer(b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" "))), "<i4")
+
+
+@functools.cache
+def words_of(file: str) -> Words:
+    """One per worker process and file: a worker keeps what it has met from task to task."""
+    return Words(file)
 
 
 class SumOfSquares:
@@ -110,7 +141,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, e
     packed like others; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, made = WordTokens(tokenizer_file), []
+        tokens, made = words_of(tokenizer_file), []
         number = TaskContext.get().partitionId() << 33
 
         def emit(items: list) -> None:
