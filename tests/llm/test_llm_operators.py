@@ -9,10 +9,10 @@ import zlib
 
 import numpy as np
 import pytest
+import public_tokenizers as P
 from pyspark.sql import functions as F
 
-P = pytest.importorskip("public_tokenizers")
-from panelspark.llm import byte_bpe, common, gif_media, html_extract, itq_neardup, jaccard_join, language_id, packing, sharding, suffix_dedup, url_filters  # noqa: E402
+from panelspark.llm import byte_bpe, common, gif_media, html_extract, itq_neardup, jaccard_join, language_id, packing, sharding, suffix_dedup, url_filters
 
 SF = "/root/testdata/sf0.001"
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}

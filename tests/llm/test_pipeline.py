@@ -5,7 +5,8 @@ import random
 
 import pytest
 
-pipeline = pytest.importorskip("corpus_pipeline")
+import corpus_pipeline as pipeline
+
 SF = "/root/testdata/sf0.001"
 
 
