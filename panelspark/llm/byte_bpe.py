@@ -9,6 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 #: Characters of a text that tiktoken gets at once, at least; longer texts are cut at safe places only.
 PIECE = 1 << 16
 
@@ -55,7 +57,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str
                 raw.append(enc.decode_bytes(got))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(raw, pa.binary())], ["doc_id", "ids", "decoded"])
 
-    return docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return small_batches(docs).selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
 
 def encode_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,4 +79,4 @@ def encode_digests(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
                 raw_sha.append(raw.hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(raw_sha)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return small_batches(docs).selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

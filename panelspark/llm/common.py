@@ -46,11 +46,21 @@ def join_small(left: DataFrame, right: DataFrame, on: str, how: str, rows: int,
     return left.join(F.broadcast(right) if rows <= limit else right, on, how)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, with Arrow batches of 2,000 rows instead of Spark's default of 10,000, as its texts can be long.
+
+    A number that the session names itself stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, "2000")
+    return df
+
+
 def unique_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with one row per id that is not null. Of rows that share an id the smallest text counts.
 
     Only ids are shuffled to see whether any is repeated; texts move only if one is."""
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
+    keyed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
     repeated = keyed.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return keyed.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else keyed
 

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 WIDTH = 192
 #: Rows of 192 samples in one frame.
 FRAME_ROWS = 256
@@ -220,7 +222,7 @@ def store_as_gif(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 made = [payload(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([n for n, _ in made], pa.int64()), pa.array([write_gif(p) for _, p in made], pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return small_batches(docs).selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def gif_features(media: DataFrame) -> DataFrame:

@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Labelled documents, and words of each, that the model is fitted on at most.
 TRAIN_DOCS, TRAIN_WORDS = 1500, 160
 #: Hashed features; words of one chain; remembered words of a task.
-FEATURES, CHAIN, REMEMBERED = 1 << 15, 256, 400_000
+FEATURES, CHAIN, REMEMBERED = 1 << 15, 256, 250_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -143,7 +145,8 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
         new = list({w for ws in words for w in ws})
     base = sum(len(x) for x in table)
     known.update(zip(new, range(base, base + len(new)), strict=True))
-    table[:] = [np.concatenate([*table, model.emissions(new).astype(np.float32)])] if new else table
+    made = [model.emissions(new[k : k + 4096]).astype(np.float32) for k in range(0, len(new), 4096)]
+    table[:] = [np.concatenate([*table, *made])] if new else table
     owner, starts, rows = [], [], []
     for i, ws in enumerate(words):
         if ws:
@@ -209,5 +212,5 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                         pred[i], score[i], n[i], switches[i] = model.labels[best], float(min(1.0, max(0.0, mean[best]))), len(marginal), int((likely[1:] != likely[:-1]).sum())
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pred), pa.array(score, pa.float64()), pa.array(n, pa.int64()), pa.array(switches, pa.int64())], ["doc_id", "held_out", "lang_pred", "score", "n_words", "switches"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, n_words long, switches long")

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .common import small_batches
+
 WINDOW = 2048
 #: Stretches whose ids a worker remembers, and how many more it makes before it forgets them for newer ones.
 REMEMBERED, STALE = 500_000, 5_000_000
@@ -173,5 +175,5 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, e
         yield batch()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-    out = docs.selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, SCHEMA)
+    out = small_batches(docs).selectExpr(f"cast(`{id_col}` as bigint) doc_id", f"`{text_col}` text").mapInArrow(run, SCHEMA)
     return out if with_ids else out.drop("ids")
