@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +47,22 @@ def join_small(left: DataFrame, right: DataFrame, on: str, how: str, rows: int,
     return left.join(F.broadcast(right) if rows <= limit else right, on, how)
 
 
+#: What a worker process keeps between tasks, by name, as functions that drop it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, drop: Callable[[], None]) -> None:
+    """Tell that this process keeps something under a name, and how to drop it."""
+    KEPT[name] = drop
+
+
+def drop_kept(but: str = "") -> None:
+    """A worker serves tasks of several operators: a task starts by dropping what other operators' tasks have kept."""
+    for name in [n for n in KEPT if n != but]:
+        KEPT.pop(name)()
+    pa.default_memory_pool().release_unused()
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """df, with Arrow batches of 2,000 rows instead of Spark's default of 10,000, as its texts can be long.
 
@@ -110,7 +127,7 @@ def prefix_sums(data: np.ndarray, table: np.ndarray = _BYTE) -> tuple[np.ndarray
     return sums, inverse
 
 
-def text_blocks(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def text_blocks(texts: list[bytes], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` bytes together; a longer text stands alone."""
     start = size = 0
     for i, t in enumerate(texts):

@@ -11,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import drop_kept, small_batches
 
 #: Labelled documents, and words of each, that the model is fitted on at most.
 TRAIN_DOCS, TRAIN_WORDS = 1500, 160
 #: Hashed features; words of one chain; remembered words of a task.
-FEATURES, CHAIN, REMEMBERED = 1 << 15, 256, 250_000
+FEATURES, CHAIN, REMEMBERED = 1 << 15, 256, 150_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -198,6 +198,7 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     model = fit_crf(sample) if sample else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         known: dict[str, int] = {}
         table: list[np.ndarray] = []
         for whole in batches:

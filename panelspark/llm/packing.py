@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import drop_kept, keeps, small_batches
 
 WINDOW = 2048
 #: Stretches whose ids a worker remembers, and how many more it makes before it forgets them for newer ones.
@@ -143,6 +143,8 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, e
     packed like others; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept("words")
+        keeps("words", words_of.cache_clear)
         tokens, made = words_of(tokenizer_file), []
         number = TaskContext.get().partitionId() << 33
 

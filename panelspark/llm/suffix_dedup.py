@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, mixed, prefix_sums, stored, unique_documents
+from .common import drop_kept, join_small, mixed, prefix_sums, stored, unique_documents
 
 #: Bytes of a repeat at least; of an anchor; of a text that a task takes at once; occurrences that one task compares.
-LEAST, GRAM, PIECE, GROUP = 100, 32, 1 << 20, 50_000
+LEAST, GRAM, PIECE, GROUP = 100, 32, 1 << 19, 50_000
 _MASK = np.uint64((1 << 26) - 1)
 
 
@@ -107,6 +107,7 @@ def contexts(docs: DataFrame, candidates: DataFrame, least: int) -> DataFrame:
     others stand later, so all their windows are repeats, and their context is null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for whole in batches:
             for k in range(0, whole.num_rows, 2000):
                 b = whole.slice(k, 2000)
@@ -200,6 +201,7 @@ def candidates_of(keyed: DataFrame, least: int, gram: int) -> tuple[DataFrame, D
     """(documents with their copies, rows to compare, copies): the steps before any comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
