@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, join_small, shingle_sets, stored, unique_documents
+from .common import components, drop_kept, join_small, shingle_sets, stored, unique_documents
 from .itq_neardup import merged
 
 #: Of 8 hash values, those whose shingles are counted over the corpus; documents of one block of a cluster.
@@ -38,6 +38,7 @@ def set_rows(docs: DataFrame, cut: np.uint64, percent: int) -> DataFrame:
     """(doc_id, n, shingles below the cut, digest of the whole set, low shingles) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
@@ -140,8 +141,10 @@ def jaccard_components(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
     keyed = unique_documents(docs, id_col, text_col)
     cut = np.uint64(counted << 61)
     sets = stored(set_rows(keyed, cut, percent), "sets")
-    reps = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    member = stored(sets.select("doc_id", "n", "digest").join(reps, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
+    # only digests that occur again need a look-up, so a hot group of copies never meets in one task of a join
+    reps = stored(sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").select("digest", "rep"), "reps")
+    member = join_small(sets.select("doc_id", "n", "digest"), reps, "digest", "left", 2 * reps.count())
+    member = stored(member.select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "members")
     copies = member.where("doc_id <> rep").select("doc_id")
     kept = join_small(sets.where("n > 0").select("doc_id", "n", "low"), copies, "doc_id", "left_anti", copies.count())
     each = kept.select("doc_id", F.explode("low").alias("h"))
@@ -188,6 +191,7 @@ def with_sets(rows: DataFrame) -> DataFrame:
     """(doc_id, cluster, blocks, mine, shingles) from rows with a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
