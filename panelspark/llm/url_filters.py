@@ -6,6 +6,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Labelled rows that rules are mined from at most.
 MINED_ROWS = 200_000
 BAD, GOOD = "label=block", "label=allow"
@@ -58,9 +60,12 @@ def mine_rules(urls: DataFrame, min_support: float = 0.005, min_confidence: floa
     rules = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(sample).associationRules
     rules = rules.where("lift > 1").where(F.element_at("consequent", 1).isin(BAD, GOOD) & ~F.array_contains("antecedent", BAD) & ~F.array_contains("antecedent", GOOD))
     rules = rules.select(F.array_sort("antecedent").alias("antecedent"), F.regexp_replace(F.element_at("consequent", 1), "label=", "").alias("verdict"), "confidence", "support")
-    short = rules.select(F.col("antecedent").alias("a"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
+    rules = stored(rules, "rules")
+    sample.unpersist()
+    short = rules.select(F.element_at("antecedent", 1).alias("item"), F.col("antecedent").alias("a"), F.col("verdict").alias("v"), F.col("confidence").alias("c"))
     implied = (F.size("a") < F.size("antecedent")) & (F.col("v") == F.col("verdict")) & (F.col("c") >= F.col("confidence")) & (F.size(F.array_except("a", "antecedent")) == 0)
-    return rules.join(short, implied, "left_anti")
+    longer = rules.select("*", F.explode("antecedent").alias("item")).join(short, "item").where(implied).select("antecedent", "verdict").distinct()
+    return rules.join(longer, ["antecedent", "verdict"], "left_anti")
 
 
 def judge_urls(pages: DataFrame, rules: dict[str, str], labels: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", default: str = "allow", **mining) -> DataFrame:
