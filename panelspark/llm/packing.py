@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame
 from .common import drop_kept, keeps, small_batches
 
 WINDOW = 2048
+#: Ids that one Arrow batch of results holds, about.
+BATCH_IDS = 1 << 20
 #: Stretches whose ids a worker remembers, and how many more it makes before it forgets them for newer ones.
-REMEMBERED, STALE = 500_000, 5_000_000
+REMEMBERED, STALE = 350_000, 5_000_000
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 LETTERS_FIRST = re.compile(r"([^\W\d_]+)([!-@\[-`{-~].*)", re.S)
 
@@ -146,17 +148,20 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, e
         drop_kept("words")
         keeps("words", words_of.cache_clear)
         tokens, made = words_of(tokenizer_file), []
-        number = TaskContext.get().partitionId() << 33
+        number, held = TaskContext.get().partitionId() << 33, 0
 
         def emit(items: list) -> None:
-            nonlocal number
+            nonlocal number, held
             offset = 0
             for doc, start, ids, n in items:
                 made.append((doc, start, len(ids), zlib.crc32(ids.tobytes()), n, number, offset, ids if with_ids else None))
                 offset += len(ids)
             number += 1
+            held += offset
 
         def batch() -> pa.RecordBatch:
+            nonlocal held
+            held = 0
             cols = list(zip(*made, strict=True)) or [[]] * 8
             made.clear()
             kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())]
@@ -171,7 +176,7 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, e
                     packer.put((doc, at, ids[at : at + window], len(ids)), window)
                 if whole < len(ids):
                     packer.put((doc, whole, ids[whole:].copy(), len(ids)), len(ids) - whole)
-                if len(made) >= 20_000:
+                if len(made) >= 20_000 or with_ids and held >= BATCH_IDS:
                     yield batch()
         packer.close()
         yield batch()
