@@ -42,7 +42,7 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def join_small(left: DataFrame, right: DataFrame, on: str, how: str, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join with a side whose number of rows has been counted: broadcast up to the limit, shuffled beyond it."""
     return left.join(F.broadcast(right) if rows <= limit else right, on, how)
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, small_batches
+from .common import BROADCAST_ROWS, join_small, small_batches, stored
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(/?)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -79,74 +80,144 @@ def read_blocks(page: str) -> list[tuple[str, bool, bool, str]]:
     return out
 
 
+def token_of(path: str, words: str) -> int:
+    """A block's token: 64 bits of its path and text."""
+    return int.from_bytes(blake2b(f"{path}\0{words}".encode(errors="surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def host_of(url_col: str) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), "://([^/?#]*)", 1))
+
+
 def page_tokens(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(host, page_id, token, n): how often each block token (path and text hash) occurs on each page."""
+    """(host, row, token, pos): every block of every different page in page order, article blocks included.
+
+    Pages of a host with the same blocks count once, so copies don't make a template. `row` numbers the rows of pages:
+    repeated and null ids are pages of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            host, page, path, text = [], [], [], []
-            for i, h, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                for where, main, _, words in read_blocks(source or ""):
-                    if not main:
-                        host.append(h)
-                        page.append(i)
-                        path.append(where)
-                        text.append(words)
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(page, pa.int64()), pa.array(path, pa.string()), pa.array(text, pa.string())], ["host", "page_id", "path", "words"])
-
-    host = F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), "://([^/?#]*)", 1)
-    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.lower(host).alias("host"), F.col(html_col).alias("html")).select("page_id", "host", "html")
-    return rows.mapInArrow(run, "host string, page_id long, path string, words string").groupBy("host", "page_id", "path", F.xxhash64("path", "words").alias("token")).agg(F.count("*").alias("n"))
+            tokens = [[token_of(path, words) for path, _, _, words in read_blocks(source or "")] for source in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(tokens, pa.list_(pa.int64()))], ["row", "host", "tokens"])
+
+    rows = small_batches(pages).select(F.monotonically_increasing_id().alias("row"), host_of(url_col).alias("host"), F.col(html_col).alias("html"))
+    seen = stored(rows.mapInArrow(run, "row long, host string, tokens array<long>"), "tokens")
+    first = seen.groupBy("host", F.xxhash64("tokens").alias("copy")).agg(F.min_by("tokens", "row").alias("tokens"), F.min("row").alias("row"))
+    return first.select("host", "row", F.posexplode("tokens").alias("pos", "token"))
+
+
+def nest_page(seen: list[dict], crossed: set[int], parents: dict[int, set[tuple[int, int]]]) -> None:
+    """Walk the template tokens of a page with a stack of open classes. Of two classes that cross, the one on fewer
+    pages (then of fewer tokens) goes to `crossed`; `parents` gets the slots, (class, place before), that classes
+    stand in. The class of tokens that are once on every page holds the page's begin and end and is always open."""
+    stack: list[list] = [[0, 0, -1, (1 << 62, 0, 0)]]  # class, its last place, place now, rank
+    for t in seen:
+        if t["root"]:
+            crossed.update(x[0] for x in stack[1:])
+            del stack[1:]
+            stack[0][2] = t["place"]
+            continue
+        if t["class"] in crossed:
+            continue
+        at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == t["class"]), 0)
+        if not at:
+            parents.setdefault(t["class"], set()).add((stack[-1][0], stack[-1][2]))
+            if t["place"] < t["last"]:
+                stack.append([t["class"], t["last"], t["place"], (t["pages"], t["last"], t["class"])])
+            continue
+        while at < len(stack) - 1 and stack[-1][3] < stack[at][3]:
+            crossed.add(stack.pop()[0])
+        if at < len(stack) - 1:
+            crossed.add(stack.pop(at)[0])
+            continue
+        stack[at][2] = t["place"]
+        if t["place"] == t["last"]:
+            stack.pop()
 
 
 def deduce_templates(tokens: DataFrame, min_pages: int = 4, min_share: float = 0.5) -> DataFrame:
-    """Template tokens of each host: (host, token, class, pages, nested).
+    """Template tokens of each host: (host, token, class, pages, place, last, root).
 
     Tokens with the same occurrence vector over the host's pages form an equivalence class; the vector is kept as an
-    order-free digest of (page, count), so no list of pages is gathered. A class is valid if it occurs on at least
-    min_pages pages and min_share of the host's, and equally often on each of them (once: a fixed place). Valid
-    classes nest by their supports: `nested` is the number of valid classes of the host with a larger support."""
-    vectors = tokens.groupBy("host", "token").agg(F.count("*").alias("pages"), F.max("n").alias("most"), F.min("n").alias("least"), F.bit_xor(F.xxhash64("page_id", "n")).alias("class"))
-    size = tokens.select("host", "page_id").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    valid = vectors.where(F.col("pages") >= min_pages).join(size, "host").where((F.col("pages") >= min_share * F.col("of")) & (F.col("most") == F.col("least")))
-    classes = valid.select("host", "class", "pages").distinct()
-    nested = classes.withColumn("nested", F.rank().over(Window.partitionBy("host").orderBy(F.desc("pages"))) - 1)
-    return valid.select("host", "token", "class", "pages").join(nested.drop("pages"), ["host", "class"])
+    order-free digest of (page, count), so no list of pages is gathered. A class is valid if
+    - it occurs on at least min_pages pages and min_share of the host's and has two tokens or more, where the class of
+      tokens that are once on every page counts the page's begin and end too (`root`);
+    - its tokens come in one order on all pages, round by round if they repeat: `place` is the place in that order, a
+      token without a fixed one leaves the class;
+    - classes nest: none crosses another, and a class stands in the same slot of the same class on all pages. What
+      doesn't is dropped, and the rest is looked at again until nothing changes.
+    All steps are keyed by page or by (host, token); no task holds a host."""
+    tokens = stored(tokens, "occurrences")
+    counts = tokens.groupBy("host", "row", "token").agg(F.count("*").alias("n"))
+    vectors = counts.groupBy("host", "token").agg(F.count("*").alias("pages"), F.max("n").alias("most"), F.bit_xor(F.xxhash64("row", "n")).alias("class")).where(F.col("pages") >= min_pages)
+    size = tokens.groupBy("host", "row").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("of"))
+    often = vectors.join(size, "host").where(F.col("pages") >= min_share * F.col("of")).withColumn("root", (F.col("pages") == F.col("of")) & (F.col("most") == 1))
+    often = stored(often.drop("of", "most"), "vectors")
+    sizes = often.groupBy("host", "class").agg(F.count("*").alias("size"))
+    often = stored(often.join(sizes, ["host", "class"]).where("size >= 2 or root"), "classes")
+    met = stored(join_small(tokens, often, ["host", "token"], "inner", 4 * often.count()), "met")
+    rank = F.row_number().over(Window.partitionBy("host", "row", "class").orderBy("pos")) - 1
+    fixed = met.withColumn("place", rank % F.col("size")).groupBy("host", "token", "class", "pages", "root").agg(F.min("place").alias("place"), F.max("place").alias("other")).where("place = other").drop("other")
+    ends = fixed.groupBy("host", "class").agg(F.count("*").alias("size"), F.max("place").alias("last"))
+    template = stored(fixed.join(ends, ["host", "class"]).where("size >= 2 or root").drop("size"), "template")
+    places = met.select("host", "row", "pos", "token")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for host, seen in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                crossed: set[int] = set()
+                parents: dict[int, set[tuple[int, int]]] = {}
+                nest_page(seen, crossed, parents)
+                out += [(host, c, True, 0, 0) for c in crossed] + [(host, c, False, p, at) for c, slots in parents.items() for p, at in slots]
+            cols = list(zip(*out, strict=True)) or [[]] * 5
+            kinds = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], ["host", "class", "crossed", "parent", "at"])
+
+    while not template.where("not root").isEmpty():
+        walk = join_small(places, template, ["host", "token"], "inner", 4 * template.count())
+        pages = walk.groupBy("host", "row").agg(F.sort_array(F.collect_list(F.struct("pos", "class", "pages", "place", "last", "root"))).alias("seen"))
+        verdict = pages.select("host", "seen").mapInArrow(run, "host string, class long, crossed boolean, parent long, at long")
+        slots = F.array_size(F.collect_set(F.when(~F.col("crossed"), F.struct("parent", "at"))))
+        verdict = stored(verdict.groupBy("host", "class").agg(F.max("crossed").alias("crossed"), slots.alias("slots")), "nesting")
+        # crossing ones first: without them the others may stand in one slot
+        gone = verdict.where("crossed")
+        gone = verdict.where("slots > 1") if gone.isEmpty() else gone
+        if gone.isEmpty():
+            break
+        template = stored(template.join(gone.select("host", "class"), ["host", "class"], "left_anti"), "template")
+    return template
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row of pages.
 
-    A host's template is deduced first; on each page the blocks that are template tokens are fixed text, and what is
-    left are slots. Slots inside an article or main element are the text; a page without one keeps the slots that
-    stand in no menu, header, footer, sidebar, notice, advert, form or comment. Inside an article no block is taken
-    for template text, because articles may share passages. Blocks are joined by line feeds in page order.
+    A host's template is deduced first, from all blocks; on each page the blocks that are template tokens are fixed
+    text, inside an article too, and what stands between them are slots. Element and name rules then check the slots:
+    what stands in a menu, header, footer, sidebar, notice, advert, form or comment goes, and on a page with an
+    article or main element what stands outside it. An article of which the template leaves nothing is a text that
+    half of the host's pages share, and is kept. Blocks are joined by line feeds in page order.
 
     Null html: empty text. Null urls are pages of the host ''. Repeated ids keep their rows. A host's template holds
     few tokens (each is on half of its pages); templates are joined by host, which Spark splits when a host is hot."""
-    template = deduce_templates(page_tokens(pages, id_col, url_col, html_col)).groupBy("host").agg(F.collect_set("token").alias("template"))
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), "://([^/?#]*)", 1))
-    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
+    template = stored(deduce_templates(page_tokens(pages, id_col, url_col, html_col)).groupBy("host").agg(F.collect_set("token").alias("template")), "templates")
+    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
+    block = pa.struct([("token", pa.int64()), ("words", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            paths, texts, row = [], [], []
-            for i, source in enumerate(b.column(2).to_pylist()):
+            article, found = [], []
+            for source in b.column(2).to_pylist():
                 blocks = read_blocks(source or "")
                 inside = any(x[1] and not x[2] for x in blocks)
-                for path, main, away, text in blocks:
-                    if not away and main == inside:
-                        row.append(i)
-                        paths.append("" if inside else path)
-                        texts.append(text)
-            slots: list[list[tuple[str, str]]] = [[] for _ in range(b.num_rows)]
-            for i, p, t in zip(row, paths, texts, strict=True):
-                slots[i].append((p, t))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array([[{"path": p, "words": t} for p, t in s] for s in slots], pa.list_(pa.struct([("path", pa.string()), ("words", pa.string())])))], ["page_id", "url", "host", "slots"])
-
-    slots = rows.mapInArrow(run, "page_id long, url string, host string, slots array<struct<path string, words string>>")
+                article.append(inside)
+                found.append([{"token": token_of(path, words), "words": words} for path, main, away, words in blocks if not away and main == inside])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(article, pa.bool_()), pa.array(found, pa.list_(block))], ["page_id", "url", "host", "article", "blocks"])
+
+    found = rows.mapInArrow(run, "page_id long, url string, host string, article boolean, blocks array<struct<token long, words string>>")
     n = template.count()
-    joined = slots.join(F.broadcast(template) if n * 8 <= BROADCAST_ROWS // 8 else template, "host", "left")
-    kept = F.filter("slots", lambda s: (s["path"] == "") | F.col("template").isNull() | ~F.array_contains("template", F.xxhash64(s["path"], s["words"])))
-    text = F.array_join(F.transform(kept, lambda s: s["words"]), "\n")
+    joined = found.join(F.broadcast(template) if n * 8 <= BROADCAST_ROWS // 8 else template, "host", "left")
+    slots = F.when(F.col("template").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda s: ~F.array_contains("template", s["token"])))
+    slots = F.when(F.col("article") & (F.size(slots) == 0), F.col("blocks")).otherwise(slots)
+    text = F.array_join(F.transform(slots, lambda s: s["words"]), "\n")
     return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

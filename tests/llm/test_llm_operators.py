@@ -196,6 +196,26 @@ def test_template_text_without_an_article_is_left_out(spark):
     assert {r.text for r in html_extract.extract_main_text(pages).collect()} == {f"Story {i} begins\nand ends {i}" for i in range(9)}
 
 
+def test_template_is_ordered_nested_and_reaches_into_articles(spark):
+    page = "<html><body><p>Daily Paper</p><article><h1>Story {n}</h1><p>It begins {n}</p><div>Read also</div><p>and ends {n}</p><div>Subscribe now</div></article>{end}<p>All rights reserved</p></body></html>"
+    swap = ["<i>x</i><p>Left</p><p>Right</p>", "<i>y</i><p>Right</p><p>Left</p>"]
+    rows = [(i, f"http://p/{i}", page.format(n=i, end=swap[i % 2])) for i in range(10)]
+    rows += [(50 + i, f"http://copies/{i}", "<article><p>One text</p><p>in copies</p></article>") for i in range(6)]
+    # classes that cross: a b a b; the pages of the first two and the next two differ, so do their vectors
+    cross = "<p>top</p><p>a1</p>{b1}<p>a2</p>{b2}<p>text {n}</p>"
+    rows += [(100 + i, f"http://cross/{i}", cross.format(n=i, b1="<p>b1</p>" * (i < 6), b2="<p>b2</p>" * (i < 6)).replace("<p>a1</p>", "<p>a1</p>" * (i < 8)).replace("<p>a2</p>", "<p>a2</p>" * (i < 8))) for i in range(10)]
+    # tokens that repeat with the page's own count make a class, in rounds
+    rows += [(200 + i, f"http://list/{i}", "<p>top</p>" + "".join(f"<p>Name</p><p>item {i} {k}</p><p>Price</p>" for k in range(2 + i % 3))) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_main_text(pages).collect()}
+    assert all(got[i] == f"Story {i}\nIt begins {i}\nand ends {i}" for i in range(10))
+    assert all(got[50 + i] == "One text\nin copies" for i in range(6))
+    assert all(got[100 + i] == "\n".join(["b1", "b2"] * (i < 6) + [f"text {i}"]) for i in range(10))
+    assert all(got[200 + i] == "\n".join(f"item {i} {k}" for k in range(2 + i % 3)) for i in range(9))
+    template = html_extract.deduce_templates(html_extract.page_tokens(pages.where("page_id < 10"), "page_id", "url", "html"))
+    assert template.count() == 4 and template.where("root").count() == 4
+
+
 # --- 5 gif
 
 
