@@ -22,22 +22,28 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset", "head"}
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|footer|side-?bar|aside|widget|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|social|comments?|replies|disqus|respond|related|recommend\w*|login|search|pagination|pager|toolbar|copyright|legal)(?=$|[\s_-])", re.I)
-ARTICLE = re.compile(r"(?:^|[\s_-])(?:article|main|content|post|entry|story|body)(?=$|[\s_-])", re.I)
+# an article element with such a name is a reader's comment or a teaser; a page's state (comments-open) doesn't count
+TEASER = re.compile(r"(?:^|\s)(?:comments?|repl(?:y|ies)|respond|disqus|related|recommend\w*)(?:[-_](?!open|closed?|on|off|enabled|disabled|allowed)\w+)*(?=$|\s)", re.I)
 
 
 def read_blocks(page: str) -> list[tuple[str, bool, bool, str]]:
     """Blocks of a page in order: (path of open elements, inside an article or main, inside an aside, text).
 
-    Inline elements don't end a block; unclosed elements end with the element around them."""
-    out: list[tuple[str, bool, bool, str]] = []
-    stack: list[tuple[str, str, bool, bool]] = []
+    Inline elements don't end a block; unclosed elements end with the element around them. Whatever stands in an
+    element with an aside's name or role is inside an aside. An element that only has a word for one in its class or
+    id is one too, unless all articles and mains of the page stand in it: then the word tells the page's layout."""
+    out: list[tuple[str, bool, bool, tuple[int, ...], str]] = []
+    # name, and of the element with all around it: path, article or main, aside by element or role, asides by word
+    stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []
     parts: list[str] = []
+    layout: set[int] | None = None
+    named = 0
 
     def flush() -> None:
         text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            out.append(("/".join(x[1] for x in stack), any(x[2] for x in stack), any(x[3] for x in stack), text))
+            out.append((*(stack[-1][1:] if stack else ("", False, False, ())), text))
 
     at, n = 0, len(page)
     while at < n:
@@ -72,12 +78,26 @@ def read_blocks(page: str) -> list[tuple[str, bool, bool, str]]:
         elif stack and stack[-1][0] == "p":
             stack.pop()
         given = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3] or "")}
-        label = " ".join(given.get(k, "") for k in ("class", "id", "role")).strip()
-        main = name in ("article", "main") or given.get("role") in ("main", "article")
-        away = name in ASIDE or (not main and bool(label) and bool(NAMES.search(label)) and name != "body" and name != "html")
-        stack.append((name, name + ("." + SPACE.sub(".", label) if label else ""), main, away))
+        role, words = given.get("role", ""), f"{given.get('class', '')} {given.get('id', '')}".strip()
+        label = f"{words} {role}".strip()
+        main = name in ("article", "main") or role in ("main", "article")
+        _, path, inside, away, asides = stack[-1] if stack else ("", "", False, False, ())
+        by_word = False
+        if main:
+            by_word = bool(words) and (name == "article" or role == "article") and bool(TEASER.search(words))
+            main = not by_word
+            if main and not inside and not away:
+                layout = set(asides) if layout is None else layout & set(asides)
+        elif name != "body" and name != "html":
+            away = away or name in ASIDE or bool(role and NAMES.search(role))
+            by_word = bool(words) and not away and bool(NAMES.search(words))
+        if by_word:
+            named += 1
+            asides = (*asides, named)
+        stack.append((name, (path + "/" if stack else "") + name + ("." + SPACE.sub(".", label) if label else ""), inside or main, away, asides))
     flush()
-    return out
+    layout = layout or set()
+    return [(path, inside, away or any(x not in layout for x in asides), text) for path, inside, away, asides, text in out]
 
 
 def token_of(path: str, words: str) -> int:

@@ -216,6 +216,20 @@ def test_template_is_ordered_nested_and_reaches_into_articles(spark):
     assert template.count() == 4 and template.where("root").count() == 4
 
 
+@pytest.mark.parametrize("wrapper", ['<div class="content-sidebar-wrap"><main>', '<div class="page with-sidebar">', '<div id="page" class="menu-open"><div class="nav-wrap"><main>', '<div class="has-comments">', "<div>"])
+def test_a_word_of_the_layout_does_not_drop_the_article(wrapper):
+    page = wrapper + """<div class="sidebar"><p>Side</p></div><article class="post comments-open"><h1>Head</h1><p>Text</p><div class="share">Share</div></article>
+    <div class="related"><article><h2>Teaser</h2></article></div><article class="comment"><p>Reader</p></article><div id="comments"><article class="depth-1 comment-body"><p>Reader 2</p></article></div>"""
+    blocks = html_extract.read_blocks(page)
+    assert [words for _, main, away, words in blocks if main and not away] == ["Head", "Text"]
+    assert [words for _, _, away, words in blocks if away] == ["Side", "Share", "Teaser", "Reader", "Reader 2"]
+
+
+def test_asides_by_element_or_role_hold_their_articles():
+    page = '<aside><article><p>a</p></article></aside><div role="navigation"><article><p>b</p></article></div><div class="ad"><p>c</p></div><p>text</p>'
+    assert [(words, away) for _, _, away, words in html_extract.read_blocks(page)] == [("a", True), ("b", True), ("c", True), ("text", False)]
+
+
 # --- 5 gif
 
 
