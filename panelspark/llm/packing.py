@@ -6,6 +6,7 @@ import array
 import functools
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -31,7 +32,8 @@ class Words(dict):
     """Ids, as little-endian bytes, of stretches between spaces and line feeds, made by the tokenizer when asked first.
 
     Letters before the first ASCII sign of a stretch are a stretch of their own: the tokenizer's splitter cuts there
-    too, so `word,` and `word` share their letters, and ASCII letters are looked up in lower case."""
+    too, so `word,` and `word` share their letters, and ASCII letters are looked up in lower case. It doesn't cut after
+    a letter that its normalizer ends with a combining mark; such a stretch stays whole."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,6 +57,13 @@ class Words(dict):
                 self.parts[text] = got
         return got
 
+    def cuts_after(self, letters: str) -> bool:
+        """Whether the normalized letters end in a letter or number, so that a sign after them starts a new part."""
+        if LATIN.fullmatch(letters):
+            return True
+        ends = self.tokenizer.normalizer.normalize_str(letters)[-1:]
+        return bool(ends) and unicodedata.category(ends)[0] in "LN"
+
     def __missing__(self, word: str) -> bytes:
         self.made += 1
         if self.made > STALE:
@@ -62,7 +71,7 @@ class Words(dict):
             self.clear()
             self.parts.clear()
         m = LETTERS_FIRST.fullmatch(word)
-        got = self.part(m[1]) + self.part(m[2]) if m else self.part(word)
+        got = self.part(m[1]) + self.part(m[2]) if m and self.cuts_after(m[1]) else self.part(word)
         if len(self) < REMEMBERED:
             self[word] = got
         return got

@@ -136,6 +136,14 @@ def test_word_ids_are_the_tokenizers(text):
     assert words.ids(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_that_end_in_a_mark_keep_their_sign():
+    words = packing.words_of(BPE)
+    letters = [c for c in map(chr, range(0x30000)) if packing.LETTERS_FIRST.fullmatch(c + ",")]
+    texts = ["ALİ,", "TARİHİ.", "\u095d,", "\ufb2a."] + [f"{before}{c}{sign}" for before in ("", "a") for c in letters for sign in (",", ".)")]
+    wrong = [t for t, e in zip(texts, words.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True) if words.ids(t).tolist() != e.ids]
+    assert len(letters) > 100_000 and wrong == []
+
+
 # --- 3 byte-level BPE
 
 
