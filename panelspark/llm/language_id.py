@@ -8,15 +8,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_kept, small_batches
+from .common import drop_kept, join_small, small_batches, stored
 
-#: Labelled documents, and words of each, that the model is fitted on at most.
-TRAIN_DOCS, TRAIN_WORDS = 1500, 160
-#: Hashed features; words of one chain; remembered words of a task.
-FEATURES, CHAIN, REMEMBERED = 1 << 15, 256, 150_000
+#: Labelled documents, and words of each, that the model is fitted on at most; the documents are dealt equally to the
+#: languages, but no language gets fewer than LEAST_DOCS if it has them. Words are taken in stretches of STRETCH.
+TRAIN_DOCS, TRAIN_WORDS, LEAST_DOCS, STRETCH = 1500, 160, 20, 20
+#: Hashed features; words of one chain; remembered words of a task; scores (words x labels) that fitting holds at once.
+FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -117,14 +118,20 @@ def fit_crf(samples: list[tuple[str, list[str]]], rounds: int = 60, chain: int =
     k = len(labels)
     both = live[:, 1:]
     true_moves = np.bincount(gold[:, :-1][both] * k + gold[:, 1:][both], minlength=k * k).reshape(k, k)
-    truth = np.eye(k)[gold]
+    truth = np.eye(k)
+    at_once = max(1, FIT_SCORES // (chain * k))
     moments = [np.zeros_like(x) for x in (model.weights, model.weights, model.transitions, model.transitions)]
     total = len(flat)
     for r in range(1, rounds + 1):
         scores = np.add.reduceat(model.weights[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) * damp[:, None]
-        marginal, moves, _ = model.forward_backward(scores[word], lengths)
-        off = ((truth - marginal) * live[:, :, None]).reshape(-1, k)
-        each = np.stack([np.bincount(word.ravel(), off[:, j], minlength=len(sizes)) for j in range(k)], 1) * damp[:, None]
+        each, moves = np.zeros((len(sizes), k)), np.zeros((k, k))
+        for at in range(0, n, at_once):
+            part = slice(at, at + at_once)
+            marginal, moved, _ = model.forward_backward(scores[word[part]], lengths[part])
+            off = ((truth[gold[part]] - marginal) * live[part, :, None]).reshape(-1, k)
+            each += np.stack([np.bincount(word[part].ravel(), off[:, j], minlength=len(sizes)) for j in range(k)], 1)
+            moves += moved
+        each *= damp[:, None]
         grown = np.stack([np.bincount(flat, each[owner, j], minlength=FEATURES + 1) for j in range(k)], 1)
         for param, grad, m, v in ((model.weights, grown - 0.02 * model.weights, *moments[:2]), (model.transitions, true_moves - moves - 0.02 * model.transitions, *moments[2:])):
             m += 0.1 * (grad - m)
@@ -175,14 +182,34 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
         at = end
 
 
+def hashed_words(h: int, text: str, most: int) -> list[str]:
+    """At most `most` words of a text in its order: all, or the stretches with the smallest hashes over the whole text."""
+    words = WORD.findall(text.lower())
+    if len(words) <= most:
+        return words
+    starts = sorted(range(0, len(words), STRETCH), key=lambda at: (zlib.crc32(f"{h} {at}".encode()), at))[: max(1, most // STRETCH)]
+    return [w for at in sorted(starts) for w in words[at : at + STRETCH]][:most]
+
+
 def training_sample(docs: DataFrame, held_out, text_col: str, lang_col: str, most: int, words: int) -> list[tuple[str, list[str]]]:
-    """At most `most` distinct labelled texts outside held_out, those with the smallest hashes, `words` words of each."""
-    rows = docs.where(~held_out & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.substring(text_col, 1, 24 * words).alias("head"))
-    chosen = rows.groupBy("h").agg(F.min("lang").alias("lang")).orderBy("h").limit(most)  # hashes only
-    got = rows.join(F.broadcast(chosen), ["h", "lang"], "left_semi").dropDuplicates(["h"]).orderBy("h").collect()
-    out = [(r["lang"], WORD.findall(r["head"].lower())[:words]) for r in got]
-    return [(lang, ws) for lang, ws in out if ws]
+    """Distinct labelled texts with letters outside held_out, `words` words at most of each, from places all over it.
+
+    Every language gives the texts with its smallest hashes: most / languages of them, LEAST_DOCS at least, so that a
+    rare one isn't lost. A text with several labels counts for the smallest."""
+    rows = docs.where(~held_out & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    known = stored(rows.groupBy("h").agg(F.min("lang").alias("lang")), "labelled")  # hashes only
+    share = max(LEAST_DOCS, most // max(1, known.select("lang").distinct().count()))
+    chosen = stored(known.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= share).drop("k"), "chosen")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            taken = [hashed_words(h, text, words) for h, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(taken, pa.list_(pa.string()))], ["lang", "h", "words"])
+
+    taken = small_batches(join_small(rows, chosen, ["h", "lang"], "left_semi", chosen.count())).select("lang", "h", "text")
+    got = taken.mapInArrow(run, "lang string, h long, words array<string>").dropDuplicates(["h"]).orderBy("h").collect()
+    return [(r["lang"], r["words"]) for r in got if r["words"]]
 
 
 def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS) -> DataFrame:

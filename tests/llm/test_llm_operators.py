@@ -369,6 +369,20 @@ def test_language_of_odd_and_mixed_texts(spark):
     assert language_id.identify_language(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_training_sample_keeps_rare_languages_and_late_words(spark):
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    rows = [(i, " ".join(word("abcde") for _ in range(12)), "common") for i in range(3000)] + [(5000 + i, " ".join(word("vwxyz") for _ in range(12)), "rare") for i in range(3)]
+    rows += [(6000, "1 " * 5000 + " ".join(["early"] * 500 + ["late"] * 500), "long"), (6001, "123", "none")]
+    sample = language_id.training_sample(documents(spark, rows), F.lit(False), "text", "lang", 90, 160)
+    assert {lang for lang, _ in sample} == {"common", "rare", "long"}
+    assert [sum(lang == x for lang, _ in sample) for x in ("common", "rare", "long")] == [30, 3, 1]
+    words = next(ws for lang, ws in sample if lang == "long")
+    assert len(words) == 160 and {"early", "late"} == set(words)
+    got = {r.doc_id: r for r in language_id.identify_language(documents(spark, rows), train_docs=90).collect()}
+    assert all(got[5000 + i].lang_pred == "rare" for i in range(3))
+
+
 def test_forward_backward_is_exact():
     import itertools
 
