@@ -57,15 +57,16 @@ def st2_late_rows(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT event_type AS source, CAST(floor(epoch(ts) / 900) * 900 AS BIGINT) AS slot FROM events")
 def st3_st7_once_per_slot(spark: SparkSession, d: str) -> DataFrame:
-    """One result per slot, with a query of its own for each source; outputs meet on read only."""
-    out = None
-    for source in ("click", "view", "purchase", "signup", "error"):
+    """One result per slot, with a query of its own for each source (null too); outputs meet on read only."""
+    got = "source string, slot timestamp"
+    out = spark.createDataFrame([], got)
+    # a handful of values: the driver starts a query for each
+    for (source,) in spark.read.parquet(f"{d}/events.parquet").select("event_type").distinct().collect():
         path = shared_folder(spark, "slots")
-        s = ingest.slotted(events(spark, d).where(F.col("event_type") == source), "ts")
+        s = ingest.slotted(events(spark, d).where(F.col("event_type").eqNullSafe(F.lit(source))), "ts")
         s = ingest.once_per_slot(s.select(F.col("event_type").alias("source"), "slot", "ts"), ["source", "slot"], "ts")
         ingest.run_available(s.select("source", "slot"), ingest.append_sink(path), shared_folder(spark, "cursor"))
-        got = spark.read.schema("source string, slot timestamp").parquet(path)
-        out = got if out is None else out.union(got)
+        out = out.union(spark.read.schema(got).parquet(path).select("source", "slot"))
     return out.select("source", secs("slot"))
 
 

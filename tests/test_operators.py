@@ -184,3 +184,12 @@ def test_stream_registry_equals_rebuild(spark, tmp_path):
         ingest.run_available(spark.readStream.schema(rows.schema).parquet(src), ingest.registry_sink(spark, out), cursor)
     key = lambda df: sorted((r.entity, tuple(r.owners), r.first_seen, r.last) for r in df.collect())
     assert key(spark.read.parquet(f"{out}/2")) == key(ingest.merge_registry(None, rows))
+
+
+def test_once_per_slot_takes_every_event_type(spark, tmp_path):
+    from panelspark.plans import stream_queries
+
+    rows = [(1, "click", "2024-01-01 00:01:00"), (2, "click", "2024-01-01 00:02:00"), (3, "refund", "2024-01-01 00:20:00"), (4, None, "2024-01-01 00:03:00")]
+    spark.createDataFrame(rows, "event_id long, event_type string, ts string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = stream_queries.st3_st7_once_per_slot(spark, str(tmp_path)).collect()
+    assert {(r.source, r.slot) for r in got} == {("click", 1704067200), ("refund", 1704068100), (None, 1704067200)} and len(got) == 3
