@@ -243,34 +243,86 @@ def test_asides_by_element_or_role_hold_their_articles():
 
 @pytest.mark.parametrize("data", [b"", b"a", b"a" * 10_000, bytes(range(256)) * 60, random.Random(1).randbytes(30_000), b"the cat sat on the mat " * 2000])
 def test_lzw_round_trip(data):
-    assert gif_media.lzw_decode(gif_media.lzw_encode(data), len(data)) == data
+    got = gif_media.lzw_decode([(gif_media.lzw_encode(b"first"), 8), (gif_media.lzw_encode(data), 8)])
+    assert [g.tobytes() for g in got] == [b"first", data]
+
+
+def plain_decode(codes, root):
+    """The samples of codes between clear codes, table entry by table entry."""
+    table, out, last = [bytes([i]) for i in range(1 << root)] + [b"", b""], [], b""
+    for c in codes:
+        word = table[c] if c < len(table) else last + last[:1]
+        if last and len(table) < 4096:
+            table.append(last + word[:1])
+        out.append(word)
+        last = word
+    return b"".join(out)
+
+
+@pytest.mark.parametrize("root", [2, 5, 8])
+def test_lzw_of_other_roots_and_full_tables(root):
+    rng = random.Random(root)
+    # legal codes at random: also the entry that is being made, and a full table that is never cleared
+    codes, clear = [], 1 << root
+    for i in range(9000):
+        most = min(clear + 1 + i, 4095)
+        c = rng.choice((rng.randrange(clear), most, rng.randrange(clear + 2, most + 1))) if i and most > clear + 1 else rng.randrange(clear)
+        codes.append(c)
+        if i % 50 == 0:
+            codes[-1] = rng.randrange(clear)
+    widths = np.concatenate(([root + 1], np.minimum(gif_media.code_widths(len(codes) + 1, root), 12)))
+    stream = gif_media.pack_codes(np.array([clear, *codes, clear + 1]), widths)
+    assert gif_media.lzw_decode([(stream, root)])[0].tobytes() == plain_decode(codes, root)
 
 
 def test_lzw_rejects_damage():
     good = gif_media.lzw_encode(b"hello hello hello")
-    for bad in (good[:3], b"", b"\xff" * 8):
-        with pytest.raises(ValueError):
-            gif_media.lzw_decode(bad, 100)
+    got = gif_media.lzw_decode([(good[:3], 8), (good, 8), (b"", 8), (b"\xff" * 8, 8), (good, 9)])
+    assert [isinstance(g, str) for g in got] == [True, False, True, True, True] and got[1].tobytes() == b"hello hello hello"
 
 
-def test_gif_rules():
-    def frame(disposal, transparent, box, samples, interlaced=False):
-        flags = disposal << 2 | (transparent is not None)
-        return b"\x21\xf9\x04" + struct.pack("<BHB", flags, 7, transparent or 0) + b"\0\x2c" + struct.pack("<HHHHB", *box, 0x40 * interlaced) + b"\x08" + gif_media.blocks(gif_media.lzw_encode(samples))
+def gif_frame(disposal, transparent, box, samples, interlaced=False, palette=b""):
+    flags = disposal << 2 | (transparent is not None)
+    own = (0x80 | (len(palette) // 3).bit_length() - 2) if palette else 0
+    return b"\x21\xf9\x04" + struct.pack("<BHB", flags, 7, transparent or 0) + b"\0\x2c" + struct.pack("<HHHHB", *box, 0x40 * interlaced | own) + palette + b"\x08" + gif_media.blocks(gif_media.lzw_encode(samples))
+
 
+def odd_gif():
     palette = bytes(v for i in range(256) for v in (i, 0, 255 - i))
-    data = b"GIF89a" + struct.pack("<HHBBB", 2, 2, 0xF7, 0, 0) + palette + frame(1, None, (0, 0, 2, 2), bytes([1, 2, 3, 4])) + frame(3, 9, (0, 0, 2, 1), bytes([9, 5])) + frame(2, None, (1, 1, 1, 1), bytes([6])) + frame(0, None, (0, 0, 2, 2), bytes([1, 2, 3, 4]), True) + b"\x3b"
-    width, height, frames = gif_media.read_gif(data)
+    frames = gif_frame(1, None, (0, 0, 2, 2), bytes([1, 2, 3, 4])) + gif_frame(3, 9, (0, 0, 2, 1), bytes([9, 5])) + gif_frame(2, None, (1, 1, 1, 1), bytes([6])) + gif_frame(0, None, (0, 0, 2, 2), bytes([1, 9, 9, 1]), palette=b"\xff\0\0\0\xff\0")
+    return b"GIF89a" + struct.pack("<HHBBB", 2, 2, 0xF7, 0, 0) + palette + frames + gif_frame(0, None, (0, 0, 1, 8), bytes(range(8)), True) + b"\x3b"
+
+
+def test_gif_rules():
+    width, height, frames = gif_media.read_gif(odd_gif())
     red = lambda k: frames[k]["canvas"][:, :, 0].tolist()
-    assert (width, height) == (2, 2) and [f["delay"] for f in frames] == [7] * 4
+    assert (width, height) == (2, 2) and [f["delay"] for f in frames] == [7] * 5 and [f["at"] for f in frames] == [0, 7, 14, 21, 28]
     assert red(0) == [[1, 2], [3, 4]] and red(1) == [[1, 5], [3, 4]]  # 9 is transparent
     assert red(2) == [[1, 2], [3, 6]]  # what the second frame covered is back
-    assert frames[3]["indices"] == bytes([1, 2, 3, 4])
+    assert frames[3]["canvas"][1, 1].tolist() == [0, 255, 0, 255] and red(3) == [[0, 0], [0, 0]]  # own palette; 9 is beyond it
+    assert frames[4]["samples"].ravel().tolist() == [0, 4, 2, 5, 1, 6, 3, 7]
+
+
+def test_gif_features_follow_the_rules_and_name_damage(spark):
+    good = odd_gif()
+    rows = [(1, 0, good), (2, 0, good[:-40]), (3, 0, b"GIF89a"), (4, 0, b""), (5, 0, None), (None, 0, good), (7, 0, good[:8] + b"\0\0\0\0\0" + good[13 + 768 :]), (8, 0, good[:-1] + b"\x01\x3b")]
+    got = {r.doc_id: r for r in gif_media.gif_features(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    assert got[1].error is None and [f.at for f in got[1].frames] == [0, 7, 14, 21, 28] and [f.disposal for f in got[1].frames] == [1, 3, 2, 0, 0]
+    reds = [np.array(f.colours) for f in got[1].frames]
+    assert all(c.sum() == 4 for c in reds) and reds[3][0b001100] == 2 and reds[2][gif_media.BINS - 1] == 0
+    assert got[None].feature == got[1].feature and got[1].payload_bytes == 4 + 2 + 1 + 4 + 8
+    for i in (2, 3, 4, 7, 8):
+        assert got[i].error and got[i].feature is None and got[i].frames is None and got[i].payload_sha256 is None and got[i].media_bytes == len(rows[i - 1][2])
+    assert got[5].error is None and got[5].media_bytes is None and got[5].frames is None
+    frames = gif_media.timed_frames(spark.createDataFrame([], "doc_id long, frames array<struct<at: bigint, delay: int, disposal: int, colours: array<int>>>"))
+    assert frames.count() == 0 and "colour_63" in frames.columns
 
 
 def test_documents_as_gifs(spark, messy):
-    docs = documents(spark, [*messy, (None, "x" * 192, None), (7, messy[0][1], "en")])
-    got = gif_media.gif_features(gif_media.store_as_gif(docs)).collect()
+    long = "x" * 50_000 + "\u00e9" * 30_000
+    docs = documents(spark, [*messy, (None, "x" * 192, None), (7, messy[0][1], "en"), (999, long, "en")])
+    made = gif_media.gif_features(gif_media.store_as_gif(docs))
+    got = made.collect()
     assert len(got) == docs.count()
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect() if r.doc_id != 7}
     for r in got:
@@ -278,6 +330,8 @@ def test_documents_as_gifs(spark, messy):
             raw = (texts[r.doc_id] or "").encode()
             padded = raw + b" " * (max(192, -(-len(raw) // 192) * 192) - len(raw))
             assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-16:]))
+    frames = gif_media.timed_frames(made).where("doc_id = 999").orderBy("frame").collect()
+    assert [r.at for r in frames] == [0, 4, 8] and all(sum(r[5:]) == 256 * 192 and r.undrawn == 0 for r in frames)
     assert gif_media.gif_features(gif_media.store_as_gif(docs.limit(0))).count() == 0
 
 
