@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Rows of at most 16 bytes that may be broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Bytes that a broadcast side may take, by its counted rows and their width; beyond it the join shuffles.
+BROADCAST_BYTES = 8 << 20
+#: A key is hot with more than HOT_ROWS rows and more than 1 / HOT_KEYS of all: there are never more than HOT_KEYS of
+#: them. Where keys aren't counted before, one of HOT_SHARE documents is looked at for those that come HOT_SEEN times.
+HOT_ROWS, HOT_KEYS, HOT_SHARE, HOT_SEEN = 1000, 10_000, 16, 32
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,9 +44,49 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a side whose number of rows has been counted: broadcast up to the limit, shuffled beyond it."""
-    return left.join(F.broadcast(right) if rows <= limit else right, on, how)
+def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str, rows: int, width: int = 16) -> DataFrame:
+    """Join with a side whose number of rows has been counted: broadcast up to BROADCAST_BYTES, shuffled beyond it."""
+    return left.join(F.broadcast(right) if rows * width <= BROADCAST_BYTES else right, on, how)
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: str | list[str], n: str, how: str = "inner") -> DataFrame:
+    """Join (inner or left) with a stored side of one row per key that says in `n` how many rows of left have the key.
+
+    Rows of hot keys, of which there are HOT_KEYS at most, are joined by broadcast, so that no task gets all rows of
+    one; the others are shuffled. `n` isn't in the result."""
+    total = right.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) > max(HOT_ROWS, total // HOT_KEYS)
+    common_keys, rest = right.where(hot), right.where(~hot)
+    if common_keys.isEmpty():
+        return left.join(right.drop(n), on, how)
+    keys = [on] if isinstance(on, str) else on
+    few = left.join(F.broadcast(common_keys.drop(n)), on)
+    return few.unionByName(left.join(F.broadcast(common_keys.select(*keys)), on, "left_anti").join(rest.drop(n), on, how))
+
+
+def common_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that come HOT_SEEN times or more in rows, which are a share of all; HOT_KEYS at most, the commonest.
+
+    Only tells which keys to spread over tasks; results don't depend on it."""
+    often = rows.groupBy(key).agg(F.count("*").alias("seen")).where(F.col("seen") >= HOT_SEEN)
+    return stored(often.orderBy(F.desc("seen"), key).limit(HOT_KEYS).select(key), "common")
+
+
+def in_share(by: str) -> Column:
+    """One of HOT_SHARE documents, by hash."""
+    return F.pmod(F.xxhash64(by, F.lit(11)), F.lit(HOT_SHARE)) == 0
+
+
+def keys_met_again(rows: DataFrame, key: str, by: str, often: DataFrame, df: str = "df") -> DataFrame:
+    """rows whose key occurs more than once, with the number of its rows in `df`.
+
+    Rows of the common keys in `often` get the number from a partial count and are spread by `by`; the window over the
+    others sees few rows of a key."""
+    counts = rows.join(F.broadcast(often), key).groupBy(key).agg(F.count("*").alias("_all"))
+    marked = rows.join(F.broadcast(counts), key, "left")
+    spread = F.when(F.col("_all").isNotNull(), F.pmod(F.xxhash64(by), F.lit(1 << 20)))
+    n = F.coalesce("_all", F.count("*").over(Window.partitionBy(key, spread)))
+    return marked.withColumn(df, n).where(F.col(df) > 1).drop("_all")
 
 
 #: What a worker process keeps between tasks, by name, as functions that drop it.
@@ -173,32 +215,30 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
 # --- connected components ----------------------------------------------------------------------------------------
 
 
-def components(edges: DataFrame, u: str = "u", v: str = "v", rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(id, component): the smallest id reachable over the edges, for every id that has an edge.
 
-    Large-star and small-star steps with minima and joins only: no neighbour list is gathered anywhere, and each
-    round is stored in the shared folder. Ends when a round changes nothing."""
+    Large-star and small-star steps with minima and joins only: no neighbour list is gathered anywhere, the edges of a
+    node with very many are joined by broadcast, and each round is stored in the shared folder. Ends when a round
+    changes nothing, however many it takes."""
     edges = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where("u <> v").distinct()
     now, mark = stored(edges, "edges"), None
-    for _ in range(rounds):
+    while True:
         # large star: every larger neighbour of a node goes to the smallest node of its neighbourhood
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n")), "least")
+        large = join_counted(both, least, "u", "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours go to the smallest of them
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+        large = stored(large.where("u <> v").distinct(), "edges")
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+        small = join_counted(large, low, "u", "n").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         nxt = stored(small.where("u <> v").distinct(), "edges")
         new = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        forget(now)
+        for table in (now, least, large, low):
+            forget(table)
         now = nxt
         if new == mark:
             break
         mark = new
     roots = now.select("v").distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()
-
-
-def empty_like(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
-    return spark.createDataFrame([], schema)

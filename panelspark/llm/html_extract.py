@@ -11,93 +11,161 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, join_small, small_batches, stored
+from .common import join_small, small_batches, stored
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(/?)>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+STOP = re.compile(r"[\"'<>]")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SPACE = re.compile(r"\s+")
 # fixed values: HTML's own element classes, and names that pages give to what is not their article
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noembed", "noframes", "xmp", "svg", "math", "object", "canvas"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+CLOSED_BY_NEXT = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "h1", "h2", "h3", "h4", "h5", "h6"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset", "head"}
 NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|header|footer|side-?bar|aside|widget|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|social|comments?|replies|disqus|respond|related|recommend\w*|login|search|pagination|pager|toolbar|copyright|legal)(?=$|[\s_-])", re.I)
 # an article element with such a name is a reader's comment or a teaser; a page's state (comments-open) doesn't count
 TEASER = re.compile(r"(?:^|\s)(?:comments?|repl(?:y|ies)|respond|disqus|related|recommend\w*)(?:[-_](?!open|closed?|on|off|enabled|disabled|allowed)\w+)*(?=$|\s)", re.I)
 
 
+class Tags:
+    """The tags of a page in order, found in time proportional to its length, whatever is left open in it."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.failed: set[int] = set()  # places outside quotes from which no tag ends
+        self.unclosed: set[str] = set()  # quotes that don't occur any more
+
+    def end(self, at: int) -> int:
+        """The place of the > that ends a tag whose attributes begin at `at`; -1 if a < or the page's end comes first.
+
+        A quote that is never closed is a character like others."""
+        page, seen = self.page, []
+        while at not in self.failed:
+            seen.append(at)
+            m = STOP.search(page, at)
+            if m and m[0] == ">":
+                return m.start()
+            if not m or m[0] == "<":
+                break
+            at = m.end()
+            if m[0] not in self.unclosed:
+                close = page.find(m[0], at)
+                if close < 0:
+                    self.unclosed.add(m[0])
+                else:
+                    at = close + 1
+        self.failed.update(seen)
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """(start, end, closing, name, attributes); comments and declarations have no name. Elements of raw text have
+        no tags inside: the next tag after one begins at its closing tag's end."""
+        page, at, last = self.page, 0, self.page.rfind(">")
+        while 0 <= (start := page.find("<", at)) <= last:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                at = end + 3 if end >= 0 else len(page)
+                yield start, at, False, "", ""
+                continue
+            if page.startswith(("<!", "<?"), start):
+                at = page.find(">", start) + 1
+                yield start, at, False, "", ""
+                continue
+            m = NAME.match(page, start)
+            end = self.end(m.end()) if m else -1
+            if end < 0:
+                at = start + 1
+                continue
+            closing, name = bool(m[1]), m[2].lower()
+            at = end + 1
+            if name in RAW and not closing:
+                close = re.compile(rf"</{name}\b", re.I).search(page, at)
+                end = page.find(">", close.end()) if close else -1
+                at = end + 1 if end >= 0 else len(page)
+                name = ""
+            yield start, at, closing, name, page[m.end() : end] if name else ""
+
+
 def read_blocks(page: str) -> list[tuple[str, bool, bool, str]]:
-    """Blocks of a page in order: (path of open elements, inside an article or main, inside an aside, text).
+    """Blocks of a page in order: (digest of the path of open elements, inside an article or main, inside an aside, text).
 
     Inline elements don't end a block; unclosed elements end with the element around them. Whatever stands in an
     element with an aside's name or role is inside an aside. An element that only has a word for one in its class or
     id is one too, unless all articles and mains of the page stand in it: then the word tells the page's layout."""
-    out: list[tuple[str, bool, bool, tuple[int, ...], str]] = []
-    # name, and of the element with all around it: path, article or main, aside by element or role, asides by word
-    stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = []
+    out: list[tuple[str, bool, bool, int, str]] = []
+    # name, and of the element with all around it: path, article or main, aside by element or role, nearest by word
+    stack: list[tuple[str, str, bool, bool, int]] = []
+    opened: dict[str, int] = {}
     parts: list[str] = []
-    layout: set[int] | None = None
-    named = 0
+    around, depth = [-1], [0]  # of each aside by word: the one around it, how many are
+    above: dict[int, int] = {}
+    layout = -1  # the nearest that all articles stand in; 0 is none
+    at = 0
 
     def flush() -> None:
         text = SPACE.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            out.append((*(stack[-1][1:] if stack else ("", False, False, ())), text))
+            out.append((*(stack[-1][1:] if stack else ("", False, False, 0)), text))
 
-    at, n = 0, len(page)
-    while at < n:
-        m = TOKEN.search(page, at)
-        if not m:
-            parts.append(page[at:])
-            break
-        parts.append(page[at : m.start()])
-        at = m.end()
-        closing, name = m[1], (m[2] or "").lower()
+    for start, end, closing, name, attributes in Tags(page):
+        parts.append(page[at:start])
+        at = end
         if not name:
             continue
-        if name in RAW and not closing:
-            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
-            continue
         if name in INLINE:
             if name == "br":
                 parts.append(" ")
             continue
         flush()
-        if name in VOID or m[4]:
+        if name in VOID or attributes.endswith("/"):
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
+            if opened.get(name):
+                while stack:
+                    opened[stack[-1][0]] -= 1
+                    if stack.pop()[0] == name:
+                        break
             continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option", "h1", "h2", "h3", "h4", "h5", "h6") and stack and stack[-1][0] == name:
-            stack.pop()
-        elif stack and stack[-1][0] == "p":
-            stack.pop()
-        given = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3] or "")}
+        if stack and (stack[-1][0] == "p" or stack[-1][0] == name and name in CLOSED_BY_NEXT):
+            opened[stack.pop()[0]] -= 1
+        given = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)}
         role, words = given.get("role", ""), f"{given.get('class', '')} {given.get('id', '')}".strip()
         label = f"{words} {role}".strip()
         main = name in ("article", "main") or role in ("main", "article")
-        _, path, inside, away, asides = stack[-1] if stack else ("", "", False, False, ())
+        _, path, inside, away, aside = stack[-1] if stack else ("", "", False, False, 0)
         by_word = False
         if main:
             by_word = bool(words) and (name == "article" or role == "article") and bool(TEASER.search(words))
             main = not by_word
             if main and not inside and not away:
-                layout = set(asides) if layout is None else layout & set(asides)
+                x, y, climbed = aside, aside if layout < 0 else layout, []
+                while x != y:
+                    if depth[x] >= depth[y]:
+                        climbed.append(x)
+                        x = above.get(x, around[x])
+                    else:
+                        y = around[y]
+                layout = x
+                above.update(dict.fromkeys(climbed, x))  # layout only goes outwards, so these needn't be climbed again
         elif name != "body" and name != "html":
             away = away or name in ASIDE or bool(role and NAMES.search(role))
             by_word = bool(words) and not away and bool(NAMES.search(words))
         if by_word:
-            named += 1
-            asides = (*asides, named)
-        stack.append((name, (path + "/" if stack else "") + name + ("." + SPACE.sub(".", label) if label else ""), inside or main, away, asides))
+            around.append(aside)
+            depth.append(depth[aside] + 1)
+            aside = len(around) - 1
+        opened[name] = opened.get(name, 0) + 1
+        step = f"{path}/{name}" + ("." + SPACE.sub(".", label) if label else "")
+        stack.append((name, blake2b(step.encode(errors="surrogatepass"), digest_size=8).hexdigest(), inside or main, away, aside))
+    parts.append(page[at:])
     flush()
-    layout = layout or set()
-    return [(path, inside, away or any(x not in layout for x in asides), text) for path, inside, away, asides, text in out]
+    common = {0}
+    while layout > 0:
+        common.add(layout)
+        layout = around[layout]
+    return [(path, inside, away or aside not in common, text) for path, inside, away, aside, text in out]
 
 
 def token_of(path: str, words: str) -> int:
@@ -219,7 +287,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     half of the host's pages share, and is kept. Blocks are joined by line feeds in page order.
 
     Null html: empty text. Null urls are pages of the host ''. Repeated ids keep their rows. A host's template holds
-    few tokens (each is on half of its pages); templates are joined by host, which Spark splits when a host is hot."""
+    few tokens (each is on half of its pages); templates are joined by host, which Spark splits when a host is hot.
+    Pages of any length are read in time proportional to it: tags, quotes and elements that are never closed, and
+    elements nested to any depth, cost nothing more; an unclosed tag is text. An empty table gives no rows."""
     template = stored(deduce_templates(page_tokens(pages, id_col, url_col, html_col)).groupBy("host").agg(F.collect_set("token").alias("template")), "templates")
     rows = small_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(url_col).alias("host"))
     block = pa.struct([("token", pa.int64()), ("words", pa.string())])
@@ -235,8 +305,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), pa.array(article, pa.bool_()), pa.array(found, pa.list_(block))], ["page_id", "url", "host", "article", "blocks"])
 
     found = rows.mapInArrow(run, "page_id long, url string, host string, article boolean, blocks array<struct<token long, words string>>")
-    n = template.count()
-    joined = found.join(F.broadcast(template) if n * 8 <= BROADCAST_ROWS // 8 else template, "host", "left")
+    size = template.agg(F.sum(F.size("template") * 8 + 64)).first()[0] or 0
+    joined = join_small(found, template, "host", "left", size, 1)
     slots = F.when(F.col("template").isNull(), F.col("blocks")).otherwise(F.filter("blocks", lambda s: ~F.array_contains("template", s["token"])))
     slots = F.when(F.col("article") & (F.size(slots) == 0), F.col("blocks")).otherwise(slots)
     text = F.array_join(F.transform(slots, lambda s: s["words"]), "\n")

@@ -5,6 +5,7 @@ import os
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -238,6 +239,48 @@ def test_asides_by_element_or_role_hold_their_articles():
     assert [(words, away) for _, _, away, words in html_extract.read_blocks(page)] == [("a", True), ("b", True), ("c", True), ("text", False)]
 
 
+@pytest.mark.parametrize("part", ["<a ", "<div>a", "<a '\"", '<a "x', "<script></script ", "<div></b></p>", "<!-- ", "<!x", "<div class=ad><article>x</article>", "<p title='", "</div"])
+def test_reading_is_linear_in_open_and_nested_tags(part):
+    def took(n):
+        began = time.process_time()
+        html_extract.read_blocks(part * n + ">")
+        return time.process_time() - began
+
+    assert took(32_000) < 16 * max(took(4_000), 0.02)
+
+
+def test_unclosed_tags_are_text_and_quotes_hold_signs():
+    words = lambda page: [x[3] for x in html_extract.read_blocks(page)]
+    assert words("<p>a < b <c and <i>d</i>") == ["a < b <c and d"]
+    assert words("<p title='>'>a<p class=\"b>c'>e") == ["a", "c'>e"] and words("<p>x<!-- y") == ["x"]
+    assert words("<div>a<script>b</scripts></script >c</div>") == ["ac"]
+
+
+def test_template_by_force(spark):
+    """Occurrence vectors, order and nesting on a small host, token by token."""
+    rng = random.Random(3)
+    pages = []
+    for i in range(8):
+        items = [f"<li>item {rng.randrange(10**6)}</li><li>more</li>" for _ in range(i % 3 + 1)]
+        pages.append((i, "http://h.net/x", f"<div>top</div><ul>{''.join(items)}</ul><p>text {i}</p><div>end</div>" + ("<div>now and then</div>" if i < 3 else "")))
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.token for r in html_extract.deduce_templates(html_extract.page_tokens(frame, "page_id", "url", "html")).select("token").collect()}
+    seen = [[html_extract.token_of(path, words) for path, _, _, words in html_extract.read_blocks(h)] for _, _, h in pages]
+    vectors = {}
+    for t in {t for p in seen for t in p}:
+        vectors.setdefault(tuple(p.count(t) for p in seen), []).append(t)
+    want = set()
+    for vector, tokens in vectors.items():
+        often = sum(n > 0 for n in vector) >= 4
+        root = all(n == 1 for n in vector)
+        if often and (len(tokens) > 1 or root):
+            orders = {tuple(t for t in p if t in tokens)[: len(tokens)] for p in seen if any(t in tokens for t in p)}
+            want |= set(tokens) if len(orders) == 1 else set()
+    assert got == want and len(want) == 2
+    texts = {r.page_id: r.text for r in html_extract.extract_main_text(frame).collect()}
+    assert "top" not in texts[0] and "text 0" in texts[0] and "more" in texts[0]
+
+
 # --- 5 gif
 
 
