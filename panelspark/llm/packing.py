@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from .common import drop_kept, keeps, small_batches
 
 WINDOW = 2048
+#: Windows that a packer keeps open at most: beyond it they are refilled from each other (16 MB of ids).
+MOST_OPEN = 2048
 #: Ids that one Arrow batch of results holds, about.
 BATCH_IDS = 1 << 20
 #: Stretches whose ids a worker remembers, and how many more it makes before it forgets them for newer ones.
@@ -88,12 +90,14 @@ def words_of(file: str) -> Words:
 
 class SumOfSquares:
     """Online packer. level[h] counts the open windows filled to h; an item of size s goes to the level where the sum
-    of the squared counts grows least (a tie: the fullest). Full windows leave the array at once."""
+    of the squared counts grows least (a tie: the fullest). Full windows leave the array at once. When more than
+    `most_open` are open, they are refilled from each other and one at most stays open."""
 
-    def __init__(self, window: int, emit: Callable[[list], None]):
-        self.window, self.emit = window, emit
+    def __init__(self, window: int, emit: Callable[[list], None], most_open: int = MOST_OPEN):
+        self.window, self.emit, self.most_open = window, emit, most_open
         self.level = np.zeros(window + 1, np.int64)
         self.open: dict[int, list[list]] = {}
+        self.count = self.refilled = 0
 
     def put(self, item: tuple, size: int) -> None:
         level, full = self.level, self.window
@@ -112,46 +116,65 @@ class SumOfSquares:
         if best:
             level[best] -= 1
             held = self.open[best].pop()
+            self.count -= 1
         else:
             held = []
         held.append(item)
         if best + size == full:
             self.emit(held)
         else:
-            level[best + size] += 1
-            self.open.setdefault(best + size, []).append(held)
+            self.keep(held, best + size)
+            if self.count > self.most_open:
+                self.refill(False)
+
+    def keep(self, held: list, filled: int) -> None:
+        self.level[filled] += 1
+        self.open.setdefault(filled, []).append(held)
+        self.count += 1
 
     def close(self) -> None:
-        """At the end, windows that are still open are refilled from each other: items are cut where a window is full,
-        and what is left of the last one ends at powers of two."""
+        """No item comes any more."""
+        self.refill(True)
+
+    def refill(self, last: bool) -> None:
+        """Open windows are refilled from each other: items are cut where a window is full. What is left over stays
+        open, or if it is the last time ends at powers of two."""
         rest = [item for h in sorted(self.open, reverse=True) for held in self.open[h] for item in held]
         total = sum(len(i[2]) for i in rest)
-        sizes = [self.window] * (total // self.window) + [1 << k for k in reversed(range(self.window.bit_length())) if (total % self.window) >> k & 1]
+        self.level[:] = 0
+        self.open.clear()
+        self.count = 0
+        over = total % self.window
+        sizes = [self.window] * (total // self.window)
+        sizes += [1 << k for k in reversed(range(self.window.bit_length())) if over >> k & 1] if last else [over] if over else []
+        self.refilled += len(sizes) - (not last and over > 0)
         held, room, todo = [], 0, iter(sizes)
         for doc, start, ids, n in rest:
             while len(ids):
                 if not room:
-                    room = next(todo)
+                    room = size = next(todo)
                 held.append((doc, start, ids[:room], n))
                 start, room, ids = start + len(held[-1][2]), room - len(held[-1][2]), ids[room:]
                 if not room:
-                    self.emit(held)
+                    if size < self.window and not last:
+                        self.keep(held, size)
+                    else:
+                        self.emit(held)
                     held = []
-        self.level[:] = 0
-        self.open.clear()
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and (with_ids) ids.
 
     A document's tokens are its text's ids and then end_id. Tokens beyond full windows form the rest, which is placed
-    whole by sum-of-squares; only windows still open when a partition ends are refilled by cutting, so every sequence
-    has `window` tokens or, for one remainder per partition, a power of two.
+    whole by sum-of-squares; windows are refilled by cutting when a partition ends, or when more than MOST_OPEN of them
+    are open, so every sequence has `window` tokens or, for one remainder per partition, a power of two.
 
     Every partition packs on its own: nothing is shuffled and sequence_id is (partition << 33) + number, so a task
     that runs again makes the same rows if its input partition keeps its rows and order, as stored tables do. Open
-    windows hold at most window x window tokens. Null or empty text: end_id alone. Null and repeated doc_ids are
-    packed like others; other columns are ignored."""
+    windows hold at most MOST_OPEN x window tokens. Null or empty text: end_id alone. Null and repeated doc_ids are
+    packed like others; other columns are ignored; equal sizes are placed in the order of their rows. The ids of one
+    text, however long, are in memory at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_kept("words")
