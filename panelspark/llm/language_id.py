@@ -16,7 +16,7 @@ from .common import drop_kept, join_small, small_batches, stored
 #: Labelled documents, and words of each, that the model is fitted on at most; the documents are dealt equally to the
 #: languages, but no language gets fewer than LEAST_DOCS if it has them. Words are taken in stretches of STRETCH.
 TRAIN_DOCS, TRAIN_WORDS, LEAST_DOCS, STRETCH = 1500, 160, 20, 20
-#: Hashed features; words of one chain; remembered words of a task; scores (words x labels) that fitting holds at once.
+#: Hashed features; words of one stretch of a chain; remembered words of a task; scores (words x labels) that fitting holds at once.
 FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -48,37 +48,54 @@ class Crf:
         flat = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
         return np.add.reduceat(self.weights[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) / np.sqrt(sizes)[:, None]
 
-    def marginals(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Forward-backward over chains of equal weight: scores (chains x steps x labels), lengths of the chains."""
-        return self.forward_backward(scores, lengths)[0]
+    def moves(self) -> np.ndarray:
+        return np.exp(self.transitions - self.transitions.max())
 
-    def forward_backward(self, scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Marginals of labels, summed marginals of transitions, log likelihood of all chains' normalisers."""
+    def forward_backward(self, scores: np.ndarray, lengths: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+        """Marginals of labels, summed marginals of transitions, log likelihood of all chains' normalisers.
+
+        before and after (chains x labels): messages from what a chain goes on from and what goes on after it, for
+        stretches of longer chains; without them chains stand alone."""
         n, steps, k = scores.shape
-        move = np.exp(self.transitions - self.transitions.max())
+        move = self.moves()
         top = scores.max(2, keepdims=True)
         seen = np.exp(scores - top)
         live = np.arange(steps)[None, :] < lengths[:, None]
         ahead = np.empty_like(seen)
         scale = np.ones((n, steps))
-        a = seen[:, 0]
+        a = seen[:, 0] if before is None else seen[:, 0] * before
         for t in range(steps):
             if t:
                 a = (ahead[:, t - 1] @ move) * seen[:, t]
             scale[:, t] = np.where(live[:, t], a.sum(1), 1.0)
             ahead[:, t] = np.where(live[:, t, None], a / scale[:, t, None], ahead[:, t - 1] if t else a)
-        back = np.ones((n, k))
+        last = np.ones((n, k)) if after is None else after
+        back = last
         out = np.empty_like(seen)
         pairs = np.zeros((k, k))
-        out[:, -1] = ahead[:, -1]
+        out[:, -1] = ahead[:, -1] * back
         for t in range(steps - 2, -1, -1):
             inner = live[:, t + 1]
             moved = seen[:, t + 1] * back / scale[:, t + 1, None]
             pairs += np.einsum("ni,nj->ij", ahead[inner, t], moved[inner]) * move
-            back = np.where(inner[:, None], moved @ move.T, 1.0)
+            back = np.where(inner[:, None], moved @ move.T, last)
             out[:, t] = ahead[:, t] * back
+        if after is not None:
+            out /= out.sum(2, keepdims=True)
         return out, pairs, float((np.log(scale) * live).sum() + (top[:, :, 0] * live).sum() + self.transitions.max() * (lengths - 1).sum())
 
+    def transfers(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """What each stretch does to messages (stretches x labels x labels, up to a factor): the product of its words'
+        weights and the transitions between them."""
+        move = self.moves()
+        seen = np.exp(scores - scores.max(2, keepdims=True))
+        out = np.eye(scores.shape[2]) * seen[:, 0, None, :]
+        for t in range(1, scores.shape[1]):
+            n = int(np.searchsorted(-lengths, -t))  # longest first: those that have a step t
+            out[:n] = (out[:n] @ move) * seen[:n, t, None, :]
+            out[:n] /= out[:n].sum((1, 2), keepdims=True)
+        return out
+
 
 def fit_crf(samples: list[tuple[str, list[str]]], rounds: int = 60, chain: int = 48, seed: int = 7) -> Crf:
     """Maximum likelihood with a Gaussian prior, by Adam, from (language, words) samples.
@@ -142,8 +159,11 @@ def fit_crf(samples: list[tuple[str, list[str]]], rounds: int = 60, chain: int =
     return model
 
 
-def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(index of the text, its words' marginals) for texts with letters; chains restart every CHAIN words."""
+def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table: list[np.ndarray], chain: int = CHAIN) -> Iterator[tuple[int, np.ndarray]]:
+    """(index of the text, its words' marginals) for texts with letters, each text one chain.
+
+    Chains are taken in stretches of `chain` words at once, and the messages are carried over the places where they
+    meet: first what each stretch of a longer text does to a message, then the messages, then the marginals."""
     words = [WORD.findall((t or "").lower()) for t in texts]
     new = list({w for ws in words for w in ws} - known.keys())
     if len(known) + len(new) > REMEMBERED:
@@ -154,23 +174,43 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
     known.update(zip(new, range(base, base + len(new)), strict=True))
     made = [model.emissions(new[k : k + 4096]).astype(np.float32) for k in range(0, len(new), 4096)]
     table[:] = [np.concatenate([*table, *made])] if new else table
-    owner, starts, rows = [], [], []
+    owner, rows = [], []
     for i, ws in enumerate(words):
         if ws:
             row = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            for at in range(0, len(ws), CHAIN):
+            for at in range(0, len(ws), chain):
                 owner.append(i)
-                starts.append(at)
-                rows.append(row[at : at + CHAIN])
-    order = sorted(range(len(rows)), key=lambda j: -len(rows[j]))
+                rows.append(row[at : at + chain])
+    k = len(model.labels)
+    before, after = np.ones((len(rows), k)), np.ones((len(rows), k))
+
+    def grids(which: list[int]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        order = sorted(which, key=lambda j: -len(rows[j]))
+        for at in range(0, len(order), 512):
+            part = order[at : at + 512]
+            lengths = np.array([len(rows[j]) for j in part])
+            grid = np.zeros((len(part), int(lengths[0])), np.int64)
+            for x, j in enumerate(part):
+                grid[x, : len(rows[j])] = rows[j]
+            yield part, table[0][grid].astype(np.float64), lengths
+
+    several = [j for j in range(len(rows)) if j and owner[j - 1] == owner[j] or j + 1 < len(rows) and owner[j + 1] == owner[j]]
+    if several:
+        does: dict[int, np.ndarray] = {}
+        for part, scores, lengths in grids(several):
+            does.update(zip(part, model.transfers(scores, lengths), strict=True))
+        move = model.moves()
+        for j in several:
+            if j + 1 in does and owner[j + 1] == owner[j]:
+                m = (before[j] @ does[j]) @ move
+                before[j + 1] = m / m.sum()
+        for j in reversed(several):
+            if j - 1 in does and owner[j - 1] == owner[j]:
+                m = move @ (does[j] @ after[j])
+                after[j - 1] = m / m.sum()
     done: list[np.ndarray | None] = [None] * len(rows)
-    for at in range(0, len(order), 512):
-        part = order[at : at + 512]
-        lengths = np.array([len(rows[j]) for j in part])
-        grid = np.zeros((len(part), int(lengths[0])), np.int64)
-        for x, j in enumerate(part):
-            grid[x, : len(rows[j])] = rows[j]
-        got = model.marginals(table[0][grid].astype(np.float64), lengths)
+    for part, scores, lengths in grids(list(range(len(rows)))):
+        got = model.forward_backward(scores, lengths, before[part], after[part])[0]
         for x, j in enumerate(part):
             done[j] = got[x, : len(rows[j])]
     at = 0
@@ -218,8 +258,9 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Held out are the rows whose crc32 of doc_id as text leaves 2 modulo 4; a null doc_id counts as held out. The
     model sees only texts and languages of other rows (a bounded sample, see training_sample()) and predicts from the
     text alone. lang_pred has the largest sum of word marginals over the whole text, score is their mean for it;
-    switches counts places where the likeliest label of neighbouring words changes. Null texts, texts without letters
-    and tables without any labelled row give `und` and 0. Nothing is shuffled."""
+    switches counts places where the likeliest label of neighbouring words changes; of equally likely languages the
+    first in alphabetical order counts. A text is one chain, however long. Null texts, texts without letters and tables
+    without any labelled row give `und` and 0. Repeated ids keep their rows; nothing is shuffled."""
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
     sample = training_sample(docs, held, text_col, lang_col, train_docs, train_words)
     model = fit_crf(sample) if sample else None
