@@ -52,16 +52,20 @@ def join_small(left: DataFrame, right: DataFrame, on: str | list[str], how: str,
 def join_counted(left: DataFrame, right: DataFrame, on: str | list[str], n: str, how: str = "inner") -> DataFrame:
     """Join (inner or left) with a stored side of one row per key that says in `n` how many rows of left have the key.
 
-    Rows of hot keys, of which there are HOT_KEYS at most, are joined by broadcast, so that no task gets all rows of
-    one; the others are shuffled. `n` isn't in the result."""
+    Hot keys, of which there are HOT_KEYS at most, are looked up by broadcast and their rows spread over the tasks of
+    the shuffled join, in which they meet nothing. `n` isn't in the result."""
     total = right.agg(F.sum(n)).first()[0] or 0
     hot = F.col(n) > max(HOT_ROWS, total // HOT_KEYS)
-    common_keys, rest = right.where(hot), right.where(~hot)
-    if common_keys.isEmpty():
+    if right.where(hot).isEmpty():
         return left.join(right.drop(n), on, how)
     keys = [on] if isinstance(on, str) else on
-    few = left.join(F.broadcast(common_keys.drop(n)), on)
-    return few.unionByName(left.join(F.broadcast(common_keys.select(*keys)), on, "left_anti").join(rest.drop(n), on, how))
+    more = [c for c in right.columns if c not in keys and c != n]
+    named = lambda mark: [*keys, *[F.col(c).alias(f"{c}_{mark}") for c in more], F.lit(True).alias(f"_{mark}")]
+    marked = left.join(F.broadcast(right.where(hot).select(*named("hot"))), keys, "left")
+    marked = marked.withColumn("_spread", F.when(F.col("_hot"), F.xxhash64(*left.columns)).otherwise(F.lit(0).cast("long")))
+    out = marked.join(right.where(~hot).select(*named("rest"), F.lit(0).cast("long").alias("_spread")), [*keys, "_spread"], "left")
+    out = out if how == "left" else out.where(F.coalesce("_hot", "_rest"))
+    return out.select(*left.columns, *[F.coalesce(f"{c}_hot", f"{c}_rest").alias(c) for c in more])
 
 
 def common_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -82,7 +86,8 @@ def keys_met_again(rows: DataFrame, key: str, by: str, often: DataFrame, df: str
 
     Rows of the common keys in `often` get the number from a partial count and are spread by `by`; the window over the
     others sees few rows of a key."""
-    counts = rows.join(F.broadcast(often), key).groupBy(key).agg(F.count("*").alias("_all"))
+    mark = rows.join(F.broadcast(often.withColumn("_often", F.lit(True))), key, "left")
+    counts = mark.groupBy(F.when(F.col("_often"), F.col(key)).alias(key)).agg(F.count("*").alias("_all"))  # the rest is one null
     marked = rows.join(F.broadcast(counts), key, "left")
     spread = F.when(F.col("_all").isNotNull(), F.pmod(F.xxhash64(by), F.lit(1 << 20)))
     n = F.coalesce("_all", F.count("*").over(Window.partitionBy(key, spread)))

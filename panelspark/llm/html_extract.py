@@ -62,12 +62,15 @@ class Tags:
         """(start, end, closing, name, attributes); comments and declarations have no name. Elements of raw text have
         no tags inside: the next tag after one begins at its closing tag's end."""
         page, at, last = self.page, 0, self.page.rfind(">")
-        while 0 <= (start := page.find("<", at)) <= last:
+        while (start := page.find("<", at)) >= 0:
             if page.startswith("<!--", start):
                 end = page.find("-->", start + 4)
                 at = end + 3 if end >= 0 else len(page)
                 yield start, at, False, "", ""
                 continue
+            if start > last:
+                at = start + 1
+                continue
             if page.startswith(("<!", "<?"), start):
                 at = page.find(">", start) + 1
                 yield start, at, False, "", ""

@@ -22,7 +22,7 @@ from .common import common_keys, components, drop_kept, forget, in_share, join_c
 from .itq_neardup import merged
 
 #: Of 8 hash values, those whose shingles are counted over the corpus; documents of one block of a cluster.
-COUNTED, BLOCK = 3, 2048
+COUNTED, BLOCK = 3, 512
 
 
 def prefix_length(n: int, percent: int = 75) -> int:

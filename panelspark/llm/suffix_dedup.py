@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_kept, join_small, mixed, prefix_sums, stored, unique_documents
+from .common import common_keys, drop_kept, in_share, join_counted, join_small, mixed, prefix_sums, stored, unique_documents
 
 #: Bytes of a repeat at least; of an anchor; of a text that a task takes at once; occurrences that one task compares.
 LEAST, GRAM, PIECE, GROUP = 100, 32, 1 << 19, 50_000
@@ -210,13 +210,22 @@ def candidates_of(keyed: DataFrame, least: int, gram: int) -> tuple[DataFrame, D
                 at = pos << 14 | pos - first << 7 | last - first
                 yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.uint64).view(np.int64)), pa.array(doc[text].astype(np.int64)), pa.array(at.astype(np.int64))], ["h", "doc_id", "at"])
 
+    if least - gram > 127 or gram > least:
+        raise ValueError("an anchor is as long as a repeat at most, and shorter by 127 bytes at most")
     digest = F.unhex(F.md5("text"))
     mark = keyed.where(F.octet_length("text") >= least).select("doc_id", digest.alias("digest"))
-    earliest = mark.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    copies = stored(mark.join(earliest, "digest").where("doc_id <> first").select("doc_id"), "copies")
+    earliest = stored(mark.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1"), "earliest")
+    copies = stored(join_counted(mark, earliest, "digest", "n").where("doc_id <> first").select("doc_id"), "copies")
     own = join_small(keyed.where(F.octet_length("text") >= least), copies, "doc_id", "left_anti", copies.count())
-    found = own.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "h long, doc_id long, at long")
-    twice = found.withColumn("df", F.count("*").over(Window.partitionBy("h"))).where("df > 1")
+
+    def found_in(docs: DataFrame) -> DataFrame:
+        return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "h long, doc_id long, at long")
+
+    # common anchors surely occur again: they needn't be counted, and are spread over the tasks that count the others
+    often = common_keys(found_in(own.where(in_share("doc_id"))), "h").withColumn("often", F.lit(True))
+    found = found_in(own).join(F.broadcast(often), "h", "left")
+    spread = F.when(F.col("often"), F.xxhash64("doc_id", "at"))
+    twice = found.withColumn("df", F.count("*").over(Window.partitionBy("h", spread))).where("df > 1 or often")
     per = twice.groupBy("doc_id").agg(F.collect_list(F.struct("h", "at")).alias("found"))
     rows = stored(contexts(keyed, stored(per, "anchors"), least), "contexts")
     return own, rows, copies
@@ -248,7 +257,7 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM, id_col
     hot = stored(open_.groupBy("h").count().where(F.col("count") > group).select("h"), "hot")
     n = hot.count()
     found = compared(open_, least, False) if not n else compared(join_small(open_, hot, "h", "left_anti", n), least, False).union(by_window(join_small(open_, hot, "h", "left_semi", n), least))
-    whole = join_small(keyed, copies, "doc_id", "left_semi", copies.count()).select("doc_id", F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("stop"))
+    whole = join_small(keyed.select("doc_id", F.octet_length("text").alias("size")), copies, "doc_id", "left_semi", copies.count()).select("doc_id", F.lit(0).cast("long").alias("start"), F.col("size").cast("long").alias("stop"))
     spans = found.union(later).union(whole)
     run = Window.partitionBy("doc_id").orderBy("start", "stop")
     reach = F.max("stop").over(run.rowsBetween(Window.unboundedPreceding, -1))
@@ -272,7 +281,7 @@ def removal_digests(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id",
     Rows without doc_id are returned too, with nothing removed."""
     spans = stored(repeated_spans(docs, least, id_col=id_col, text_col=text_col, **more), "spans")
     keyed = unique_documents(docs, id_col, text_col)
-    n = spans.count()
+    n, size = spans.agg(F.count("*"), F.sum(F.size("spans") * 16 + 48)).first()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -282,7 +291,7 @@ def removal_digests(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array([len(s) for s in b.column(2).to_pylist()], pa.int64()), pa.array(made, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    cut = join_small(keyed, spans, "doc_id", "inner", n * 4).select("doc_id", raw, "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    cut = join_small(keyed, spans, "doc_id", "inner", size or 0, 1).select("doc_id", raw, "spans").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     none = docs.where(F.col(id_col).isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     clean = join_small(keyed, spans.select("doc_id"), "doc_id", "left_anti", n).union(none).select("doc_id", raw)
     return cut.union(clean.select("doc_id", F.octet_length("text").cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long"), F.sha2("text", 256)))

@@ -131,6 +131,52 @@ def test_sum_of_squares_prefers_what_closes_windows():
     assert [[len(i[2]) for i in w] for w in done[2:]] == [[4], [2]]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_placement_by_force(seed):
+    """Each item goes where the sum of squared level counts is least, the fullest level at a tie."""
+    rng = random.Random(seed)
+    sizes = [rng.choice((rng.randrange(1, 32), 16, 11)) for _ in range(300)]
+    made: list = []
+    packer = packing.SumOfSquares(32, made.append)
+    for i, n in enumerate(sizes):
+        packer.put((i, 0, range(n), n), n)
+    windows: list[list[int]] = []
+    for i, n in enumerate(sizes):
+        fill = lambda w: sum(sizes[x] for x in w)
+
+        def cost(w, add=n):
+            after = [fill(x) for x in windows if x is not w] + [fill(w) + add]
+            counts = {f: after.count(f) for f in after if f < 32}
+            return sum(c * c for c in counts.values()), -fill(w)
+
+        # of windows with one fill the one touched last; a new window only if nothing is as good
+        fits = [w for w in windows if fill(w) + n <= 32 and fill(w) < 32]
+        best = min([*reversed(fits), []], key=cost)
+        if not best:
+            windows.append([i])
+        else:
+            windows.remove(best)
+            windows.append([*best, i])
+    assert sorted(tuple(x[0] for x in w) for w in made) == sorted(tuple(w) for w in windows if fill(w) == 32)
+
+
+def test_open_windows_are_bounded():
+    made: list = []
+    packer = packing.SumOfSquares(2048, made.append, most_open=64)
+    for i in range(5000):
+        packer.put((i, 0, np.full(1025, i), 1025), 1025)
+        assert packer.count <= 64 == packer.most_open and packer.count == packer.level.sum()
+    packer.close()
+    sizes = [sum(len(x[2]) for x in w) for w in made]
+    assert sum(sizes) == 5000 * 1025 and sizes[:-11].count(2048) == len(sizes[:-11]) and all(n & n - 1 == 0 for n in sizes)
+    pieces = {}
+    for w in made:
+        for doc, start, ids, _ in w:
+            pieces.setdefault(doc, []).append((start, len(ids)))
+    for got in pieces.values():
+        assert sum(n for _, n in got) == 1025 and all(a + n == b for (a, n), (b, _) in zip(sorted(got), sorted(got)[1:], strict=False))
+
+
 @pytest.mark.parametrize("text", ["don't 'TIS ###'s café, CAFÉ; x²,y <|endoftext|>z İstanbul! ΣΑΣ.", "a\tb\x1cc \u0301x\u00a0y ß-ß __a__ 12ab34,5", "", "  \n\n ", "naïve Ærø, ÿ÷ñ éé... 日本,x"])
 def test_word_ids_are_the_tokenizers(text):
     words = packing.words_of(BPE)
@@ -496,6 +542,18 @@ def test_forward_backward_is_exact():
     assert np.allclose(got[0], want / total) and np.isclose(pairs.sum(), 4) and np.isclose(logz, np.log(total))
 
 
+@pytest.mark.parametrize("chain", [1, 3, 7, 40])
+def test_messages_are_carried_over_stretches(chain):
+    model = language_id.fit_crf([("en", "the of and that with this".split() * 5), ("fr", "le la de les des une".split() * 5)], rounds=5)
+    rng = random.Random(chain)
+    texts = [" ".join(rng.choice("the of and le la des xyz abc".split()) for _ in range(n)) for n in (1, 2, 7, 8, 90, 41)] + [None, "12"]
+    got = {i: m for i, m in language_id.tag_batch(model, texts, {}, [], chain)}
+    assert got.keys() == set(range(6))
+    for i, marginal in got.items():
+        scores = model.emissions(texts[i].split()).astype(np.float32).astype(np.float64)[None]
+        assert np.allclose(marginal, model.forward_backward(scores, np.array([scores.shape[1]]))[0][0])
+
+
 # --- 9 repeats
 
 
