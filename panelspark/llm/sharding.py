@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import BROADCAST_BYTES
+
+#: Rows of a slice of a shard, about.
+SLICE = 20_000
+
 
 def jump(keys: np.ndarray, shards: int) -> np.ndarray:
     """The shard of each 64-bit key, all keys at once: jump ahead until the next place lies beyond the last shard."""
@@ -32,14 +37,17 @@ def shard_column(key, shards: int):
     return of(F.xxhash64(F.coalesce(key, F.lit(0).cast("long"))))
 
 
-def assign_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", parts: int = 64) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """doc_id, size (UTF-8 bytes plus 1), text_crc32, shard, slot (gapless in its shard), grown_shard (one shard more).
 
     doc_id and the number of shards alone decide the shard, so equal ids meet in one shard, a hot source changes
     nothing, and one shard more takes rows only into itself. Null text: size 1, checksum 0. A null doc_id is placed as
     the id 0. Rows that agree in everything get different slots in any order. Slots are counted in two steps, so that
     no task orders a whole shard: rows are numbered in each of `parts` slices of a shard, and a table of shards x parts
-    counts gives each slice its start. Texts are read once and never shuffled."""
+    counts gives each slice its start. parts follows the number of rows (one for about SLICE of them), which is
+    counted first if it isn't given. Texts of any length are read whole, and never shuffled. An empty table gives no
+    rows."""
+    parts = parts or max(1, -(-docs.count() // (SLICE * shards)))
     key = F.col(id_col).cast("long")
     rows = docs.select(
         key.alias("doc_id"),
@@ -50,9 +58,9 @@ def assign_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", tex
     own = Window.partitionBy("shard", "part").orderBy("doc_id", "size", "text_crc32")
     counts = rows.groupBy("shard", "part").agg(F.count("*").alias("n"))
     start = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("start"))
-    # shards x parts rows at most, whatever the input
+    # one row for SLICE rows of the input: broadcast up to a size
     return (
         rows.withColumn("within", F.row_number().over(own) - 1)
-        .join(F.broadcast(start), ["shard", "part"])
+        .join(F.broadcast(start) if shards * parts * 24 <= BROADCAST_BYTES else start, ["shard", "part"])
         .select("doc_id", "size", "text_crc32", "shard", (F.col("start") + F.col("within")).alias("slot"), "grown_shard")
     )

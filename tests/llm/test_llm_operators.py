@@ -93,6 +93,29 @@ def test_urls_by_rule_and_by_mined_rules(spark):
     assert url_filters.judge_urls(pages.limit(0), RULES, labels.limit(0)).count() == 0
 
 
+def test_mined_block_rules_hold_on_urls_they_have_not_seen(spark):
+    """A quarter of all pages is bad and no host is bad throughout: rules are held against the base rate."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(4000):
+        bets = rng.random() < 0.2
+        host = rng.choice(("free-bets", "casino-win") if bets else ("garden", "news-today", "kitchen")) + rng.choice((".example.com", ".example.edu"))
+        rows.append((i, f"https://{rng.choice(('www', 'm'))}.{host}/en/{i}", "block" if rng.random() < (0.62 if bets else 0.16) else "allow"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, label string")
+    labels = pages.where("page_id % 2 = 0").select("page_id", "label")
+    got = {r.page_id: r.verdict for r in url_filters.judge_urls(pages.drop("label"), {}, labels).collect()}
+    unseen = [(got[i], label, "bets" in u or "casino" in u) for i, u, label in rows if i % 2]
+    blocked = [x for x in unseen if x[0] == "block"]
+    assert all(bets == (verdict == "block") for verdict, _, bets in unseen)
+    assert sum(x[1] == "block" for x in blocked) >= 0.55 * len(blocked) and len(blocked) > 0.15 * len(unseen)
+    # labels that have nothing to do with the URLs give no rule
+    noise = pages.select("page_id", F.when(F.xxhash64("page_id") % 4 == 0, "block").otherwise("allow").alias("label"))
+    known = pages.select(url_filters.host_of(F.col("url")).alias("host"), url_filters.path_of(F.col("url")).alias("path"), "page_id").join(noise, "page_id")
+    assert url_filters.mine_rules(known).count() == 0
+    # at most about `rows` labelled rows are mined
+    assert url_filters.mine_rules(pages.select(url_filters.host_of(F.col("url")).alias("host"), url_filters.path_of(F.col("url")).alias("path"), "label"), rows=1000).where("verdict = 'block'").count() > 0
+
+
 # --- 2 packing
 
 
@@ -484,6 +507,23 @@ def test_jump_moves_rows_only_into_the_new_shard(spark, messy):
     assert sharding.assign_shards(documents(spark, rows).limit(0)).count() == 0
 
 
+def jump_by_force(key, shards):
+    """A key's shard with n + 1 shards is its shard with n, or the new one."""
+    b, j = -1, 0
+    while j < shards:
+        b = j
+        key = (key * 2862933555777941757 + 1) % 2**64
+        j = int((b + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return b
+
+
+def test_jump_by_force():
+    rng = random.Random(4)
+    keys = [0, -1, 2**63 - 1, -(2**63)] + [rng.randrange(-(2**63), 2**63) for _ in range(2000)]
+    for n in (1, 2, 16, 17, 1000):
+        assert sharding.jump(np.array(keys, np.int64), n).tolist() == [jump_by_force(k % 2**64, n) for k in keys]
+
+
 # --- 8 language
 
 
