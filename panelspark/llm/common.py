@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -94,6 +96,7 @@ def keys_met_again(rows: DataFrame, key: str, by: str, often: DataFrame, df: str
     return marked.withColumn(df, n).where(F.col(df) > 1).drop("_all")
 
 
+LIBC = ctypes.CDLL(None)
 #: What a worker process keeps between tasks, by name, as functions that drop it.
 KEPT: dict[str, Callable[[], None]] = {}
 
@@ -108,6 +111,9 @@ def drop_kept(but: str = "") -> None:
     for name in [n for n in KEPT if n != but]:
         KEPT.pop(name)()
     pa.default_memory_pool().release_unused()
+    gc.collect()
+    if hasattr(LIBC, "malloc_trim"):  # glibc keeps what was freed unless it's asked to give it back
+        LIBC.malloc_trim(0)
 
 
 def small_batches(df: DataFrame) -> DataFrame:
@@ -174,7 +180,7 @@ def prefix_sums(data: np.ndarray, table: np.ndarray = _BYTE) -> tuple[np.ndarray
     return sums, inverse
 
 
-def text_blocks(texts: list[bytes], most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+def text_blocks(texts: list[bytes], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `most` bytes together; a longer text stands alone."""
     start = size = 0
     for i, t in enumerate(texts):

@@ -17,7 +17,7 @@ from .common import drop_kept, join_small, small_batches, stored
 #: languages, but no language gets fewer than LEAST_DOCS if it has them. Words are taken in stretches of STRETCH.
 TRAIN_DOCS, TRAIN_WORDS, LEAST_DOCS, STRETCH = 1500, 160, 20, 20
 #: Hashed features; words of one stretch of a chain; remembered words of a task; scores (words x labels) that fitting holds at once.
-FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
+FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 100_000, 1 << 22
 WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -23,7 +23,7 @@ MOST_OPEN = 2048
 #: Ids that one Arrow batch of results holds, about.
 BATCH_IDS = 1 << 20
 #: Stretches whose ids a worker remembers, and how many more it makes before it forgets them for newer ones.
-REMEMBERED, STALE = 350_000, 5_000_000
+REMEMBERED, STALE = 200_000, 5_000_000
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 LETTERS_FIRST = re.compile(r"([^\W\d_]+)([!-@\[-`{-~].*)", re.S)
 

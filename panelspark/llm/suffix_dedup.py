@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import common_keys, drop_kept, in_share, join_counted, join_small, mixed, prefix_sums, stored, unique_documents
 
 #: Bytes of a repeat at least; of an anchor; of a text that a task takes at once; occurrences that one task compares.
-LEAST, GRAM, PIECE, GROUP = 100, 32, 1 << 19, 50_000
+LEAST, GRAM, PIECE, GROUP = 100, 32, 1 << 18, 50_000
 _MASK = np.uint64((1 << 26) - 1)
 
 
@@ -109,8 +109,8 @@ def contexts(docs: DataFrame, candidates: DataFrame, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_kept()
         for whole in batches:
-            for k in range(0, whole.num_rows, 2000):
-                b = whole.slice(k, 2000)
+            for k in range(0, whole.num_rows, 500):
+                b = whole.slice(k, 500)
                 rows = []
                 for doc, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                     for f in found:
