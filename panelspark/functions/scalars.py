@@ -36,11 +36,11 @@ def age_on(birth: Column, day: Column) -> Column:
 
 
 def band(value: Column, bands: Sequence[tuple[float | None, str]]) -> Column:
-    """Label of the first band whose upper bound holds the value; null for null."""
+    """Label of the first band whose upper bound holds the value, the first band beginning at 0; null below it."""
     out = F.lit(None).cast("string")
     for high, label in reversed(bands):
         out = F.lit(label) if high is None else F.when(value <= high, label).otherwise(out)
-    return F.when(value.isNotNull(), out)
+    return F.when(value >= 0, out)
 
 
 def most_serious(codes: Column, ranking: Sequence[str], fallback: str) -> Column:

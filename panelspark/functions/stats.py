@@ -13,18 +13,27 @@ def high_median(value: str) -> Column:
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
 
 
-def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], last: bool = False, least: int = 1) -> DataFrame:
+def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], last: bool = False, least: int = 1, ranges: int = 1024) -> DataFrame:
     """(keys, share, value): the sorted values' entry floor(n * share), or int(share * (n - 1)) if last.
 
-    Nulls don't count; groups under `least` give null. Values are counted first, so a group's window has one row for
-    each distinct value."""
+    value is a number; nulls don't count; groups under `least` give null. Values are counted first. Then `ranges` equal
+    ranges of a group's values are counted, which tells the range that holds the entry, and only within a range the
+    values are put in order: no task orders a whole group, also without keys."""
+    keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*keys).orderBy(value)
-    run = counts.withColumns({"_to": F.sum("_c").over(w), "_n": F.sum("_c").over(Window.partitionBy(*keys))})
-    each = run.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    at = F.floor(F.col("share") * (F.col("_n") - 1 if last else F.col("_n")))
-    hit = (F.col("_to") > at) & (F.col("_to") - F.col("_c") <= at)
-    return each.groupBy(*keys, "share").agg(F.max(F.when(hit & (F.col("_n") >= least), F.col(value))).alias("value"))
+    bounds = counts.groupBy(*keys).agg(F.min(value).cast("double").alias("_a"), F.max(value).cast("double").alias("_z"), F.sum("_c").alias("_n"))
+    known = counts.crossJoin(bounds) if not keys else counts.join(bounds, keys)
+    part = F.least(F.lit(ranges - 1), F.floor(F.coalesce(F.try_divide((F.col(value) - F.col("_a")) * ranges, F.col("_z") - F.col("_a")), F.lit(0.0))))
+    known = known.withColumn("_part", part.cast("int"))
+    parts = known.groupBy(*keys, "_part", "_n").agg(F.sum("_c").alias("_in"))
+    parts = parts.withColumn("_before", F.sum("_in").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_in"))  # `ranges` rows of a group
+    parts = parts.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+    parts = parts.withColumn("_at", F.floor(F.col("share") * (F.col("_n") - 1 if last else F.col("_n"))))
+    groups = parts.select(*keys, "share").distinct()
+    wanted = parts.where((F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_in")) & (F.col("_n") >= least)).select(*keys, "_part", "share", (F.col("_at") - F.col("_before")).alias("_at"))
+    run = known.join(wanted, [*keys, "_part"]).withColumn("_to", F.sum("_c").over(Window.partitionBy(*keys, "_part", "share").orderBy(value)))
+    hit = run.where((F.col("_to") > F.col("_at")) & (F.col("_to") - F.col("_c") <= F.col("_at"))).select(*keys, "share", value)
+    return groups.join(hit, [*keys, "share"], "left").select(*keys, "share", F.col(value).alias("value"))
 
 
 def label_counts(df: DataFrame, label: Column, labels: Sequence[str]) -> DataFrame:

@@ -6,13 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def classified_changes(versions: DataFrame, complete: Column, amount: str, kinds: str, entity: str = "entity", at: str = "seen_at") -> DataFrame:
-    """(entity, at, kind, before, after) between consecutive complete versions, by the first rule that fits: opened,
-    type added, type removed, lowered, raised."""
+#: Kinds of change in the order of their rules.
+KINDS = ("newly assessed", "recognizance entered", "reduced", "increased", "cleared")
+
+
+def classified_changes(versions: DataFrame, complete: Column, amount: str, kinds: str, assessed: str, recognizance: str, entity: str = "entity", at: str = "seen_at") -> DataFrame:
+    """(entity, at, kind, before, after) between consecutive complete versions, by the first rule that fits: the
+    assessed type appears, the recognizance type appears, the amount moves between two values above 0, or goes to 0."""
     w = Window.partitionBy(entity).orderBy(at)
     v = versions.where(complete).withColumns({"_a": F.lag(amount).over(w), "_k": F.lag(kinds).over(w)}).where("_k is not null")
-    gained, lost = F.size(F.array_except(kinds, "_k")) > 0, F.size(F.array_except("_k", kinds)) > 0
-    kind = F.when(gained & lost, "replaced").when(gained, "type added").when(lost, "type removed").when(F.col(amount) < F.col("_a"), "lowered").when(F.col(amount) > F.col("_a"), "raised")
+    new = lambda x: F.array_contains(kinds, x) & ~F.array_contains("_k", x)
+    old, now = F.coalesce("_a", F.lit(0)), F.coalesce(amount, F.lit(0))
+    moved = F.when(now < old, KINDS[2]).when(now > old, KINDS[3])
+    kind = F.when(new(assessed), KINDS[0]).when(new(recognizance), KINDS[1]).when((old > 0) & (now > 0), moved).when(old > 0, KINDS[4])
     return v.select(entity, F.col(at), kind.alias("kind"), F.col("_a").alias("before"), F.col(amount).alias("after")).where("kind is not null")
 
 
@@ -20,13 +26,14 @@ def first_of_kind(changes: DataFrame, entity: str = "entity", at: str = "seen_at
     return changes.groupBy(entity, "kind").agg(F.min(F.struct(at, "before", "after")).alias("x")).select(entity, "kind", f"x.{at}", "x.before", "x.after")
 
 
-def follow_up(changes: DataFrame, ends: DataFrame, snapshot: Column, entity: str = "entity", at: str = "seen_at", end: str = "end_date") -> DataFrame:
-    """Days from a change to the end, censored at the snapshot; dropped if the end comes before the change."""
+def follow_up(changes: DataFrame, ends: DataFrame, snapshot: Column, entity: str = "entity", at: str = "seen_at", end: str = "end_date", gone: Column | None = None, last_day: Column | None = None) -> DataFrame:
+    """Adds event and duration: days from a change to the end by the snapshot. Without one an entity that is `gone` is
+    censored on its last day, the others at the snapshot. duration is null if the change was seen after that."""
     day = F.col(at).cast("date")
-    j = changes.join(ends, entity, "left")
-    event = F.col(end).isNotNull() & (F.col(end) <= snapshot)
-    j = j.withColumns({"event": event, "duration": F.datediff(F.when(event, F.col(end)).otherwise(snapshot), day)})
-    return j.where((F.col(end).isNull() | (F.col(end) >= day)) & (F.col("duration") >= 0))
+    event = F.coalesce(F.col(end) <= snapshot, F.lit(False))
+    until = F.when(event, F.col(end)).when(F.lit(False) if gone is None else gone, F.lit(None).cast("date") if last_day is None else last_day).otherwise(snapshot)
+    j = changes.join(ends, entity, "left").withColumns({"event": event, "duration": F.datediff(until, day)})
+    return j.withColumn("duration", F.when(F.col("duration") >= 0, F.col("duration")))
 
 
 def date_moves(versions: DataFrame, date: str = "next_date", entity: str = "entity", at: str = "seen_at") -> DataFrame:
@@ -44,15 +51,23 @@ def conflicted_owners(owners: DataFrame, entity: str = "entity") -> DataFrame:
     return owners.where(F.size("owners") != 1).select(F.explode("owners").alias("owner")).distinct()
 
 
+def unconflicted(visits: DataFrame, owners: str = "owners", allowed_none: bool = False) -> DataFrame:
+    """Visits with one owner, in `owner`, who is in no visit of several owners (nor, unless allowed, in one without)."""
+    one = F.size(owners) == 1
+    bad = visits.where(~one if not allowed_none else F.size(owners) > 1).select(F.explode(owners).alias("owner")).distinct()
+    return visits.where(one).withColumn("owner", F.col(owners)[0]).join(bad, "owner", "left_anti")
+
+
 def visit_gaps(visits: DataFrame, owner: str = "owner", entity: str = "entity", start: str = "start_date", end: str = "end_date") -> DataFrame:
     """(owner, entity, kind, days) for each visit after an owner's first: the days from the end of the one before.
 
-    missing: no end before, or any start of the owner is missing; invalid: the end lies after this start."""
+    missing: no end before, or any start of the owner is missing; invalid: the visit before starts no earlier, ends
+    before its start, or ends after this start."""
     w = Window.partitionBy(owner).orderBy(start, entity)
-    v = visits.where(F.col(owner) != "").withColumns({"_void": F.max(F.col(start).isNull()).over(Window.partitionBy(owner)), "_end": F.lag(end).over(w), "_r": F.row_number().over(w)}).where("_r > 1")
-    days = F.datediff(start, "_end")
-    kind = F.when(F.col("_void") | F.col("_end").isNull(), "missing").when(days < 0, "invalid").otherwise("measured")
-    return v.select(owner, entity, kind.alias("kind"), F.when(kind == "measured", days).alias("days"))
+    v = visits.where(F.col(owner) != "").withColumns({"_void": F.max(F.col(start).isNull()).over(Window.partitionBy(owner)), "_end": F.lag(end).over(w), "_start": F.lag(start).over(w), "_r": F.row_number().over(w)}).where("_r > 1")
+    wrong = (F.col("_start") >= F.col(start)) | (F.col("_end") < F.col("_start")) | (F.col("_end") > F.col(start))
+    kind = F.when(F.col("_void") | F.col("_end").isNull(), "missing").when(wrong, "invalid").otherwise("measured")
+    return v.select(owner, entity, kind.alias("kind"), F.when(kind == "measured", F.datediff(start, "_end")).alias("days"))
 
 
 def visit_registry(rows: DataFrame, entity: str = "entity", owner: str = "owner", at: str = "slot", end: str = "end_date") -> DataFrame:

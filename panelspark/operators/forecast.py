@@ -98,7 +98,7 @@ def smoothed_weekday(series: DataFrame) -> DataFrame:
     j = known.join(past, "source")
     upto = F.filter("past", lambda p: p["n"] <= F.col("n"))
     adj = F.transform(upto, lambda p: p["mean"] - F.element_at(F.col("o"), F.pmod(p["n"], F.lit(7))))
-    level = F.aggregate(F.slice(adj, 2, 100_000), F.element_at(adj, 1), lambda a, x: a + ALPHA * (x - a))
+    level = F.aggregate(F.slice(adj, F.lit(2), F.size(adj)), F.element_at(adj, 1), lambda a, x: a + ALPHA * (x - a))
     return targets(j.select("source", "n", level.alias("level")), series, True)
 
 

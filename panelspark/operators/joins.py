@@ -53,10 +53,15 @@ def modal(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return n.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(value))).alias("_m")).select(*keys, F.col(f"_m.{value}").alias(value))
 
 
-def next_event(events: DataFrame, owner: str, entity: str, start: str, end: str) -> DataFrame:
-    """(entity, owner, end, next_start): the earliest later start of another entity of the same owner, on or after
-    the end. Blank owners are left out before the join; an owner's entities are few."""
-    a = events.where((F.col(owner) != "") & F.col(end).isNotNull()).select(owner, entity, end)
-    b = events.where(F.col(owner) != "").select(owner, F.col(entity).alias("_e"), F.col(start).alias("_s"))
-    hit = a.join(b, owner).where((F.col("_e") != F.col(entity)) & (F.col("_s") >= F.col(end)))
-    return hit.groupBy(entity, owner, end).agg(F.min("_s").alias("next_start"))
+def next_event(events: DataFrame, owner: str, entity: str, first_seen: str, end: str) -> DataFrame:
+    """(entity, owner, end, next_seen): when another entity of the same owner, first seen later than this one and not
+    before the day of its end, is first seen; null if none is.
+
+    Both conditions bound the time from below, so one ordered pass over an owner's times answers all, without a join.
+    Times of one owner are counted once; blank owners are left out."""
+    e = events.where(F.col(owner) != "").withColumn("_t", F.unix_micros(first_seen))
+    asks = e.where(F.col(end).isNotNull()).select(owner, entity, end, F.greatest(F.col("_t") + 1, F.unix_micros(F.col(end).cast("timestamp"))).alias("_at"), F.lit(None).cast("long").alias("_t"))
+    seen = e.select(owner, "_t").distinct().select(owner, *[F.lit(None).cast(e.schema[c].dataType).alias(c) for c in (entity, end)], F.col("_t").alias("_at"), "_t")
+    ahead = Window.partitionBy(owner).orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    out = asks.union(seen).withColumn("_next", F.min("_t").over(ahead)).where(F.col(entity).isNotNull())
+    return out.select(entity, owner, end, F.timestamp_micros("_next").alias("next_seen"))

@@ -75,27 +75,25 @@ def field_changes(details: DataFrame, facts: list[str], entity: str = "entity",
     return wide.unpivot([], facts, "field", "changes")
 
 
-def in_effect(history: DataFrame, seq: DataFrame, value: str, entity: str = "entity", slot: str = "slot") -> DataFrame:
-    """(entity, from_seq, to_seq, value): change points as ranges of snapshot numbers."""
-    last = F.broadcast(seq.agg(F.max("seq").alias("last_seq")))
-    h = history.join(F.broadcast(seq.select(F.col(slot).alias("at"), "seq")), "at").crossJoin(last)
-    nxt = F.lead("seq").over(Window.partitionBy(entity).orderBy("seq"))
-    return h.select(entity, F.col("seq").alias("from_seq"), F.coalesce(nxt - 1, F.col("last_seq")).alias("to_seq"), value)
-
-
 def held_rows(rows: DataFrame, zone: str = "UTC", entity: str = "entity", slot: str = "slot", owner: str = "owner", end: str = "end_date") -> DataFrame:
-    """(entity, seq, slot, owner, end): each snapshot of each span with the values in effect then, by equality joins on
-    (entity, seq); ranges become rows, which is what the snapshots had."""
-    seq = sequence(rows, [], slot).select(slot, "seq")
-    spans = presence_spans(rows, entity, slot)
-    present = spans.select(entity, F.explode(F.sequence("start_seq", "end_seq")).alias("seq"))
+    """(entity, seq, slot, owner, end): each snapshot of each span with the values in effect then.
 
-    def filled(value: str, first_null: bool) -> DataFrame:
-        r = in_effect(changes(rows, value, first_null, entity, slot), seq, value, entity, slot)
-        return r.select(entity, F.explode(F.sequence("from_seq", "to_seq")).alias("seq"), value)
-
-    out = present.join(filled(owner, True), [entity, "seq"], "left").join(filled(end, False), [entity, "seq"], "left")
-    return out.join(F.broadcast(seq), "seq").select(entity, "seq", slot, owner, end)
+    Spans become the snapshots they had, change points are put between them, and one window per entity carries the last
+    value on; its rows are the entity's snapshots and changes, nothing beyond a span."""
+    seq = sequence(rows, [], slot).select(slot, "seq")
+    present = presence_spans(rows, entity, slot).select(entity, F.explode(F.sequence("start_seq", "end_seq")).alias("seq"))
+    of = {owner: changes(rows, owner, True, entity, slot), end: changes(rows, end, False, entity, slot)}
+    kinds = {c: rows.schema[c].dataType for c in of}
+
+    def points(name: str) -> DataFrame:
+        h = of[name].withColumnRenamed("at", slot).join(seq, slot)
+        return h.select(entity, "seq", F.lit(False).alias("_here"), *[(F.struct(F.col(c).alias("v")) if c == name else F.lit(None).cast(f"struct<v:{kinds[c].simpleString()}>")).alias(f"_{c}") for c in of])
+
+    here = present.select(entity, "seq", F.lit(True).alias("_here"), *[F.lit(None).cast(f"struct<v:{kinds[c].simpleString()}>").alias(f"_{c}") for c in of])
+    each = here.union(points(owner)).union(points(end)).groupBy(entity, "seq").agg(F.max("_here").alias("_here"), *[F.max(f"_{c}").alias(f"_{c}") for c in of])
+    w = Window.partitionBy(entity).orderBy("seq")
+    held = each.withColumns({c: F.last(f"_{c}", ignorenulls=True).over(w) for c in of}).where("_here")
+    return held.join(seq, "seq").select(entity, "seq", slot, F.col(f"{owner}.v").alias(owner), F.col(f"{end}.v").alias(end))
 
 
 def held_at(slot: Column, end: Column, zone: str = "UTC") -> Column:

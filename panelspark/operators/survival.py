@@ -57,25 +57,33 @@ def step_curve(km: DataFrame) -> DataFrame:
     return km.where("events > 0")
 
 
-def group_summary(obs: DataFrame, keys: Sequence[str], duration: str = "duration", event: str = "event") -> DataFrame:
-    """n, events, censored, longest follow-up, quartiles of the event time."""
+def group_summary(obs: DataFrame, keys: Sequence[str], duration: str = "duration", event: str = "event", days: Sequence[int] = ()) -> DataFrame:
+    """n, events, censored, longest follow-up, quartiles of the event time; for each of `days` the survival with its
+    limits and how many are followed longer (still_, lower_, upper_ and at_risk_ with the day)."""
     keys = list(keys)
     km = kaplan_meier(obs, keys, duration, event)
     n = km.groupBy(*keys).agg(F.sum(F.col("events") + F.col("censored")).alias("n"), F.sum("events").alias("events"), F.sum("censored").alias("censored"), F.max("time").alias("longest"))
     q = event_quantiles(km, keys, (0.25, 0.5, 0.75)).groupBy(*keys).agg(*[F.max(F.when(F.col("share") == s, F.col("time"))).alias(name) for s, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    return n.join(q, keys)
+    out = n.join(q, keys)
+    if days:
+        at = survival_at(km, keys, days).join(at_risk_at(km, keys, days), [*keys, "day"])
+        wide = [F.max(F.when(F.col("day") == d, F.col(c))).alias(f"{name}_{d}") for d in days for c, name in (("survival", "still"), ("lower", "lower"), ("upper", "upper"), ("at_risk", "at_risk"))]
+        out = out.join(at.groupBy(*keys).agg(*wide), keys)
+    return out
 
 
-def build_stays(entities: DataFrame, start: Column, first_seen: Column, end: Column, last_known: Column, early: int = 7) -> DataFrame:
-    """Adds origin, reason (why a stay is left out), duration in days and event.
+def build_stays(entities: DataFrame, start: Column, first_seen: Column, end: Column, last_known: Column, early: int = 7, gone: Column | None = None, last_seen: Column | None = None) -> DataFrame:
+    """Adds origin, from_start, reason (why a stay is left out), duration in days and event.
 
     The origin is the start date, else the day first seen. Left out: a start more than `early` days before the first
-    sight or after it, an end before the origin. Without an end the stay is censored on its last known day."""
+    sight or after it, an end of follow-up before the origin. Without an end by the last known day a stay is censored:
+    on the day last seen if it is `gone`, else on the last known day."""
     origin = F.coalesce(start, first_seen)
-    reason = F.when(start < F.date_sub(first_seen, early), "start too early").when(start > first_seen, "start after first seen").when(end < origin, "end before origin")
-    out = entities.withColumns({"origin": origin, "reason": reason, "event": end.isNotNull() & (end <= last_known)})
-    until = F.when(F.col("event"), end).otherwise(last_known)
-    return out.withColumn("duration", F.when(F.col("reason").isNull(), F.datediff(until, "origin")))
+    event = F.coalesce(end <= last_known, F.lit(False))
+    until = F.when(event, end).when(F.lit(False) if gone is None else gone, last_known if last_seen is None else last_seen).otherwise(last_known)
+    reason = F.when(origin < F.date_sub(first_seen, early), "start too early").when(origin > first_seen, "start after first seen").when(until < origin, "end before origin")
+    out = entities.withColumns({"origin": origin, "from_start": start.isNotNull(), "reason": reason, "event": event, "_until": until})
+    return out.withColumn("duration", F.when(F.col("reason").isNull(), F.datediff("_until", "origin"))).drop("_until")
 
 
 def stacked_groups(stays: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -112,18 +112,6 @@ def a17_median_by_local_day(spark: SparkSession, d: str) -> DataFrame:
     return V(spark, d, "points").groupBy(local_date(F.col("slot"), "America/Chicago").cast("string").alias("day")).agg(F.median("population").alias("median"), F.count("*").alias("versions"))
 
 
-A18 = """, c AS (SELECT owner, count(*) AS n FROM visits GROUP BY 1) SELECT count(*) AS people, count_if(n = 1) AS once, count_if(n = 2) AS twice, count_if(n = 3) AS three, count_if(n = 4) AS four, count_if(n >= 5) AS five_plus, max(n) AS most,
-count_if(n > 1) AS repeat_people, CAST(sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS BIGINT) AS repeat_visits, CAST(sum(n - 1) AS BIGINT) AS additional FROM c"""
-
-
-@query(duck("visits", A18))
-def a18_visit_frequency(spark: SparkSession, d: str) -> DataFrame:
-    n = F.col("n")
-    c = V(spark, d, "visits").groupBy("owner").agg(F.count("*").alias("n"))
-    is_n = [F.count_if(n == k).alias(name) for k, name in ((1, "once"), (2, "twice"), (3, "three"), (4, "four"))]
-    return c.agg(F.count("*").alias("people"), *is_n, F.count_if(n >= 5).alias("five_plus"), F.max("n").alias("most"), F.count_if(n > 1).alias("repeat_people"), F.sum(F.when(n > 1, n).otherwise(0)).alias("repeat_visits"), F.sum(n - 1).alias("additional"))
-
-
 @query(duck("visits", "SELECT owner, CASE WHEN count(end_date) = count(*) THEN CAST(min(end_date) AS VARCHAR) END AS first_end FROM visits GROUP BY 1"))
 def a19_all_present_minimum(spark: SparkSession, d: str) -> DataFrame:
     return V(spark, d, "visits").groupBy("owner").agg(F.when(F.count("end_date") == F.count("*"), F.min("end_date")).cast("string").alias("first_end"))

@@ -6,31 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats
-from ..functions.scalars import band, us_date
-from ..operators import events, joins, survival
+from ..functions.scalars import us_date
+from ..operators import events, survival
 from ..operators.panel import owners_of
 from ..sources.views import duck, table, view
 from .registry import query, secs, text
 
 V = view
-MULTI = "len(list_filter({a}, lambda x: NOT list_contains({b}, x))) > 0"
-GAIN, LOSS = MULTI.format(a="amount_types", b="pk"), MULTI.format(a="pk", b="amount_types")
-CHANGES = f""", pv AS (SELECT *, lag(amount) OVER w AS pa, lag(amount_types) OVER w AS pk FROM details WHERE status <> 'some' WINDOW w AS (PARTITION BY entity ORDER BY seen_at)),
-ch AS (SELECT entity, seen_at, CASE WHEN {GAIN} AND {LOSS} THEN 'replaced' WHEN {GAIN} THEN 'type added' WHEN {LOSS} THEN 'type removed' WHEN amount < pa THEN 'lowered' WHEN amount > pa THEN 'raised' END AS kind, pa AS before, amount AS after FROM pv WHERE pk IS NOT NULL),
-changes AS (SELECT * FROM ch WHERE kind IS NOT NULL), firsts AS (SELECT entity, kind, min(seen_at) AS seen_at, arg_min(before, seen_at) AS before, arg_min(after, seen_at) AS after FROM changes GROUP BY 1, 2)"""
 ENDS = ", ends AS (SELECT o_orderkey AS entity, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 900 AS INT) END AS end_date FROM orders)"
 SNAP = "DATE '1998-12-01'"
-FOLLOW = CHANGES + ENDS + f""", fu AS (SELECT f.*, end_date IS NOT NULL AND end_date <= {SNAP} AS event, date_diff('day', CAST(seen_at AS DATE), CASE WHEN end_date <= {SNAP} THEN end_date ELSE {SNAP} END) AS duration FROM firsts f LEFT JOIN ends USING (entity) WHERE end_date IS NULL OR end_date >= CAST(seen_at AS DATE)),
-follow AS (SELECT * FROM fu WHERE duration >= 0)"""
 KM = """, c AS (SELECT {k} AS g, duration AS time, count_if(event) AS events, count_if(NOT event) AS censored FROM {t} GROUP BY 1, 2), r AS (SELECT *, sum(events + censored) OVER (PARTITION BY g ORDER BY time DESC) AS at_risk FROM c),
 km AS (SELECT *, product(1 - events / at_risk) OVER (PARTITION BY g ORDER BY time) AS survival FROM r)
 SELECT g AS {k}, CAST(sum(events + censored) AS BIGINT) AS n, CAST(sum(events) AS BIGINT) AS events, min(CASE WHEN survival <= 0.5 + 1e-12 THEN time END) AS median FROM km GROUP BY 1"""
 
 
-def changes(spark: SparkSession, d: str) -> DataFrame:
-    return events.classified_changes(V(spark, d, "details"), F.col("status") != "some", "amount", "amount_types")
-
-
 def ends(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return o.select(F.col("o_orderkey").alias("entity"), F.when(F.col("o_orderstatus") == "F", F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 900).cast("int"))).alias("end_date"))
@@ -40,31 +29,6 @@ def snap():
     return F.lit("1998-12-01").cast("date")
 
 
-def followed(spark: SparkSession, d: str) -> DataFrame:
-    return events.follow_up(events.first_of_kind(changes(spark, d)), ends(spark, d), snap())
-
-
-@query(duck("details", CHANGES + " SELECT entity, CAST(epoch(seen_at) AS BIGINT) AS seen_at, kind, before, after FROM changes"))
-def c1_classified_changes(spark: SparkSession, d: str) -> DataFrame:
-    return changes(spark, d).select("entity", secs("seen_at"), "kind", "before", "after")
-
-
-@query(duck("details", CHANGES + " SELECT entity, CAST(epoch(seen_at) AS BIGINT) AS seen_at, kind, before, after FROM firsts"))
-def c2_first_of_kind(spark: SparkSession, d: str) -> DataFrame:
-    return events.first_of_kind(changes(spark, d)).select("entity", secs("seen_at"), "kind", "before", "after")
-
-
-@query(duck("details", FOLLOW + " SELECT entity, kind, event, CAST(duration AS INT) AS duration FROM follow"))
-def c3_follow_up(spark: SparkSession, d: str) -> DataFrame:
-    return followed(spark, d).select("entity", "kind", "event", "duration")
-
-
-@query(duck("details", FOLLOW + KM.format(k="kind", t="follow")))
-def c4_event_study(spark: SparkSession, d: str) -> DataFrame:
-    """Survival after the first change of each kind."""
-    return survival.group_summary(followed(spark, d), ["kind"]).select("kind", "n", "events", "median")
-
-
 C5 = ENDS + f""", l AS (SELECT entity, arg_max(amount, seen_at) AS amount, min(seen_at) AS first_at FROM details WHERE status <> 'some' GROUP BY 1), h AS (SELECT l.*, date_diff('day', CAST(first_at AS DATE), {SNAP}) AS days FROM l JOIN ends USING (entity) WHERE end_date IS NULL OR end_date > {SNAP})
 SELECT lim AS "limit", count(*) AS held, list_sort(list(days))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS high_median, count_if(days > 30) AS over_30, count_if(days > 90) AS over_90 FROM h, (SELECT unnest([10000, 30000, 60000]) AS lim) WHERE amount <= lim GROUP BY 1"""
 
@@ -88,7 +52,7 @@ flow AS (SELECT lim AS "limit", event, duration FROM x WHERE (end_date IS NULL O
 def c6_flow(spark: SparkSession, d: str) -> DataFrame:
     """Entities whose first decision is under a limit, followed to their end."""
     f = V(spark, d, "details").where("status = 'all'").groupBy("entity").agg(F.min(F.struct("seen_at", "amount")).alias("x")).select("entity", "x.seen_at", "x.amount")
-    f = events.follow_up(f, ends(spark, d), snap())
+    f = events.follow_up(f, ends(spark, d), snap()).where("duration is not null")
     return survival.group_summary(stats.threshold_groups(f, "amount", (10000, 30000, 60000)), ["limit"]).select("limit", "n", "events", "median")
 
 
@@ -111,21 +75,6 @@ def c8_date_move_summary(spark: SparkSession, d: str) -> DataFrame:
     return moves(spark, d).groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("entity").alias("entities"), stats.high_median("days").alias("high_median"))
 
 
-C9 = """, i AS (SELECT case_no, min(event_date) AS day FROM reports WHERE family = 'indictments' AND version >= 1995 GROUP BY 1), c AS (SELECT DISTINCT l_orderkey AS entity, CAST(l_partkey AS VARCHAR) AS case_no FROM lineitem),
-e AS (SELECT entity, min(day) AS day FROM c JOIN i USING (case_no) GROUP BY 1), j AS (SELECT o_orderstatus AS status, date_diff('day', CAST(o_orderdate AS DATE), day) AS days FROM e JOIN orders ON o_orderkey = entity)
-SELECT status, count(*) AS linked, count_if(days < 0) AS before_start, median(CASE WHEN days >= 0 THEN days END) AS median FROM j GROUP BY 1"""
-
-
-@query(duck("reports", C9))
-def c9_event_timing(spark: SparkSession, d: str) -> DataFrame:
-    """From the start to the earliest linked event; events before the start are counted apart."""
-    i = V(spark, d, "reports").where("family = 'indictments' and version >= 1995").groupBy("case_no").agg(F.min("event_date").alias("day"))
-    c = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").cast("string").alias("case_no")).distinct()
-    e = c.join(i, "case_no").groupBy("o_orderkey").agg(F.min("day").alias("day"))
-    j = e.join(table(spark, d, "orders"), "o_orderkey").withColumn("days", F.datediff("day", F.col("o_orderdate").cast("date")))
-    return j.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("linked"), F.count_if(F.col("days") < 0).alias("before_start"), F.median(F.when(F.col("days") >= 0, F.col("days"))).alias("median"))
-
-
 OWN = ", ow AS (SELECT entity, list(DISTINCT owner) FILTER (owner <> '') AS owners FROM roster GROUP BY 1), bad AS (SELECT DISTINCT unnest(owners) AS owner FROM ow WHERE len(owners) <> 1)"
 
 
@@ -134,43 +83,6 @@ def c10_conflicted_owners(spark: SparkSession, d: str) -> DataFrame:
     return events.conflicted_owners(owners_of(V(spark, d, "roster")))
 
 
-C11 = """, z AS (SELECT max(start_date) AS snap FROM visits), h AS (SELECT a.entity, a.end_date, min(b.start_date) AS nxt FROM visits a LEFT JOIN visits b ON a.owner = b.owner AND a.entity <> b.entity AND b.start_date >= a.end_date WHERE a.end_date IS NOT NULL GROUP BY 1, 2),
-x AS (SELECT nxt IS NOT NULL AS event, date_diff('day', end_date, coalesce(nxt, snap)) AS duration, nxt = end_date AS same_day FROM h, z WHERE end_date <= snap),
-c AS (SELECT duration AS time, count_if(event) AS events, count_if(NOT event) AS censored FROM x GROUP BY 1), r AS (SELECT *, sum(events + censored) OVER (ORDER BY time DESC) AS at_risk FROM c), km AS (SELECT *, product(1 - events / at_risk) OVER (ORDER BY time) AS survival FROM r),
-days AS (SELECT unnest([7, 30, 60, 90]) AS day)
-SELECT day, round(coalesce(arg_max(survival, time) FILTER (time <= day), 1.0), 6) AS survival, (SELECT count(*) FROM x) AS n, (SELECT count_if(same_day) FROM x) AS same_day FROM km, days GROUP BY day"""
-
-
-@query(duck("visits", C11))
-def c11_re_entry(spark: SparkSession, d: str) -> DataFrame:
-    """From an end to the owner's next start, censored at the snapshot."""
-    v = V(spark, d, "visits")
-    nxt = joins.next_event(v, "owner", "entity", "start_date", "end_date").select("entity", "next_start")
-    x = v.join(nxt, "entity", "left").crossJoin(F.broadcast(v.agg(F.max("start_date").alias("snap")))).where("end_date <= snap")
-    x = x.select(F.lit("all").alias("g"), F.col("next_start").isNotNull().alias("event"), F.datediff(F.coalesce("next_start", "snap"), "end_date").alias("duration"), (F.col("next_start") == F.col("end_date")).alias("same"))
-    at = survival.survival_at(survival.kaplan_meier(x, ["g"]), ["g"], (7, 30, 60, 90)).select("day", F.round("survival", 6).alias("survival"))
-    return at.crossJoin(x.agg(F.count("*").alias("n"), F.count_if("same").alias("same_day")))
-
-
-GAPS = """, g AS (SELECT *, lag(end_date) OVER w AS pe, row_number() OVER w AS r FROM visits WINDOW w AS (PARTITION BY owner ORDER BY start_date, entity)),
-gaps AS (SELECT owner, entity, CASE WHEN pe IS NULL THEN 'missing' WHEN start_date < pe THEN 'invalid' ELSE 'measured' END AS kind, CASE WHEN start_date >= pe THEN date_diff('day', pe, start_date) END AS days FROM g WHERE r > 1)"""
-GAP_BINS = [(7, "0-7"), (30, "8-30"), (90, "31-90"), (180, "91-180"), (365, "181-365"), (None, "over 365")]
-
-
-@query(duck("visits", GAPS + " SELECT owner, entity, kind, CAST(days AS INT) AS days FROM gaps"))
-def c12_visit_gaps(spark: SparkSession, d: str) -> DataFrame:
-    return events.visit_gaps(V(spark, d, "visits"))
-
-
-CASE = "CASE " + " ".join(f"WHEN days <= {h} THEN '{x}'" if h else f"ELSE '{x}' END" for h, x in GAP_BINS)
-
-
-@query(duck("visits", GAPS + f", b AS (SELECT {CASE} AS label FROM gaps WHERE days IS NOT NULL) SELECT CAST(i - 1 AS INT) AS ord, o.label, count(b.label) AS n FROM (SELECT unnest({[x for _, x in GAP_BINS]}) AS label, generate_subscripts({[x for _, x in GAP_BINS]}, 1) AS i) o LEFT JOIN b ON b.label = o.label GROUP BY 1, 2"))
-def c13_gap_histogram(spark: SparkSession, d: str) -> DataFrame:
-    g = events.visit_gaps(V(spark, d, "visits")).where("days is not null")
-    return stats.label_counts(g, band(F.col("days"), GAP_BINS), [x for _, x in GAP_BINS])
-
-
 @query(duck("roster", "SELECT entity, coalesce(string_agg(DISTINCT owner, ',' ORDER BY owner) FILTER (owner <> ''), '') AS owners, CAST(epoch(min(slot)) AS BIGINT) AS first_seen, CAST((list(end_date ORDER BY slot DESC))[1] AS VARCHAR) AS end_date FROM roster GROUP BY 1"))
 def c14_visit_registry(spark: SparkSession, d: str) -> DataFrame:
     return events.visit_registry(V(spark, d, "roster")).select("entity", F.array_join("owners", ",").alias("owners"), secs("first_seen"), text("end_date"))

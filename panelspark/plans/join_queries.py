@@ -166,11 +166,6 @@ def j15_status_sets(spark: SparkSession, d: str) -> DataFrame:
     return orders(spark, d).select("entity").join(status, "entity").select("entity", "case_no", "statuses")
 
 
-@query(duck("visits", ", h AS (SELECT a.entity, a.owner, a.end_date, min(b.start_date) AS nxt FROM visits a JOIN visits b ON a.owner = b.owner AND a.entity <> b.entity AND b.start_date >= a.end_date GROUP BY 1, 2, 3) SELECT entity, owner, CAST(end_date AS VARCHAR) AS end_date, CAST(nxt AS VARCHAR) AS next_start FROM h"))
-def j16_next_event(spark: SparkSession, d: str) -> DataFrame:
-    return joins.next_event(V(spark, d, "visits"), "owner", "entity", "start_date", "end_date").select("entity", "owner", text("end_date"), text("next_start"))
-
-
 J18 = "WITH c AS (SELECT o_orderkey AS k, md5(o_orderstatus) AS h FROM orders WHERE o_orderkey % 5 <> 0) SELECT o_orderkey AS entity, CASE WHEN c.k IS NULL THEN 'new' WHEN c.h = md5(CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END) THEN 'same' ELSE 'changed' END AS state FROM orders LEFT JOIN c ON c.k = o_orderkey"
 
 

@@ -62,30 +62,17 @@ def k6_step_curve(spark: SparkSession, d: str) -> DataFrame:
     return rounded(survival.step_curve(km(spark, d)).select("grp", "time", "survival"), "survival")
 
 
-K7 = KM + """ SELECT grp, CAST(sum(events + censored) AS BIGINT) AS n, CAST(sum(events) AS BIGINT) AS events, CAST(sum(censored) AS BIGINT) AS censored, max(time) AS longest,
-min(CASE WHEN survival <= 0.75 + 1e-12 THEN time END) AS q1, min(CASE WHEN survival <= 0.5 + 1e-12 THEN time END) AS median, min(CASE WHEN survival <= 0.25 + 1e-12 THEN time END) AS q3 FROM km GROUP BY 1"""
+K7_DAYS = (7, 30, 90)
+K7_WIDE = ", ".join(f"round(max(survival) FILTER (day = {x}), 6) AS still_{x}, round(max(lower) FILTER (day = {x}), 6) AS lower_{x}, round(max(upper) FILTER (day = {x}), 6) AS upper_{x}" for x in K7_DAYS)
+K7 = AT + ", wide AS (SELECT grp, " + K7_WIDE + """ FROM atv GROUP BY 1), counted AS (SELECT grp, CAST(sum(events + censored) AS BIGINT) AS n, CAST(sum(events) AS BIGINT) AS events, CAST(sum(censored) AS BIGINT) AS censored, max(time) AS longest,
+min(CASE WHEN survival <= 0.75 + 1e-12 THEN time END) AS q1, min(CASE WHEN survival <= 0.5 + 1e-12 THEN time END) AS median, min(CASE WHEN survival <= 0.25 + 1e-12 THEN time END) AS q3, """ + ", ".join(f"CAST(sum(CASE WHEN time > {x} THEN events + censored ELSE 0 END) AS BIGINT) AS at_risk_{x}" for x in K7_DAYS) + """ FROM km GROUP BY 1)
+SELECT * FROM counted JOIN wide USING (grp)"""
 
 
 @query(duck("stays", K7))
 def k7_group_summary(spark: SparkSession, d: str) -> DataFrame:
-    return survival.group_summary(stays(spark, d), ["grp"])
-
-
-BUILT = """, cov AS (SELECT max(start_date) AS snap FROM visits), b AS (SELECT entity, owner, start_date, end_date, start_date + CAST(entity % 11 - 1 AS INT) AS first_seen, snap FROM visits, cov),
-o AS (SELECT *, start_date AS origin, CASE WHEN start_date < first_seen - 7 THEN 'start too early' WHEN start_date > first_seen THEN 'start after first seen' WHEN end_date < start_date THEN 'end before origin' END AS reason,
-end_date IS NOT NULL AND end_date <= snap AS event FROM b),
-built AS (SELECT *, CASE WHEN reason IS NULL THEN date_diff('day', origin, CASE WHEN event THEN end_date ELSE snap END) END AS duration FROM o)"""
-
-
-def built(spark: SparkSession, d: str) -> DataFrame:
-    v = view(spark, d, "visits")
-    v = v.crossJoin(F.broadcast(v.agg(F.max("start_date").alias("snap")))).withColumn("first_seen", F.date_add("start_date", (F.col("entity") % 11 - 1).cast("int")))
-    return survival.build_stays(v, F.col("start_date"), F.col("first_seen"), F.col("end_date"), F.col("snap"))
-
-
-@query(duck("visits", BUILT + " SELECT entity, CAST(origin AS VARCHAR) AS origin, reason, CAST(duration AS INT) AS duration, event FROM built"))
-def k8_stays(spark: SparkSession, d: str) -> DataFrame:
-    return built(spark, d).select("entity", F.col("origin").cast("string").alias("origin"), "reason", "duration", "event")
+    got = survival.group_summary(stays(spark, d), ["grp"], days=K7_DAYS)
+    return rounded(got, *[f"{c}_{x}" for x in K7_DAYS for c in ("still", "lower", "upper")])
 
 
 @query(duck("details", " SELECT entity, CAST(epoch(min(seen_at) FILTER (n_rows >= 2)) AS BIGINT) AS first_complete, CAST(epoch(min(seen_at) FILTER (status = 'all')) AS BIGINT) AS first_decided, arg_min(amount, seen_at) FILTER (status = 'all') AS decided_amount FROM details GROUP BY 1"))
@@ -105,28 +92,6 @@ def k10_group_labels(spark: SparkSession, d: str) -> DataFrame:
     return x.select(F.expr("stack(3, 'amount', amount, 'kind', kind, 'status', status) AS (dimension, label)")).groupBy("dimension", "label").agg(F.count("*").alias("n"))
 
 
-K11 = BUILT + """, j AS (SELECT b.*, o_orderpriority AS priority, o_orderstatus AS status FROM built b JOIN orders ON o_orderkey = entity WHERE duration IS NOT NULL),
-st AS (SELECT 'all' AS dimension, 'all' AS label, duration, event FROM j UNION ALL SELECT 'priority', priority, duration, event FROM j UNION ALL SELECT 'status', status, duration, event FROM j),
-c AS (SELECT dimension, label, duration AS time, count_if(event) AS events, count_if(NOT event) AS censored FROM st WHERE duration >= 0 GROUP BY 1, 2, 3),
-r AS (SELECT *, sum(events + censored) OVER (PARTITION BY dimension, label ORDER BY time DESC) AS at_risk FROM c),
-km AS (SELECT *, product(1 - events / at_risk) OVER (PARTITION BY dimension, label ORDER BY time) AS survival FROM r)
-SELECT dimension, label, CAST(sum(events + censored) AS BIGINT) AS n, CAST(sum(events) AS BIGINT) AS events, CAST(max(time) AS INT) AS longest, CAST(min(CASE WHEN survival <= 0.5 + 1e-12 THEN time END) AS INT) AS median FROM km GROUP BY 1, 2"""
-
-
-@query(duck("visits", K11))
-def k11_cohort(spark: SparkSession, d: str) -> DataFrame:
-    """Stays that aren't left out, overall and by two groupings, in one pass."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("entity"), F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"))
-    s = built(spark, d).where("duration is not null").join(o, "entity")
-    out = survival.group_summary(survival.stacked_groups(s, ["priority", "status"]), ["dimension", "label"])
-    return out.select("dimension", "label", "n", "events", "longest", "median")
-
-
-@query(duck("visits", BUILT + " SELECT count_if(end_date <= first_seen) AS ended_when_seen, count_if(end_date = start_date) AS same_day, count_if(reason IS NOT NULL) AS left_out FROM built"))
-def k12_short_stays(spark: SparkSession, d: str) -> DataFrame:
-    return built(spark, d).agg(F.count_if(F.col("end_date") <= F.col("first_seen")).alias("ended_when_seen"), F.count_if(F.col("end_date") == F.col("start_date")).alias("same_day"), F.count_if(F.col("reason").isNotNull()).alias("left_out"))
-
-
 HOURS = """, h AS (SELECT (epoch(min(seen_at) FILTER (status = 'all')) - epoch(min(seen_at))) / 3600 AS hours FROM details GROUP BY entity), s AS (SELECT hours, row_number() OVER (ORDER BY hours) - 1 AS i, count(*) OVER () AS n FROM h WHERE hours IS NOT NULL)
 SELECT CAST(share AS DOUBLE) AS share, max(hours) FILTER (i = floor(n * share)) AS value FROM s, (SELECT unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]) AS share) GROUP BY 1"""
 
@@ -152,10 +117,10 @@ def k16_event_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 ORDER = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "6-NONE"]
-K17 = f"SELECT ord, grp, CASE WHEN n BETWEEN 1 AND 9 THEN '<10' ELSE CAST(n AS VARCHAR) END AS n, CASE WHEN n >= 10 THEN m END AS longest FROM (SELECT CAST(i - 1 AS INT) AS ord, o.grp, count(s.entity) AS n, max(duration) AS m FROM (SELECT unnest({ORDER}) AS grp, generate_subscripts({ORDER}, 1) AS i) o LEFT JOIN stays s ON s.grp = o.grp AND duration > 2300 GROUP BY 1, 2)"
+K17 = f"SELECT ord, grp, CASE WHEN n BETWEEN 1 AND 9 THEN '<10' ELSE CAST(n AS VARCHAR) END AS n, CASE WHEN n >= 10 THEN m END AS longest FROM (SELECT CAST(i - 1 AS INT) AS ord, o.grp, count(s.entity) AS n, max(duration) AS m FROM (SELECT unnest({ORDER}) AS grp, generate_subscripts({ORDER}, 1) AS i) o LEFT JOIN stays s ON s.grp = o.grp GROUP BY 1, 2)"
 
 
 @query(duck("stays", K17))
 def k17_published_groups(spark: SparkSession, d: str) -> DataFrame:
-    g = stays(spark, d).where("duration > 2300").groupBy("grp").agg(F.count("*").alias("n"), F.max("duration").alias("longest"))
+    g = stays(spark, d).groupBy("grp").agg(F.count("*").alias("n"), F.max("duration").alias("longest"))
     return survival.published_rows(g, "grp", ORDER, "n", ["longest"])

@@ -26,6 +26,12 @@ SPARK = {
         FROM {lineitem}""",
     "visits": """SELECT o_orderkey AS entity, concat('C', CAST(o_custkey AS STRING)) AS owner, CAST(o_orderdate AS DATE) AS start_date,
         CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INT) END AS end_date FROM {orders}""",
+    "bookings": """SELECT *, CASE WHEN end_date <= DATE '1998-08-15' THEN 'released' WHEN on_latest THEN 'held' ELSE 'disappeared' END AS outcome FROM (SELECT o_orderkey AS entity,
+        CASE WHEN o_orderkey % 89 = 0 THEN CAST(array() AS ARRAY<STRING>) WHEN o_orderkey % 97 = 0 THEN array(concat('C', o_custkey), concat('C', o_custkey + 1)) ELSE array(concat('C', o_custkey)) END AS owners,
+        CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN od - 20 ELSE od + CAST(o_orderkey % 11 - 1 AS INT) END AS start_date, first_seen, first_seen + make_dt_interval(CAST(o_orderkey % 200 AS INT), CAST(o_orderkey % 5 AS INT)) AS last_seen,
+        CASE WHEN o_orderstatus <> 'O' THEN od + CAST(o_orderkey % 120 - 2 AS INT) WHEN o_orderkey % 31 = 0 THEN DATE '1998-12-31' END AS end_date,
+        CASE WHEN o_orderstatus <> 'O' THEN first_seen + make_dt_interval(CAST(o_orderkey % 4 AS INT)) END AS end_listed_at, first_seen < TIMESTAMP '1992-06-01' AS left_truncated, o_orderstatus = 'O' AND o_orderkey % 7 <> 0 AS on_latest
+        FROM (SELECT *, CAST(o_orderdate AS DATE) AS od, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + make_dt_interval(CAST(o_orderkey % 9 AS INT), CAST(o_orderkey % 24 AS INT)) AS first_seen FROM {orders}))""",
     "usage": "SELECT event_type AS item, CAST(ts AS DATE) AS day, sum(value) AS amount FROM {events} GROUP BY event_type, 2",
 }
 
@@ -48,6 +54,12 @@ DUCK = {
         FROM lineitem""",
     "visits": """SELECT o_orderkey AS entity, concat('C', CAST(o_custkey AS VARCHAR)) AS owner, CAST(o_orderdate AS DATE) AS start_date,
         CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INT) END AS end_date FROM orders""",
+    "bookings": """SELECT *, CASE WHEN end_date <= DATE '1998-08-15' THEN 'released' WHEN on_latest THEN 'held' ELSE 'disappeared' END AS outcome FROM (SELECT o_orderkey AS entity,
+        CASE WHEN o_orderkey % 89 = 0 THEN CAST([] AS VARCHAR[]) WHEN o_orderkey % 97 = 0 THEN ['C' || o_custkey, 'C' || (o_custkey + 1)] ELSE ['C' || o_custkey] END AS owners,
+        CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 17 = 0 THEN od - 20 ELSE od + CAST(o_orderkey % 11 - 1 AS INT) END AS start_date, first_seen, first_seen + (o_orderkey % 200) * INTERVAL 1 DAY + (o_orderkey % 5) * INTERVAL 1 HOUR AS last_seen,
+        CASE WHEN o_orderstatus <> 'O' THEN od + CAST(o_orderkey % 120 - 2 AS INT) WHEN o_orderkey % 31 = 0 THEN DATE '1998-12-31' END AS end_date,
+        CASE WHEN o_orderstatus <> 'O' THEN first_seen + (o_orderkey % 4) * INTERVAL 1 DAY END AS end_listed_at, first_seen < TIMESTAMP '1992-06-01' AS left_truncated, o_orderstatus = 'O' AND o_orderkey % 7 <> 0 AS on_latest
+        FROM (SELECT *, CAST(o_orderdate AS DATE) AS od, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + (o_orderkey % 9) * INTERVAL 1 DAY + (o_orderkey % 24) * INTERVAL 1 HOUR AS first_seen FROM orders))""",
     "usage": "SELECT event_type AS item, CAST(ts AS DATE) AS day, sum(value) AS amount FROM events GROUP BY event_type, 2",
 }
 
