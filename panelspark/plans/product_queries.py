@@ -1,4 +1,4 @@
-"""Products (R) and scalar functions (X) over the derived views."""
+"""Products from usage to publication (R6-R16) and scalar functions (X) over the derived views."""
 
 from __future__ import annotations
 
@@ -13,39 +13,6 @@ from .registry import query
 
 V = view
 MONEY = "CASE WHEN {0} <= 1000 THEN 'to 1000' WHEN {0} <= 5000 THEN 'to 5000' WHEN {0} <= 10000 THEN 'to 10000' WHEN {0} <= 50000 THEN 'to 50000' ELSE 'over 50000' END"
-DAYS = "CASE WHEN {0} <= 7 THEN '0-7' WHEN {0} <= 30 THEN '8-30' WHEN {0} <= 90 THEN '31-90' WHEN {0} <= 365 THEN '91-365' ELSE 'over 365' END"
-R1_DIMS = {"status": "o_orderstatus", "priority": "o_orderpriority", "amount": MONEY.format("o_totalprice"), "held": DAYS.format("date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-12-01')"), "segment": "c_mktsegment", "large": "CASE WHEN o_totalprice > 300000 THEN 'true' ELSE 'false' END"}
-
-
-@query("WITH j AS (SELECT * FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus <> 'F') " + " UNION ALL ".join(f"SELECT '{k}' AS dimension, {c} AS label, count(*) AS n FROM j GROUP BY 2" for k, c in R1_DIMS.items()))
-def r1_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Current entities by several dimensions in one pass."""
-    j = table(spark, d, "orders").where("o_orderstatus <> 'F'").join(table(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-    held = F.datediff(F.lit("1998-12-01").cast("date"), F.col("o_orderdate").cast("date"))
-    return products.stacked_profile(j, {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority"), "amount": S.band(F.col("o_totalprice"), S.MONEY_BANDS), "held": S.band(held, S.DAY_BANDS), "segment": F.col("c_mktsegment"), "large": F.col("o_totalprice") > 300000})
-
-
-R2 = ", m AS (SELECT year(start_date) AS as_of, count(*) AS people, count(end_date) AS ended, median(date_diff('day', start_date, end_date)) AS median_days, round(count_if(end_date IS NULL) / count(*), 6) AS open_share, count(DISTINCT owner) AS owners FROM visits GROUP BY 1)"
-
-
-def metrics(spark: SparkSession, d: str) -> DataFrame:
-    v = V(spark, d, "visits")
-    return v.groupBy(F.year("start_date").alias("as_of")).agg(F.count("*").alias("people"), F.count("end_date").alias("ended"), F.median(F.datediff("end_date", "start_date")).alias("median_days"), F.round(F.count_if(F.col("end_date").isNull()) / F.count("*"), 6).alias("open_share"), F.count_distinct("owner").alias("owners"))
-
-
-@query(duck("visits", R2 + " SELECT * FROM m"))
-def r2_trend_metrics(spark: SparkSession, d: str) -> DataFrame:
-    return metrics(spark, d)
-
-
-NAMES = ["people", "ended", "median_days", "open_share", "owners"]
-
-
-@query(duck("visits", R2 + ", u AS (" + " UNION ALL ".join(f"SELECT as_of, '{n}' AS metric, CAST({n} AS DOUBLE) AS value FROM m" for n in NAMES) + "), r AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY as_of DESC) AS k FROM u) SELECT metric, max(value) FILTER (k = 2) AS before, max(value) FILTER (k = 1) AS after, round(max(value) FILTER (k = 1) - max(value) FILTER (k = 2), 6) AS change FROM r WHERE k <= 2 GROUP BY 1"))
-def r3_trend_changes(spark: SparkSession, d: str) -> DataFrame:
-    """Metrics of the last two dates side by side."""
-    m = metrics(spark, d).select("as_of", *[F.col(n).cast("double").alias(n) for n in NAMES])
-    return products.compared_dates(m.unpivot("as_of", NAMES, "metric", "value")).withColumn("change", F.round("change", 6))
 
 
 def priced(spark: SparkSession, d: str) -> DataFrame:
