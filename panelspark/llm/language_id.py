@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain as joined
 
 import numpy as np
 import pyarrow as pa
@@ -21,21 +22,32 @@ FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str, lexicon: frozenset[str] = frozenset()) -> list[int]:
+class Numbers(dict):
+    """Feature numbers by name, remembered: few n-grams and affixes make up most names. Emptied at REMEMBERED names."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        number = self[name] = zlib.crc32(name.encode()) % FEATURES
+        return number
+
+
+def word_features(word: str, lexicon: frozenset[str] = frozenset(), numbers: Numbers | None = None) -> list[int]:
     """Hashed features of a word in lower case: affixes of 1 to 4 letters, n-grams of 2 to 3, its lexicon entry."""
+    numbers = Numbers() if numbers is None else numbers
     marked = f"<{word}>"
     names = [f"p{word[:k]}" for k in (1, 2, 3, 4)] + [f"s{word[-k:]}" for k in (1, 2, 3, 4)]
-    names += [marked[i : i + k] for k in (2, 3) for i in range(len(marked) - k + 1)]
+    names += [marked[i : i + 2] for i in range(len(word) + 1)] + [marked[i : i + 3] for i in range(len(word))]
     if word in lexicon:
         names.append(f"w{word}")
-    return [zlib.crc32(x.encode()) % FEATURES for x in dict.fromkeys(names)]
+    return [*map(numbers.__getitem__, dict.fromkeys(names))]
 
 
 class Crf:
     """Scores of labels for words (sums of feature weights) and of label transitions."""
 
     def __init__(self, labels: list[str], lexicon: frozenset[str] = frozenset()):
-        self.labels, self.lexicon = labels, lexicon
+        self.labels, self.lexicon, self.numbers = labels, lexicon, Numbers()
         self.weights = np.zeros((FEATURES + 1, len(labels)))  # the last row pads
         self.transitions = np.zeros((len(labels), len(labels)))
 
@@ -43,9 +55,9 @@ class Crf:
         """Scores (words x labels); the mean over a word's features keeps long words from weighing more."""
         if not words:
             return np.zeros((0, len(self.labels)))
-        found = [word_features(w, self.lexicon) for w in words]
+        found = [word_features(w, self.lexicon, self.numbers) for w in words]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
+        flat = np.fromiter(joined.from_iterable(found), np.int64, int(sizes.sum()))
         return np.add.reduceat(self.weights[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) / np.sqrt(sizes)[:, None]
 
     def moves(self) -> np.ndarray:
@@ -111,9 +123,10 @@ def fit_crf(samples: list[tuple[str, list[str]]], rounds: int = 60, chain: int =
             counts[w] = counts.get(w, 0) + 1
     model = Crf(labels, frozenset(w for w, n in counts.items() if n >= 5))
     vocabulary = {w: i for i, w in enumerate(counts)}
-    feats = [word_features(w, model.lexicon) for w in vocabulary]
+    numbers = Numbers()
+    feats = [word_features(w, model.lexicon, numbers) for w in vocabulary]
     sizes = np.fromiter(map(len, feats), np.int64, len(feats))
-    flat = np.fromiter((i for f in feats for i in f), np.int64, int(sizes.sum()))
+    flat = np.fromiter(joined.from_iterable(feats), np.int64, int(sizes.sum()))
     owner = np.repeat(np.arange(len(feats)), sizes)
     damp = 1 / np.sqrt(sizes)
     runs = []
