@@ -48,6 +48,65 @@ def io8_exported_details(spark: SparkSession, d: str) -> DataFrame:
     return publish.exported_details(V(spark, d, "details"), F.lit("1997-01-01").cast("timestamp"), case=7).select("entity", secs("seen_at"), "amount", "status")
 
 
+@query(duck("points", "SELECT source, CAST(epoch(slot) AS BIGINT) AS slot, CAST(floor(epoch(observed_at)) AS BIGINT) AS observed_at, population FROM points WHERE source = 'click'"))
+def io2_population_points(spark: SparkSession, d: str) -> DataFrame:
+    return files.population_points(V(spark, d, "points"), "click").select("source", secs("slot"), secs("observed_at"), "population")
+
+
+@query(duck("points", "SELECT source, CAST(epoch(slot) AS BIGINT) AS slot, population FROM points"))
+def io3_gzip_records(spark: SparkSession, d: str) -> DataFrame:
+    """Observations written as gzip JSON lines and read back under their schema."""
+    path = shared_folder(spark, "records")
+    V(spark, d, "points").select("source", "slot", "population").write.json(path, compression="gzip")
+    return files.read_json(spark, path, "source string, slot timestamp, population long").select("source", secs("slot"), "population")
+
+
+def day_files(spark: SparkSession, d: str, header: str | None, line, name: str) -> str:
+    """A folder with one text file per source and day: a header and a line per slot."""
+    path = shared_folder(spark, name)
+    p = V(spark, d, "points").withColumn("day", F.col("slot").cast("date").cast("string"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("slot", line.alias("line")))), lambda x: x["line"])
+    each = p.groupBy("source", "day").agg((F.concat(F.array(F.lit(header)), lines) if header else lines).alias("lines"))
+    each.select("source", "day", F.array_join("lines", "\n").alias("value")).write.partitionBy("source", "day").text(path)
+    return path
+
+
+@query(duck("points", """SELECT source, CAST(CAST(slot AS DATE) AS VARCHAR) AS day, CASE WHEN source NOT IN ('click', 'view') THEN count(*) END AS n,
+CASE source WHEN 'click' THEN 'not listed' WHEN 'view' THEN 'checksum differs' END AS reason FROM points GROUP BY source, CAST(slot AS DATE)"""))
+def io11_verified_contents(spark: SparkSession, d: str) -> DataFrame:
+    """Files against a list of digests that lacks one source and holds wrong ones for another."""
+    path = day_files(spark, d, None, F.col("population").cast("string"), "blobs")
+    listed = spark.read.format("binaryFile").load(path).where("source <> 'click'")
+    digest = F.when(F.col("source") == "view", F.sha2(F.lit("other"), 256)).otherwise(F.sha2("content", 256))
+    got = files.verified_contents(spark, path, listed.select(files.file_name(3).alias("name"), digest.alias("digest")), 3)
+    part = lambda k: F.regexp_extract("name", f"{k}=([^/]*)", 1).alias(k)
+    lines = F.size(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n")).cast("long")
+    return got.select(part("source"), part("day"), F.when(F.col("content").isNotNull(), lines).alias("n"), "reason")
+
+
+@query(duck("points", """SELECT source, CAST(CAST(slot AS DATE) AS VARCHAR) AS day, count(*) AS n, count_if(population % 11 = 0) AS bad_rows,
+CASE WHEN count_if(population % 11 = 0) > floor(count(*) * 0.01) THEN 'rejected' ELSE 'parsed' END AS status FROM points GROUP BY source, CAST(slot AS DATE)"""))
+def io12_report_files(spark: SparkSession, d: str) -> DataFrame:
+    """Delimited files with a header; rows with a field too many are bad and reject their file beyond the budget."""
+    more = F.when(F.col("population") % 11 == 0, ",odd").otherwise("")
+    line = F.concat(F.unix_seconds("slot").cast("string"), F.lit(","), F.col("population").cast("string"), more)
+    path = day_files(spark, d, "SLOT,POPULATION", line, "reports")
+    status = files.parse_reports(files.numbered_lines(spark, path, 3), "POPULATION", 2)[1]
+    part = lambda k: F.regexp_extract("file", f"{k}=([^/]*)", 1).alias(k)
+    return status.select(part("source"), part("day"), "n", "bad_rows", "status")
+
+
+@query(duck("points", """SELECT CASE WHEN source = 'view' THEN '../' ELSE '' END || source || ' ' || CAST(CAST(epoch(slot) AS BIGINT) AS VARCHAR) AS name, population AS size, CASE WHEN population % 7 <> 0 THEN CAST(epoch(slot) AS BIGINT) END AS modified,
+CASE WHEN source = 'view' THEN 'path leaves the folder' WHEN population % 7 = 0 THEN 'no time' END AS fault FROM points"""))
+def io14_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Observations written as XML file nodes with encoded names, some outside the folder or without a time."""
+    path = shared_folder(spark, "listing")
+    name = F.url_encode(F.concat(F.when(F.col("source") == "view", "../").otherwise(""), "source", F.lit(" "), F.unix_seconds("slot").cast("string")))
+    nodes = V(spark, d, "points").select(name.alias("name"), F.col("population").alias("size"), F.when(F.col("population") % 7 != 0, F.unix_seconds("slot")).alias("modified"))
+    nodes.write.format("xml").option("rootTag", "listing").option("rowTag", "file").save(path)
+    return files.parse_listing(spark, path).select("name", "size", secs("modified"), "fault")
+
+
 IO9 = """, rv AS (SELECT DISTINCT family, version FROM reports UNION SELECT 'spreadsheet', 1998), ok AS (SELECT family, max(version) AS version FROM rv WHERE version <= 1998 GROUP BY 1)
 SELECT k.family, k.version, r.case_no, r.entity, CASE WHEN k.family = 'spreadsheet' THEN 'unsupported' ELSE 'parsed' END AS status FROM ok k LEFT JOIN reports r ON r.family = k.family AND r.version = k.version"""
 

@@ -13,17 +13,31 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, mode="FAILFAST")
 
 
-def verified_contents(spark: SparkSession, path: str, digests: DataFrame) -> DataFrame:
-    """(path, digest, content, reason): files whose SHA-256 is not the listed one have a reason and no content."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content", F.sha2("content", 256).alias("actual"))
-    j = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(digests, "name", "left")
+def file_name(depth: int = 1) -> Column:
+    """The last `depth` parts of a file's path: more than one where folders tell files of one name apart."""
+    return F.array_join(F.slice(F.split("path", "/"), -depth, depth), "/")
+
+
+def verified_contents(spark: SparkSession, path: str, digests: DataFrame, depth: int = 1) -> DataFrame:
+    """(name, actual, content, reason): files whose SHA-256 is not the listed one have a reason and no content.
+
+    digests: name, digest."""
+    j = spark.read.format("binaryFile").load(path).select(file_name(depth).alias("name"), "content", F.sha2("content", 256).alias("actual")).join(digests, "name", "left")
     reason = F.when(F.col("digest").isNull(), "not listed").when(F.col("digest") != F.col("actual"), "checksum differs")
     return j.select("name", "actual", F.when(reason.isNull(), F.col("content")).alias("content"), reason.alias("reason"))
 
 
-def numbered_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def decoded(content: str) -> Column:
+    """UTF-8, or Windows-1252 where bytes are not UTF-8: Latin-1 with the signs of 0x80 to 0x9F put in."""
+    signs = {chr(k): bytes([k]).decode("cp1252", "ignore") for k in range(0x80, 0xA0)}
+    signs = {k: v for k, v in signs.items() if v}
+    western = F.translate(F.decode(content, "ISO-8859-1"), "".join(signs), "".join(signs.values()))
+    return F.when(F.is_valid_utf8(F.col(content).cast("string")), F.col(content).cast("string")).otherwise(western)
+
+
+def numbered_lines(spark: SparkSession, path: str, depth: int = 1) -> DataFrame:
     """(file, line_no, line): each file's lines with their numbers; a byte order mark is dropped."""
-    raw = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.decode("content", encoding).alias("t"))
+    raw = spark.read.format("binaryFile").load(path).select(file_name(depth).alias("file"), decoded("content").alias("t"))
     return raw.select("file", F.posexplode(F.split(F.regexp_replace("t", "^\\x{FEFF}", ""), "\r?\n")).alias("line_no", "line")).where("line <> ''")
 
 
@@ -96,6 +110,11 @@ def scan(points: DataFrame, source: str, after: Column | None = None, through: C
     return out if through is None else out.where(F.col(slot) <= through)
 
 
+def population_points(points: DataFrame, source: str, slot: str = "slot") -> DataFrame:
+    """A source's observations in order of their slots, point columns only: other columns aren't read."""
+    return points.where(F.col("source") == source).select("source", slot, "observed_at", "population").orderBy(slot)
+
+
 def append_new(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> None:
     """Append rows whose keys are not stored yet; a retry changes nothing."""
     fresh = rows.dropDuplicates(keys)

@@ -193,3 +193,10 @@ def test_once_per_slot_takes_every_event_type(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, event_type string, ts string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     got = stream_queries.st3_st7_once_per_slot(spark, str(tmp_path)).collect()
     assert {(r.source, r.slot) for r in got} == {("click", 1704067200), ("refund", 1704068100), (None, 1704067200)} and len(got) == 3
+
+
+def test_lines_that_are_not_utf8_are_read_as_windows_1252(spark, tmp_path):
+    (tmp_path / "w.csv").write_bytes("“é” €\nplain".encode("cp1252"))
+    (tmp_path / "u.csv").write_bytes("﻿“é” €\r\nplain".encode())
+    got = {(r.file, r.line_no): r.line for r in files.numbered_lines(spark, str(tmp_path)).collect()}
+    assert got == {(f, k): x for f in ("w.csv", "u.csv") for k, x in enumerate(["“é” €", "plain"])}
