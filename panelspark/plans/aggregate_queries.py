@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..functions.scalars import local_date
+from ..sources import files
 from ..sources.views import duck, table, view
 from .registry import query, secs, text
 
@@ -136,9 +137,15 @@ def a22_coverage(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").join(checked, "o_orderkey", "left").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("eligible"), F.count("l").alias("available"), F.count_if(F.col("l") > F.lit("1998-06-01").cast("date")).alias("fresh"), (F.count("*") - F.count("l")).alias("pending"), F.min("l").cast("string").alias("oldest"))
 
 
-@query(duck("reports", "SELECT family, count(DISTINCT version) AS listed, count_if(entity = '') AS quarantined, count(*) AS parsed, count(DISTINCT version) FILTER (version >= 1997) AS pending FROM reports GROUP BY 1"))
+@query(duck("reports", """, f AS (SELECT family, version, count_if(entity = '') AS q FROM reports GROUP BY 1, 2)
+SELECT family, count(*) AS listed, count_if(version < 1998) AS archived, count_if(version < 1998 AND version % 4 <> 0) AS parsed, count_if(version < 1998 AND version % 4 = 0) AS unsupported,
+count_if(version >= 1997) AS pending, CAST(sum(CASE WHEN version < 1998 AND version % 4 <> 0 THEN q ELSE 0 END) AS BIGINT) AS quarantined FROM f GROUP BY 1"""))
 def a23_catalogue_totals(spark: SparkSession, d: str) -> DataFrame:
-    return V(spark, d, "reports").groupBy("family").agg(F.count_distinct("version").alias("listed"), F.count_if(F.col("entity") == "").alias("quarantined"), F.count("*").alias("parsed"), F.count_distinct(F.when(F.col("version") >= 1997, F.col("version"))).alias("pending"))
+    """Files of a family: those before 1998 are archived, each fourth year's cannot be read, later ones are due."""
+    old = F.col("version") < 1998
+    f = V(spark, d, "reports").groupBy("family", "version").agg(F.count_if(F.col("entity") == "").alias("q"))
+    f = f.withColumns({"archived": old, "status": F.when(old & (F.col("version") % 4 == 0), "unsupported").when(old, "parsed").otherwise("listed")})
+    return files.catalogue_totals(f.withColumn("quarantined", F.when(F.col("status") == "parsed", F.col("q")).otherwise(0)), "family", F.col("version") >= 1997)
 
 
 @query(duck("usage", "SELECT item, round(median(amount), 6) AS daily_median, round(arg_max(amount, day), 6) AS latest, round((arg_max(amount, day) - arg_min(amount, day)) / (count(*) - 1), 6) AS growth FROM usage GROUP BY 1"))

@@ -120,6 +120,17 @@ def io9_io10_exported_reports(spark: SparkSession, d: str) -> DataFrame:
     return publish.exported_reports(r, rev, as_of=1998).select("family", "version", "case_no", "entity", "status")
 
 
+@query(duck("reports", """, k AS (SELECT min(coalesce(nullif(entity, ''), case_no)) AS key FROM reports)
+SELECT family, version, case_no, entity, 'parsed' AS status FROM reports, k WHERE version % 4 <> 0 AND coalesce(nullif(entity, ''), case_no) = key
+UNION ALL SELECT DISTINCT family, version, NULL, NULL, 'unsupported' FROM reports WHERE version % 4 = 0"""))
+def io9_all_versions_of_key(spark: SparkSession, d: str) -> DataFrame:
+    """One key in all versions; versions that were not parsed stay as rows of nulls."""
+    r = V(spark, d, "reports")
+    rev = r.select("family", "version").distinct().withColumn("status", F.when(F.col("version") % 4 == 0, "unsupported").otherwise("parsed"))
+    key = r.agg(F.min(F.coalesce(F.nullif("entity", F.lit("")), "case_no"))).first()[0]
+    return publish.exported_reports(r, rev, key, all_versions=True).select("family", "version", "case_no", "entity", "status")
+
+
 @query("SELECT l_suppkey AS file, count_if(NOT bad) AS good, count_if(bad) AS bad, count_if(bad) <= floor(count(*) * 0.01) AS accepted FROM (SELECT l_suppkey, l_quantity >= 50 AND l_linenumber >= 3 AS bad FROM lineitem) GROUP BY 1")
 def io12_io13_quarantine_budget(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("file"), ((F.col("l_quantity") >= 50) & (F.col("l_linenumber") >= 3)).alias("b"))

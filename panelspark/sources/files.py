@@ -131,6 +131,13 @@ def deduplicated_bytes(blobs: DataFrame, content: str) -> DataFrame:
     return blobs.groupBy(F.sha2(F.col(content).cast("binary"), 256).alias("digest")).agg(F.count("*").alias("copies"), F.max(F.octet_length(content)).cast("long").alias("size"))
 
 
+def catalogue_totals(listed: DataFrame, by: str, due: Column) -> DataFrame:
+    """Per group of listed files (status, quarantined rows, archived or not): listed, archived, parsed and unsupported
+    files, quarantined rows, and files that are due."""
+    n = {"archived": F.col("archived"), "parsed": F.col("status") == "parsed", "unsupported": F.col("status") == "unsupported", "pending": due}
+    return listed.groupBy(by).agg(F.count("*").alias("listed"), *[F.count_if(c).alias(k) for k, c in n.items()], F.sum("quarantined").alias("quarantined"))
+
+
 def latest_per_date(summaries: DataFrame, date: str, order: str) -> DataFrame:
     w = Window.partitionBy(date).orderBy(F.desc(order))
     return summaries.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")

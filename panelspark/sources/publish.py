@@ -21,9 +21,10 @@ def gate(mismatches: DataFrame) -> None:
         raise ValueError("the panel does not reproduce the archived populations")
 
 
-def write_panel(panel: DataFrame, mismatches: DataFrame, path: str) -> None:
+def write_panel(panel: DataFrame, mismatches: DataFrame, path: str, entity: str = "entity") -> None:
+    """JSON lines in order of the entities, over all files too."""
     gate(mismatches)
-    panel.write.mode("overwrite").json(path)
+    panel.orderBy(entity).write.mode("overwrite").json(path)
 
 
 def read_panel(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -51,10 +52,13 @@ def exported_details(details: DataFrame, at: Column | None = None, entity: int |
     return last if case is None else last.where(F.array_contains("cases", case))
 
 
-def exported_reports(reports: DataFrame, revisions: DataFrame, key: str | None = None, as_of: int | None = None) -> DataFrame:
-    """Rows of each family's latest report, or as of a version, for one key in either of two columns; files without
-    rows stay visible with nulls and their status."""
+def exported_reports(reports: DataFrame, revisions: DataFrame, key: str | None = None, as_of: int | None = None, all_versions: bool = False) -> DataFrame:
+    """Rows of each family's latest report, or as of a version, or of all versions, for one key in either of two
+    columns. A file that was not parsed stays visible as one row of nulls with its status, whatever the key."""
     r = revisions if as_of is None else revisions.where(F.col("version") <= as_of)
-    newest = r.groupBy("family").agg(F.max("version").alias("version"))
-    out = r.join(F.broadcast(newest), ["family", "version"], "left_semi").join(reports, ["family", "version"], "left")
-    return out if key is None else out.where((F.coalesce(F.nullif("entity", F.lit("")), "case_no") == key) | F.col("case_no").isNull())
+    if not all_versions:
+        r = r.join(r.groupBy("family").agg(F.max("version").alias("version")), ["family", "version"], "left_semi")
+    rows = r.where("status = 'parsed'").join(reports, ["family", "version"])
+    if key is not None:
+        rows = rows.where(F.coalesce(F.nullif("entity", F.lit("")), "case_no") == key)
+    return rows.unionByName(r.where("status <> 'parsed'"), allowMissingColumns=True)
