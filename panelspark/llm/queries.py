@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, gif_media, html_extract, itq_neardup, jaccard_join, language_id, packing, sharding, suffix_dedup, url_filters
+from . import byte_bpe, conversation_repair, gif_media, html_extract, itq_neardup, jaccard_join, language_id, line_dedup, packing, prefix_trie, sharding, suffix_dedup, url_filters
+from .common import stored
 
 #: Fixed rules: host suffix and path prefix to verdict.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -67,8 +68,28 @@ def op10_itq_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq_neardup.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    bitmaps = line_dedup.keep_bitmaps(docs, least_docs=10, least_points=1, keep_first=False)
+    return line_dedup.kept_texts(docs, bitmaps, digest=True)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations are damaged by rule first, then repaired."""
+    given = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(given)
+    judged = stored(conversation_repair.judge_conversations(rows, given), "audits")
+    digests = conversation_repair.repaired_turns(rows, judged, digest_only=True)
+    met = judged.alias("j").join(digests.alias("d"), F.col("j.conv_id").eqNullSafe(F.col("d.conv_id")))
+    return met.select("j.*", "repaired_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_packing, op3_byte_bpe, op4_html_extraction, op5_gif_media, op6_jaccard_join, op7_jump_sharding, op8_language_crf, op9_suffix_dedup, op10_itq_neardup)}
+    return {f.__name__: f for f in (op1_url_filters, op2_packing, op3_byte_bpe, op4_html_extraction, op5_gif_media, op6_jaccard_join, op7_jump_sharding, op8_language_crf, op9_suffix_dedup, op10_itq_neardup, op11_prefix_trie, op12_line_dedup, op13_conversation_repair)}
 
 
 OP6_SQL = r"""
@@ -118,6 +139,37 @@ FROM embeddings v JOIN joined j ON j.id = v.vec_id LEFT JOIN counted c ON c.a =
 """
 
 
+#: Conversations rebuilt: (c, d, role, text) with turns numbered from 1. CRC-32 bit by bit: a byte, then eight shifts.
+OP11_SQL = """
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+sums AS (SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda s, v: CASE WHEN v >= 0 THEN xor(s, v) WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END)) % 9 AS h FROM ids),
+turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+spliced AS (SELECT c, 0 AS part, i, role, text FROM sums JOIN turns ON conv_id = c - c % 5 AND i <= h UNION ALL SELECT c, 1, i, role, text FROM sums JOIN turns ON conv_id = c AND i > h),
+placed AS (SELECT c, text, row_number() OVER w AS d, list({'r': role, 't': text}) OVER w AS path FROM spliced WINDOW w AS (PARTITION BY c ORDER BY part, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+lengths AS (SELECT c, (SELECT count(*) FROM spliced s WHERE s.c = ids.c) AS n FROM ids),
+members AS (SELECT c, 0 AS d, 'root' AS k, NULL AS up, 0 AS size FROM ids
+  UNION ALL SELECT c, d, md5(CAST(to_json(path) AS VARCHAR)), CASE WHEN d = 1 THEN 'root' ELSE md5(CAST(to_json(path[:-2]) AS VARCHAR)) END, strlen(text) FROM placed),
+nodes AS (SELECT k, d, any_value(up) AS up, min(m.c) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(size) AS saved,
+  coalesce(string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c) FILTER (l.n = m.d), '') AS ends FROM members m JOIN lengths l ON l.c = m.c GROUP BY k, d),
+kids AS (SELECT up, count(*) AS n FROM nodes GROUP BY up),
+above AS (SELECT DISTINCT x.k AS node, y.k AS top FROM members x JOIN members y ON x.c = y.c AND y.d <= x.d),
+sums_below AS (SELECT top, sum(saved) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves FROM above JOIN nodes ON nodes.k = node LEFT JOIN kids ON kids.up = nodes.k GROUP BY top)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(v.n AS BIGINT) AS n_convs, CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v JOIN sums_below b ON b.top = v.k LEFT JOIN nodes p ON p.k = v.up LEFT JOIN kids ON kids.up = v.k
+"""
+
+OP12_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM split),
+keys AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+often AS (SELECT key FROM keys WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (o.key IS NULL), '')) AS kept_sha256
+FROM keys LEFT JOIN often o ON o.key = keys.key GROUP BY doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The others can't be told in SQL; tests hold them against brute force, round trips or held-out accuracy."""
-    return {"op6_jaccard_join": OP6_SQL, "op9_suffix_dedup": OP9_SQL, "op10_itq_neardup": OP10_SQL}
+    return {"op6_jaccard_join": OP6_SQL, "op9_suffix_dedup": OP9_SQL, "op10_itq_neardup": OP10_SQL, "op11_prefix_trie": OP11_SQL, "op12_line_dedup": OP12_SQL}
