@@ -7,33 +7,56 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+
 
 def high_median(value: str) -> Column:
     """The upper of the middle two: the middle from above, exactly."""
     return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
 
 
-def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], last: bool = False, least: int = 1, ranges: int = 1024) -> DataFrame:
+#: Different values up to which a group is put in order as it is, and ranges in which a larger one is cut (a square).
+WHOLE, RANGES = 20_000, 1024
+
+
+def range_of(cuts: str, value: str, ranges: int) -> Column:
+    """How many of the ordered cuts lie below value: first among every side-th of them, then in one stretch."""
+    side = int(ranges**0.5)
+    below = lambda xs: F.size(F.filter(xs, lambda x: x < F.col(value)))
+    coarse = below(F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda i: F.get(cuts, i * side - 1)))
+    return coarse * side + below(F.slice(cuts, coarse * side + 1, F.lit(side - 1)))
+
+
+def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], last: bool = False, least: int = 1, whole: int = WHOLE, ranges: int = RANGES) -> DataFrame:
     """(keys, share, value): the sorted values' entry floor(n * share), or int(share * (n - 1)) if last.
 
-    value is a number; nulls don't count; groups under `least` give null. Values are counted first. Then `ranges` equal
-    ranges of a group's values are counted, which tells the range that holds the entry, and only within a range the
-    values are put in order: no task orders a whole group, also without keys."""
+    value is a number; nulls don't count; groups under `least` give null. Values are counted first. A group of at most
+    `whole` different values is put in order. A larger one is cut at approximate percentiles of its different values, so
+    that its ranges hold about as many of them whatever their size; ranges are counted, and only within the one that
+    holds the entry values are put in order: no task orders a whole large group, also without keys. Counts are stored in
+    the shared folder, as they are read several times."""
     keys = list(keys)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
-    bounds = counts.groupBy(*keys).agg(F.min(value).cast("double").alias("_a"), F.max(value).cast("double").alias("_z"), F.sum("_c").alias("_n"))
-    known = counts.crossJoin(bounds) if not keys else counts.join(bounds, keys)
-    part = F.least(F.lit(ranges - 1), F.floor(F.coalesce(F.try_divide((F.col(value) - F.col("_a")) * ranges, F.col("_z") - F.col("_a")), F.lit(0.0))))
-    known = known.withColumn("_part", part.cast("int"))
-    parts = known.groupBy(*keys, "_part", "_n").agg(F.sum("_c").alias("_in"))
-    parts = parts.withColumn("_before", F.sum("_in").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_in"))  # `ranges` rows of a group
-    parts = parts.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    parts = parts.withColumn("_at", F.floor(F.col("share") * (F.col("_n") - 1 if last else F.col("_n"))))
-    groups = parts.select(*keys, "share").distinct()
-    wanted = parts.where((F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_in")) & (F.col("_n") >= least)).select(*keys, "_part", "share", (F.col("_at") - F.col("_before")).alias("_at"))
-    run = known.join(wanted, [*keys, "_part"]).withColumn("_to", F.sum("_c").over(Window.partitionBy(*keys, "_part", "share").orderBy(value)))
-    hit = run.where((F.col("_to") > F.col("_at")) & (F.col("_to") - F.col("_c") <= F.col("_at"))).select(*keys, "share", value)
-    return groups.join(hit, [*keys, "share"], "left").select(*keys, "share", F.col(value).alias("value"))
+    spread = lambda df, c: df.crossJoin(c) if not keys else df.join(c, keys)
+    entry = lambda s: F.floor(s * (F.col("_n") - 1 if last else F.col("_n")))
+    of = lambda test: F.explode(F.filter(F.array(*[F.lit(float(s)) for s in shares]), test)).alias("share")
+    running = lambda df, c, by, order: df.withColumn("_to", F.sum(c).over(Window.partitionBy(*by).orderBy(order)))
+    counts = stored(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")), "counts")
+    groups = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count("*").alias("_d"))
+    known = spread(counts, groups).where(F.col("_n") >= least)
+    none = groups.select(*keys, of(lambda s: (F.col("_n") < least) | (entry(s) >= F.col("_n"))), F.lit(None).cast(df.schema[value].dataType).alias(value))
+    small = running(known.where(F.col("_d") <= whole), "_c", keys, value)
+    hits = small.select(*keys, value, of(lambda s: (entry(s) < F.col("_to")) & (entry(s) >= F.col("_to") - F.col("_c")))).select(*keys, "share", value).union(none)
+    if groups.where(F.col("_d") > whole).isEmpty():
+        return hits.select(*keys, "share", F.col(value).alias("value"))
+    large = known.where(F.col("_d") > whole)
+    cuts = large.groupBy(*keys).agg(F.percentile_approx(value, [i / ranges for i in range(1, ranges)], 20 * ranges).alias("_cuts"))
+    large = spread(large, cuts).withColumn("_part", range_of("_cuts", value, ranges)).drop("_cuts")
+    parts = running(large.groupBy(*keys, "_n", "_part").agg(F.sum("_c").alias("_in")), "_in", keys, "_part")  # `ranges` rows of a group
+    before = F.col("_to") - F.col("_in")
+    held = parts.withColumn("share", of(lambda s: (entry(s) < F.col("_to")) & (entry(s) >= before))).select(*keys, "_part", "share", (entry(F.col("share")) - before).alias("_at"))
+    run = running(large.join(held, [*keys, "_part"]), "_c", [*keys, "_part", "share"], value)
+    hits = hits.union(run.where((F.col("_to") > F.col("_at")) & (F.col("_to") - F.col("_c") <= F.col("_at"))).select(*keys, "share", value))
+    return hits.select(*keys, "share", F.col(value).alias("value"))
 
 
 def label_counts(df: DataFrame, label: Column, labels: Sequence[str]) -> DataFrame:

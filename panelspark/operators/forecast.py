@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import local_date
@@ -90,16 +90,39 @@ def week_average_weekday(series: DataFrame) -> DataFrame:
     return targets(week_levels(series), series, True)
 
 
+#: Days in which discounted sums are taken together, and blocks behind which a discount is 0 in double precision.
+BLOCK, BLOCKS = 64, 34
+
+
+def discounted(series: DataFrame, values: dict[str, Column], alpha: float = ALPHA) -> DataFrame:
+    """(source, n, *values): at each day the smoothing sum of a value over all days up to it, the first one's weight
+    being (1 - alpha)^k and that of those behind it alpha (1 - alpha)^k, k days back.
+
+    Within a block it's a running sum of values over their discount, times the day's; a block takes the sum up to its
+    start from the ends of those before it. Beyond BLOCKS blocks discounts are below the least double."""
+    w = Window.partitionBy("source").orderBy("n")
+    keep = 1 - alpha
+    s = series.withColumn("_p", F.row_number().over(w) - 1).withColumns({"_b": F.floor(F.col("_p") / BLOCK), "_j": F.col("_p") % BLOCK})
+    weight = F.when(F.col("_p") == 0, 1.0).otherwise(alpha) / F.pow(F.lit(keep), "_j")
+    own = Window.partitionBy("source", "_b").orderBy("n")
+    s = s.select("source", "n", "_b", "_j", *[(F.sum(c.cast("double") * weight).over(own) * F.pow(F.lit(keep), "_j")).alias(k) for k, c in values.items()])
+    ends = s.groupBy("source", "_b").agg(*[F.max_by(k, "_j").alias(k) for k in values], F.max("_j").alias("_j"))
+    back = Window.partitionBy("source").orderBy("_b").rangeBetween(-BLOCKS, -1)
+    before = lambda k: F.aggregate(F.collect_list(F.struct("_b", k)).over(back), F.lit(0.0), lambda a, x: a + x[k] * F.pow(F.lit(keep**BLOCK), F.col("_b") - 1 - x["_b"]))
+    carried = ends.select("source", "_b", *[before(k).alias(f"_{k}") for k in values])
+    return s.join(carried, ["source", "_b"]).select("source", "n", *[(F.col(k) + F.col(f"_{k}") * F.pow(F.lit(keep), F.col("_j") + 1)).alias(k) for k in values])
+
+
 def smoothed_weekday(series: DataFrame) -> DataFrame:
-    """Exponential smoothing of the weekday-adjusted level; the offsets change with the origin, so each origin folds
-    its own days. An array holds one source's days, not its observations."""
-    past = series.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("n", "mean"))).alias("past"))
-    known = offsets_known(series).groupBy("source", "n").agg(F.map_from_entries(F.collect_list(F.struct("weekday", "offset"))).alias("o"))
-    j = known.join(past, "source")
-    upto = F.filter("past", lambda p: p["n"] <= F.col("n"))
-    adj = F.transform(upto, lambda p: p["mean"] - F.element_at(F.col("o"), F.pmod(p["n"], F.lit(7))))
-    level = F.aggregate(F.slice(adj, F.lit(2), F.size(adj)), F.element_at(adj, 1), lambda a, x: a + ALPHA * (x - a))
-    return targets(j.select("source", "n", level.alias("level")), series, True)
+    """Exponential smoothing of the weekday-adjusted level, each origin with its own offsets.
+
+    A level is the discounted sum of means less, for each weekday, its offset times the discounted weight of its days;
+    neither sum depends on the origin's offsets, so days by seven rows a source are enough."""
+    weekday = F.pmod("n", F.lit(7))
+    sums = discounted(series, {"level": F.col("mean"), **{f"w{i}": (weekday == i).cast("int") for i in range(7)}})
+    long = sums.select("source", "n", "level", F.posexplode(F.array(*[F.col(f"w{i}") for i in range(7)])).alias("weekday", "weight"))
+    j = long.join(offsets_known(series), ["source", "n", "weekday"])
+    return targets(j.groupBy("source", "n").agg((F.first("level") - F.sum(F.col("weight") * F.col("offset"))).alias("level")), series, True)
 
 
 MODELS: dict[str, Model] = {"weekday_rule": weekday_rule, "latest_day": latest_day, "week_average": week_average, "week_average_weekday": week_average_weekday, "smoothed_weekday": smoothed_weekday}

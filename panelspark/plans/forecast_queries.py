@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..operators import forecast
+from ..sources.shared import stored
 from ..sources.views import duck, view
 from .registry import query, text
 
@@ -76,7 +77,7 @@ def f4_j17_backtest(spark: SparkSession, d: str) -> DataFrame:
 @query(duck("points", KNOWN + BACK.format(forecasts("weekday_rule")) + ", q AS (SELECT *, row_number() OVER (PARTITION BY source, ahead ORDER BY abs(error)) - 1 AS i, count(*) OVER (PARTITION BY source, ahead) AS k FROM bt) SELECT source, ahead, k AS errors, round(avg(abs(error)), 6) AS mean_absolute, round(max(CASE WHEN k >= 5 AND i = floor(0.8 * (k - 1)) THEN abs(error) END), 6) AS band FROM q GROUP BY 1, 2, 3"))
 def f5_f6_errors_and_bands(spark: SparkSession, d: str) -> DataFrame:
     """Errors by horizon and the range that holds four of five."""
-    b = forecast.backtest(series(spark, d), forecast.weekday_rule).withColumn("miss", F.abs("error"))
+    b = stored(forecast.backtest(series(spark, d), forecast.weekday_rule).withColumn("miss", F.abs("error")), "backtest")
     q = stats.index_quantiles(b, ["source", "ahead"], "miss", (0.8,), last=True, least=5).select("source", "ahead", F.round("value", 6).alias("band"))
     m = b.groupBy("source", "ahead").agg(F.count("*").alias("errors"), F.round(F.avg("miss"), 6).alias("mean_absolute"))
     return m.join(q, ["source", "ahead"]).withColumn("ahead", F.col("ahead").cast("long"))
@@ -97,14 +98,15 @@ UNION ALL SELECT f.source, f.n + f.ahead, 'ahead', NULL, round(forecast, 2), rou
 @query(duck("points", F8))
 def f8_forecast_summary(spark: SparkSession, d: str) -> DataFrame:
     """The last 28 days with the day-before forecast, and seven days ahead with their bands."""
-    s = series(spark, d)
-    last = F.broadcast(s.groupBy("source").agg(F.max("n").alias("z")))
-    b = forecast.backtest(s, forecast.weekday_rule).withColumn("miss", F.abs("error"))
+    s = stored(series(spark, d), "series")  # a row per source and day
+    last = s.groupBy("source").agg(F.max("n").alias("z"))
+    rule = stored(forecast.weekday_rule(s), "forecasts")
+    b = forecast.backtest(s, lambda _: rule).withColumn("miss", F.abs("error"))
     one = b.where("ahead = 1").select("source", (F.col("n") + 1).alias("n"), "forecast")
     none = F.lit(None).cast("double")
     shown = s.join(last, "source").where("n > z - 28").join(one, ["source", "n"], "left").select("source", "n", F.lit("shown").alias("kind"), F.round("mean", 2).alias("value"), F.round("forecast", 2).alias("forecast"), none.alias("band"))
     bands = stats.index_quantiles(b, ["source", "ahead"], "miss", (0.8,), last=True, least=5).select("source", "ahead", F.col("value").alias("band"))
-    ahead = forecast.weekday_rule(s).join(last, "source").where("n = z").join(bands, ["source", "ahead"], "left")
+    ahead = rule.join(last, "source").where("n = z").join(bands, ["source", "ahead"], "left")
     ahead = ahead.select("source", (F.col("n") + F.col("ahead")).alias("n"), F.lit("ahead").alias("kind"), none.alias("value"), F.round("forecast", 2).alias("forecast"), F.round("band", 2).alias("band"))
     return shown.union(ahead).withColumn("n", F.col("n").cast("long"))
 
@@ -117,7 +119,7 @@ SELECT model, """ + ", ".join(f"round(avg(miss) FILTER (ahead = {h}), 6) AS d{h}
 @query(duck("points", F13))
 def f13_model_comparison(spark: SparkSession, d: str) -> DataFrame:
     """Mean absolute error of five models by days ahead."""
-    s = series(spark, d).persist()
+    s = stored(series(spark, d), "series")
     out = None
     for name, model in forecast.MODELS.items():
         b = forecast.backtest(s, model).select(F.lit(name).alias("model"), "ahead", F.abs("error").alias("miss"))

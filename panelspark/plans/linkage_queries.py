@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats
-from ..operators import joins
+from ..operators import joins, reconcile as two
 from ..sources.views import duck, table, view
 from .booking_queries import C9, START, D, S, bookings, event_timing, snap
 from .event_queries import MOVES, moves
+from .join_queries import REL
 from .registry import query, secs
 
 HELD = f"on_latest AND (end_date IS NULL OR end_date > {D})"
@@ -110,7 +111,9 @@ count(*) FILTER (in_second AND NOT listed AND first_seen > al.slot) AS seen_late
 
 
 def two_sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """(slot, entity, held) of the roster and (version, entity) of a second source whose versions come later."""
+    """(slot, entity, held) of the roster and (version, entity) of a second source whose versions come later.
+
+    A fixture: the second source is made of the same events, without views and every tenth user."""
     r = view(spark, d, "roster")
     held = (F.col("owner") != "") & (F.col("end_date").isNull() | (F.col("end_date") > F.col("slot").cast("date")))
     a = r.groupBy("slot", "entity").agg(F.bool_or(F.coalesce(held, F.lit(False))).alias("held"))
@@ -119,7 +122,7 @@ def two_sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return a, table(spark, d, "events").where("event_type <> 'view' and user_id % 10 <> 0").select(at.alias("version"), F.col("user_id").alias("entity")).distinct()
 
 
-def reconcile(first: DataFrame, second: DataFrame, seconds: int = 1800) -> DataFrame:
+def version_sets(first: DataFrame, second: DataFrame, seconds: int = 1800) -> DataFrame:
     """Each version of the second source with the snapshot of the first that is nearest within a bound: how many
     entities are listed, held, in the second source, in both, and in one only; versions without a snapshot stay."""
     slots = first.select("slot").distinct()
@@ -136,4 +139,55 @@ def reconcile(first: DataFrame, second: DataFrame, seconds: int = 1800) -> DataF
 
 @query(duck("roster", R4))
 def r4_reconciliation(spark: SparkSession, d: str) -> DataFrame:
-    return reconcile(*two_sources(spark, d)).select(secs("version"), secs("slot"), "listed", "held", "second", "shared", "only_second", "seen_later", "listed_not_held", "only_first")
+    return version_sets(*two_sources(spark, d)).select(secs("version"), secs("slot"), "listed", "held", "second", "shared", "only_second", "seen_later", "listed_not_held", "only_first")
+
+
+# charge rows of a second source and records of the first, made of events: shifted and unknown entities, dates that
+# agree, differ or lack, cases of all relations
+CHARGES = """SELECT {at} AS version, CASE WHEN event_id % 29 = 0 THEN 100000 + user_id WHEN event_id % 13 = 0 THEN user_id + 1 ELSE user_id END AS entity, concat('K', CAST(user_id * 7 + event_id % 4 AS {text})) AS case_no,
+CASE WHEN event_id % 7 <> 0 THEN CAST(ts AS DATE) - CAST(user_id % 40 + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS INT) END AS book_date, value > 60 AS hold, CASE WHEN event_id % 3 <> 0 THEN CAST(ts AS DATE) + CAST(user_id % 11 AS INT) END AS court_date,
+CASE WHEN event_type = 'error' THEN ' ' ELSE event_type END AS authority FROM {events} WHERE event_type <> 'view' AND user_id % 10 <> 0"""
+RECORDS = """SELECT user_id AS entity, CASE WHEN user_id % 9 <> 0 THEN d - 1 - CAST(user_id % 40 AS INT) + CAST(CASE user_id % 4 WHEN 1 THEN 1 WHEN 2 THEN -1 ELSE 0 END AS INT) END AS start_date,
+{cases} AS cases, user_id % 3 = 0 AS hold, CASE WHEN user_id % 7 <> 0 THEN {array}(d - 1 + CAST(user_id % 11 AS INT), d + 10 + CAST(user_id % 2 AS INT)) ELSE {none} END AS hearings,
+CASE WHEN user_id % 4 = 0 THEN '' ELSE concat('L', CAST(user_id % 3 AS {text})) END AS location FROM (SELECT user_id, max(max(CAST(ts AS DATE))) OVER () AS d FROM {events} GROUP BY user_id) WHERE user_id % 8 <> 0"""
+CASES = "CASE user_id % 5 WHEN 0 THEN {none} WHEN 1 THEN {a}(concat('K', u * 7), concat('K', u * 7 + 1), concat('K', u * 7 + 2), concat('K', u * 7 + 3)) WHEN 2 THEN {a}(concat('K', u * 7)) WHEN 3 THEN {a}(concat('K', u * 7), concat('K', u * 7 + 1), 'X') ELSE {a}('Y') END".replace("u *", "user_id *")
+DUCK_AT = "date_trunc('day', ts) + (hour(ts) // 6) * INTERVAL 6 HOUR + CASE WHEN day(ts) % 5 = 0 THEN INTERVAL 125 MINUTE ELSE INTERVAL 20 MINUTE END"
+SPARK_AT = "timestamp_seconds(floor(unix_seconds(ts) / 21600) * 21600 + CASE WHEN day(ts) % 5 = 0 THEN 7500 ELSE 1200 END)"
+#: Zone of the product's local days.
+ZONE = "America/Chicago"
+R4_FULL = f""", a AS (SELECT slot, entity, max(CASE WHEN owner <> '' AND (end_date IS NULL OR end_date > CAST(slot AS DATE)) THEN 1 ELSE 0 END) = 1 AS held FROM roster GROUP BY 1, 2),
+b AS ({CHARGES.format(at=DUCK_AT, text="VARCHAR", events="events")}), rec AS ({RECORDS.format(cases=CASES.format(a="list_value", none="CAST([] AS VARCHAR[])"), array="list_value", none="CAST([] AS DATE[])", text="VARCHAR", events="events")}),
+al AS (SELECT version, arg_min(slot, abs(epoch(slot) - epoch(version))) AS slot FROM (SELECT DISTINCT version FROM b) v LEFT JOIN (SELECT DISTINCT slot FROM roster) s ON abs(epoch(slot) - epoch(version)) <= 1800 GROUP BY 1),
+fs AS (SELECT entity, min(slot) AS first_seen FROM roster GROUP BY 1), x AS (SELECT version, entity, held FROM al JOIN a USING (slot)), y AS (SELECT DISTINCT version, entity FROM b JOIN al USING (version) WHERE slot IS NOT NULL),
+sets AS (SELECT j.version, al.slot, j.entity, x.held IS NOT NULL AS listed, coalesce(x.held, false) AS held, y.entity IS NOT NULL AS in_second, first_seen FROM (SELECT version, entity FROM x UNION SELECT version, entity FROM y) j LEFT JOIN x USING (version, entity) LEFT JOIN y USING (version, entity) JOIN al ON al.version = j.version LEFT JOIN fs ON fs.entity = j.entity),
+counts AS (SELECT version, count_if(in_second) AS second, count_if(held) AS held, count_if(listed) AS listed, count_if(in_second AND held) AS shared, count_if(in_second AND NOT listed) AS only_second, count_if(in_second AND NOT listed AND first_seen <= slot) AS only_second_seen_before,
+count_if(in_second AND listed AND NOT held) AS second_listed_ended, count_if(held AND NOT in_second) AS only_first, count_if(held AND NOT in_second AND epoch(first_seen) >= epoch(version) - 25000) AS only_first_recent FROM sets GROUP BY 1),
+top AS (SELECT max(version) AS version FROM al WHERE slot IS NOT NULL), now AS (SELECT sets.* FROM sets JOIN top USING (version)), r AS (SELECT b.* FROM b JOIN top USING (version)),
+days AS (SELECT CAST(CAST((version AT TIME ZONE 'UTC') AT TIME ZONE '{ZONE}' AS DATE) AS VARCHAR) AS day, count(*) AS versions, {", ".join(f"median({c}) AS {c}" for c in two.BY_DAY)} FROM counts GROUP BY 1),
+s AS (SELECT entity, list(DISTINCT book_date) FILTER (book_date IS NOT NULL) AS bd, list(DISTINCT case_no) FILTER (case_no <> '') AS a, bool_or(coalesce(hold, false)) AS hold, min(court_date) AS court FROM r WHERE entity IN (SELECT entity FROM now WHERE held AND in_second) GROUP BY 1),
+g AS (SELECT s.*, rec.start_date, rec.cases AS b, coalesce(rec.hold, false) AS own, list_min(rec.hearings) AS heard, rec.entity IS NOT NULL AS known FROM s LEFT JOIN rec USING (entity)),
+f AS (SELECT CASE WHEN NOT known THEN 'no record' WHEN bd IS NULL OR start_date IS NULL THEN 'date missing on one side' WHEN len(bd) > 1 THEN 'several dates' WHEN bd[1] = start_date THEN 'same date' WHEN bd[1] > start_date THEN 'second later' ELSE 'second earlier' END AS book_date,
+CASE WHEN NOT known THEN 'no record' ELSE {REL} END AS cases, CASE WHEN NOT known THEN 'no record' WHEN hold AND own THEN 'both' WHEN hold THEN 'only second' WHEN own THEN 'only first' ELSE 'neither' END AS hold,
+CASE WHEN NOT known THEN 'no record' WHEN court IS NULL AND heard IS NULL THEN 'neither lists a date' WHEN court IS NULL OR heard IS NULL THEN 'only one lists a date' WHEN court = heard THEN 'same earliest date' ELSE 'other earliest date' END AS court FROM g),
+lone AS (SELECT * FROM r WHERE entity IN (SELECT entity FROM now WHERE in_second AND NOT listed)), mode AS (SELECT entity, authority FROM (SELECT entity, CASE WHEN trim(authority) = '' THEN 'not listed' ELSE trim(authority) END AS authority, count(*) AS n FROM lone GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY entity ORDER BY n DESC, authority) = 1),
+traits AS (SELECT entity, date_diff('day', min(book_date), CAST((max(version) AT TIME ZONE 'UTC') AT TIME ZONE '{ZONE}' AS DATE)) AS days, bool_or(coalesce(hold, false)) AS hold FROM lone GROUP BY 1),
+t AS (SELECT authority, CASE WHEN days IS NULL THEN 'date missing' WHEN days <= 1 THEN '1 day or less' WHEN days <= 7 THEN '2-7 days' WHEN days <= 30 THEN '8-30 days' WHEN days <= 365 THEN '31-365 days' ELSE 'more than a year' END AS age, CASE WHEN hold THEN 'hold' ELSE 'no hold' END AS hold FROM traits JOIN mode USING (entity)),
+loc AS (SELECT CASE WHEN rec.entity IS NULL THEN 'no record' ELSE coalesce(nullif(location, ''), 'not listed') END AS location FROM now LEFT JOIN rec ON rec.entity = now.entity WHERE held AND NOT in_second),
+v AS (SELECT count(*) AS versions, count(slot) AS aligned, count(*) - count(slot) AS unaligned FROM al), last AS (SELECT counts.* FROM counts JOIN top USING (version))
+SELECT part, section, label, CAST(value AS DOUBLE) AS value FROM (
+{" UNION ALL ".join(f"SELECT 'versions' AS part, 'all' AS section, '{c}' AS label, {c} AS value FROM v" for c in ("versions", "aligned", "unaligned"))}
+UNION ALL {" UNION ALL ".join(f"SELECT 'latest', 'all', '{c.replace('_', ' ')}', {c} FROM last" for c in (*two.BY_DAY, "listed", "only_second_seen_before", "only_first_recent"))}
+UNION ALL {" UNION ALL ".join(f"SELECT 'by day', day, '{c.replace('_', ' ')}', {c} FROM days" for c in ("versions", *two.BY_DAY))}
+UNION ALL {" UNION ALL ".join(f"SELECT 'field agreement', '{c.replace('_', ' ')}', {c}, count(*) FROM f GROUP BY {c}" for c in ("book_date", "cases", "hold", "court"))}
+UNION ALL {" UNION ALL ".join(f"SELECT 'second only', '{c}', {c}, count(*) FROM t GROUP BY {c}" for c in ("authority", "age", "hold"))}
+UNION ALL SELECT 'first only', 'location', location, count(*) FROM loc GROUP BY location)"""
+
+
+@query(duck("roster", R4_FULL))
+def r4_reconciliation_product(spark: SparkSession, d: str) -> DataFrame:
+    """Counts, medians by day, agreement of fields and traits of what one source lists only, in one long table."""
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    second = spark.sql(CHARGES.format(at=SPARK_AT, text="STRING", events="{e}"), e=e)
+    cases = CASES.format(a="array", none="CAST(array() AS ARRAY<STRING>)")
+    records = spark.sql(RECORDS.format(cases=cases, array="array", none="CAST(array() AS ARRAY<DATE>)", text="STRING", events="{e}"), e=e)
+    return two.reconciliation(two_sources(spark, d)[0], second, records, ZONE, 1800, 25_000)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import panel, points
 from ..operators.history import latest_projection
-from ..sources import files, publish
+from ..sources import files, layout, publish
 from ..sources.shared import shared_folder
 from ..sources.views import duck, table, view
 from .panel_queries import ENDS, SPANS
@@ -18,8 +18,11 @@ V = view
 
 @query(duck("points", "SELECT source, CAST(epoch(slot) AS BIGINT) AS slot, population FROM points WHERE source = 'view' AND slot > TIMESTAMP '2024-01-05' AND slot <= TIMESTAMP '2024-01-20'"))
 def io1_scan(spark: SparkSession, d: str) -> DataFrame:
+    """A source's slots in a range of time, from folders by source and day."""
     at = lambda t: F.lit(t).cast("timestamp")
-    return files.scan(V(spark, d, "points"), "view", at("2024-01-05"), at("2024-01-20")).select("source", secs("slot"), "population")
+    path, p = shared_folder(spark, "days"), V(spark, d, "points")
+    layout.write_days(p, path)
+    return layout.scan_days(spark, path, p.schema, "view", at("2024-01-05"), at("2024-01-20")).select("source", secs("slot"), "population")
 
 
 @query(duck("roster", SPANS + ENDS + " SELECT entity, count(*) AS spans, CAST(epoch(min(span_start)) AS BIGINT) AS first_start, coalesce(any_value(h.n), 0) AS end_changes FROM spans LEFT JOIN (SELECT entity, count(*) AS n FROM ends GROUP BY 1) h USING (entity) GROUP BY 1"))
@@ -50,7 +53,9 @@ def io8_exported_details(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck("points", "SELECT source, CAST(epoch(slot) AS BIGINT) AS slot, CAST(floor(epoch(observed_at)) AS BIGINT) AS observed_at, population FROM points WHERE source = 'click'"))
 def io2_population_points(spark: SparkSession, d: str) -> DataFrame:
-    return files.population_points(V(spark, d, "points"), "click").select("source", secs("slot"), secs("observed_at"), "population")
+    path, p = shared_folder(spark, "days"), V(spark, d, "points")
+    layout.write_days(p, path)
+    return files.population_points(layout.scan_days(spark, path, p.schema, "click"), "click").select("source", secs("slot"), secs("observed_at"), "population")
 
 
 @query(duck("points", "SELECT source, CAST(epoch(slot) AS BIGINT) AS slot, population FROM points"))
@@ -158,13 +163,22 @@ def io17_latest_per_date(spark: SparkSession, d: str) -> DataFrame:
 
 @query(duck("points", "SELECT source, CAST(epoch(slot) AS BIGINT) AS slot, population FROM points"))
 def io18_idempotent_append(spark: SparkSession, d: str) -> DataFrame:
-    """Two overlapping appends and a retry leave each observation once."""
+    """Two overlapping commits and a retry leave each observation once; a source's day is committed as a whole."""
     path = shared_folder(spark, "observations")
-    p = V(spark, d, "points").select("source", "slot", "population")
-    files.append_new(spark, p.where("slot < timestamp '2024-01-20'"), path, ["source", "slot"])
+    p = V(spark, d, "points").select("source", "slot", "population").withColumn("day", F.to_date("slot"))
+    layout.commit_new(spark, p.where("day < date '2024-01-20'"), path, ["source", "day"])
     for _ in range(2):
-        files.append_new(spark, p.where("slot >= timestamp '2024-01-10'"), path, ["source", "slot"])
-    return spark.read.parquet(path).select("source", secs("slot"), "population")
+        layout.commit_new(spark, p.where("day >= date '2024-01-10'"), path, ["source", "day"])
+    return layout.committed(spark, p.schema, path).select("source", secs("slot"), "population")
+
+
+@query(duck("roster", "SELECT CAST(epoch(slot) AS BIGINT) AS slot, entity, owner FROM roster"))
+def io18_snapshot_commits(spark: SparkSession, d: str) -> DataFrame:
+    """Snapshots committed by slot, twice over a range: a committed slot isn't written again."""
+    path, r = shared_folder(spark, "snapshots"), V(spark, d, "roster").select("slot", "entity", "owner")
+    layout.commit_new(spark, r.where("slot < timestamp '2024-01-20'"), path, ["slot"])
+    layout.commit_new(spark, r.where("slot >= timestamp '2024-01-10'"), path, ["slot"])
+    return layout.committed(spark, r.schema, path).select(secs("slot"), "entity", "owner")
 
 
 @query(duck("roster", "SELECT (SELECT count(DISTINCT entity) FROM roster WHERE slot = (SELECT max(slot) FROM roster)) AS listed, count(DISTINCT entity) AS seen FROM roster"))

@@ -115,17 +115,6 @@ def population_points(points: DataFrame, source: str, slot: str = "slot") -> Dat
     return points.where(F.col("source") == source).select("source", slot, "observed_at", "population").orderBy(slot)
 
 
-def append_new(spark: SparkSession, rows: DataFrame, path: str, keys: list[str]) -> None:
-    """Append rows whose keys are not stored yet; a retry changes nothing."""
-    fresh = rows.dropDuplicates(keys)
-    try:
-        fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-    except Exception as e:  # nothing is stored yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    fresh.write.mode("append").parquet(path)
-
-
 def deduplicated_bytes(blobs: DataFrame, content: str) -> DataFrame:
     """(digest, copies, size) of contents, each stored once."""
     return blobs.groupBy(F.sha2(F.col(content).cast("binary"), 256).alias("digest")).agg(F.count("*").alias("copies"), F.max(F.octet_length(content)).cast("long").alias("size"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -15,3 +15,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         named = "file://" + tempfile.mkdtemp(prefix="panelspark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at a path of any file system that Spark can reach."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df, written to the shared folder and read again: worked out once, and cut from what it came from."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

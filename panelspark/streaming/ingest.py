@@ -1,4 +1,4 @@
-"""Structured Streaming: slots, late rows, one result per slot, flows and seen ids per batch, incremental registry."""
+"""Structured Streaming: slots, late rows, one result per slot, flows per batch."""
 
 from __future__ import annotations
 
@@ -65,21 +65,3 @@ def flow_sink(spark: SparkSession, state: str, out: str, seconds: int) -> Callab
         rows.unpersist()
 
     return sink
-
-
-def merge_registry(old: DataFrame | None, rows: DataFrame) -> DataFrame:
-    """(entity, owners, first_seen, last): a registry with new snapshot rows; `last` is the last written end."""
-    owners = F.collect_set(F.when(F.col("owner") != "", F.col("owner")))
-    new = rows.groupBy("entity").agg(owners.alias("owners"), F.min("slot").alias("first_seen"), F.max(F.struct("slot", "end_date")).alias("last"))
-    both = new if old is None else old.unionByName(new)
-    return both.groupBy("entity").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("owners")))).alias("owners"), F.min("first_seen").alias("first_seen"), F.max("last").alias("last"))
-
-
-def registry_sink(spark: SparkSession, path: str) -> Callable[[DataFrame, int], None]:
-    """The registry after each batch, in a folder of the batch's number."""
-
-    def sink(batch: DataFrame, number: int) -> None:
-        old = spark.read.parquet(f"{path}/{number - 1}") if number else None
-        merge_registry(old, batch).write.mode("overwrite").parquet(f"{path}/{number}")
-
-    return sink
