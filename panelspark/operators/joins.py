@@ -53,15 +53,24 @@ def modal(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return n.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(value))).alias("_m")).select(*keys, F.col(f"_m.{value}").alias(value))
 
 
-def next_event(events: DataFrame, owner: str, entity: str, first_seen: str, end: str) -> DataFrame:
+def next_event(events: DataFrame, owner: str, entity: str, first_seen: str, end: str, seconds: int = 86_400 * 32) -> DataFrame:
     """(entity, owner, end, next_seen): when another entity of the same owner, first seen later than this one and not
     before the day of its end, is first seen; null if none is.
 
-    Both conditions bound the time from below, so one ordered pass over an owner's times answers all, without a join.
-    Times of one owner are counted once; blank owners are left out."""
+    Both conditions bound the time from below. Times are cut in buckets of `seconds`: the first time in the asked bucket
+    that is late enough comes from one ordered pass over an owner's bucket, else the least time of the owner's next
+    bucket that has any, from a pass over one row per owner and bucket. So no task holds more than a bucket of an
+    owner's rows, however many it has. Times of one owner are counted once; blank owners are left out."""
     e = events.where(F.col(owner) != "").withColumn("_t", F.unix_micros(first_seen))
+    bucket = lambda c: F.floor(F.col(c) / (seconds * 1_000_000)).cast("long")
     asks = e.where(F.col(end).isNotNull()).select(owner, entity, end, F.greatest(F.col("_t") + 1, F.unix_micros(F.col(end).cast("timestamp"))).alias("_at"), F.lit(None).cast("long").alias("_t"))
     seen = e.select(owner, "_t").distinct().select(owner, *[F.lit(None).cast(e.schema[c].dataType).alias(c) for c in (entity, end)], F.col("_t").alias("_at"), "_t")
-    ahead = Window.partitionBy(owner).orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    out = asks.union(seen).withColumn("_next", F.min("_t").over(ahead)).where(F.col(entity).isNotNull())
-    return out.select(entity, owner, end, F.timestamp_micros("_next").alias("next_seen"))
+    ahead = Window.partitionBy(owner, "_b").orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    near = asks.union(seen).withColumn("_b", bucket("_at")).withColumn("_near", F.min("_t").over(ahead)).where(F.col(entity).isNotNull())
+    # one row per owner and bucket: its least time, and the least of the next bucket with times
+    least = e.groupBy(owner, bucket("_t").alias("_b")).agg(F.min("_t").alias("_least")).union(asks.select(owner, bucket("_at").alias("_b"), F.lit(None).cast("long")).distinct())
+    least = least.groupBy(owner, "_b").agg(F.min("_least").alias("_least"))
+    after = Window.partitionBy(owner).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    far = least.select(owner, "_b", F.min("_least").over(after).alias("_far"))
+    out = near.join(far, [owner, "_b"], "left")
+    return out.select(entity, owner, end, F.timestamp_micros(F.coalesce("_near", "_far")).alias("next_seen"))

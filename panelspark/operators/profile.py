@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..functions.stats import index_quantiles
-from ..sources.shared import shared_folder
+from ..functions.stats import exact_median
+from ..sources.shared import stored
 
 #: Upper bounds of the bands: full years, days held, money, days until a date (a band before 0 comes first).
 AGES, HELD, MONEY, AHEAD = (17, 24, 34, 44, 54, 64, 200), (6, 30, 90, 180, 365, 730, 1095, None), (1000, 5000, 10_000, 25_000, 50_000, 100_000, 250_000, None), (0, 7, 30, 90, None)
@@ -66,9 +66,7 @@ def profile(listed: DataFrame, grades: Sequence[str], violations: Sequence[str],
     birth, start, charges (grade, description), bonds (status, kind), detainer, bond_total, hearings. Bands and grades
     that nobody is in come with 0. The described rows are stored once in the shared folder and read, by the columns it
     needs, for each part; counts combine before the shuffle; the median of sums is found by ranges."""
-    path = shared_folder(listed.sparkSession, "profile")
-    described(listed, grades, violations).write.parquet(path)
-    listed = listed.sparkSession.read.parquet(path)
+    listed = stored(described(listed, grades, violations), "profile")
     roster = listed.groupBy("as_of").agg(F.count("*").alias("listed"), F.count_if("known").alias("people")).withColumn("missing_details", F.col("listed") - F.col("people"))
     rows = listed.where("known")
     dims = ["sex", "race", "ethnicity", "facility", "age", "held", "status", "grade", "bond", "court"]
@@ -86,9 +84,7 @@ def profile(listed: DataFrame, grades: Sequence[str], violations: Sequence[str],
     )
     totals = totals.withColumns({"over_year_share": F.round(F.col("_year") / F.col("_n"), 6), "over_two_years_share": F.round(F.col("_two") / F.col("_n"), 6)})
     by_status = rows.where(days.isNotNull()).groupBy("as_of", "status").agg(F.count("*").alias("people"), F.median(days).alias("median_days"), F.count_if(days > 365).alias("over_year"))
-    # the mean of the middle two entries
-    middle = index_quantiles(rows, ["as_of"], "bond_total", [0.5]).union(index_quantiles(rows, ["as_of"], "bond_total", [0.5], last=True))
-    middle = middle.groupBy("as_of").agg(F.round(F.avg("value"), 6).alias("median"))
+    middle = exact_median(rows, ["as_of"], "bond_total").select("as_of", F.round("median", 6).alias("median"))
     offenses = rows.select("as_of", F.explode("offenses").alias("label")).groupBy("as_of", "label").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("as_of").orderBy(F.desc("n"), "label"))
     offenses = offenses.withColumn("_r", rank).where(F.col("_r") <= top)

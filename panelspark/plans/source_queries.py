@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import panel, points
 from ..operators.history import latest_projection
-from ..sources import files, layout, publish
+from ..sources import files, layout, publish, reports
 from ..sources.shared import shared_folder
 from ..sources.views import duck, table, view
 from .panel_queries import ENDS, SPANS
@@ -112,6 +112,18 @@ def io14_listing(spark: SparkSession, d: str) -> DataFrame:
     return files.parse_listing(spark, path).select("name", "size", secs("modified"), "fault")
 
 
+@query(duck("points", """, b AS (SELECT source, CAST(slot AS DATE) AS day FROM points GROUP BY 1, 2 HAVING count_if(population % 11 = 0) <= floor(count(*) * 0.01))
+SELECT p.source, CAST(epoch(slot) AS BIGINT) AS slot, population, CASE WHEN population % 2 = 0 THEN 'two' || chr(10) || 'lines, "quoted"' ELSE 'plain' END AS note FROM points p JOIN b ON b.source = p.source AND b.day = CAST(p.slot AS DATE) WHERE population % 11 <> 0"""))
+def io12_parsed_reports(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of report files, of which quoted fields go over lines, as far as the quarantine budget accepts their file."""
+    note = F.when(F.col("population") % 2 == 0, '"two\nlines, ""quoted"""').otherwise("plain")
+    more = F.when(F.col("population") % 11 == 0, ",odd").otherwise("")
+    line = F.concat(F.unix_seconds("slot").cast("string"), F.lit(","), F.col("population").cast("string"), F.lit(","), note, more)
+    rows, _ = reports.read_reports(spark, day_files(spark, d, "SLOT,POPULATION,NOTE", line, "reports"), ["POPULATION"], depth=3)
+    v = lambda k: F.col("values")[k]
+    return rows.select(F.regexp_extract("file", "source=([^/]*)", 1).alias("source"), v("SLOT").cast("long").alias("slot"), v("POPULATION").cast("long").alias("population"), v("NOTE").alias("note"))
+
+
 IO9 = """, rv AS (SELECT DISTINCT family, version FROM reports UNION SELECT 'spreadsheet', 1998), ok AS (SELECT family, max(version) AS version FROM rv WHERE version <= 1998 GROUP BY 1)
 SELECT k.family, k.version, r.case_no, r.entity, CASE WHEN k.family = 'spreadsheet' THEN 'unsupported' ELSE 'parsed' END AS status FROM ok k LEFT JOIN reports r ON r.family = k.family AND r.version = k.version"""
 

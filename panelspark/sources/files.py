@@ -27,11 +27,13 @@ def verified_contents(spark: SparkSession, path: str, digests: DataFrame, depth:
     return j.select("name", "actual", F.when(reason.isNull(), F.col("content")).alias("content"), reason.alias("reason"))
 
 
-def decoded(content: str) -> Column:
-    """UTF-8, or Windows-1252 where bytes are not UTF-8: Latin-1 with the signs of 0x80 to 0x9F put in."""
+def decoded(content: str, force: bool = False) -> Column:
+    """UTF-8, or Windows-1252 where bytes are not UTF-8 (or with force): Latin-1 with the signs of 0x80 to 0x9F put in."""
     signs = {chr(k): bytes([k]).decode("cp1252", "ignore") for k in range(0x80, 0xA0)}
     signs = {k: v for k, v in signs.items() if v}
     western = F.translate(F.decode(content, "ISO-8859-1"), "".join(signs), "".join(signs.values()))
+    if force:
+        return western
     return F.when(F.is_valid_utf8(F.col(content).cast("string")), F.col(content).cast("string")).otherwise(western)
 
 

@@ -1,13 +1,14 @@
 """Rules that only show with heavy tails, long series, several writers or failing sources."""
 
 import random
+import statistics
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from panelspark.functions import stats
-from panelspark.operators import forecast, points, reconcile
+from panelspark.operators import forecast, joins, points, reconcile
 from panelspark.sources import layout
 from panelspark.streaming import ingest, isolation, registry
 
@@ -35,6 +36,8 @@ def test_index_quantiles_by_force(spark, whole, ranges, last):
             at = int(s * (len(vs) - 1)) if last else int(len(vs) * s)
             want[g, s] = float(sorted(vs)[at]) if len(vs) >= 5 and at < len(vs) else None
     assert got == want
+    medians = {r.g: r.median for r in stats.exact_median(df, ["g"], "v", whole=whole, ranges=ranges).collect()}
+    assert medians == {g: statistics.median(map(float, vs)) for g, vs in groups.items()}
     everything = [v for vs in groups.values() for v in vs]
     assert stats.index_quantiles(df, [], "v", (0.5,), whole=whole, ranges=ranges).first().value == sorted(everything)[len(everything) // 2]
 
@@ -80,6 +83,20 @@ def test_discounts_of_long_series(spark):
         assert abs(got[i] - level) < 1e-9
 
 
+# --- next events
+
+
+@pytest.mark.parametrize("seconds", [3600, 86_400 * 3, 86_400 * 32])
+def test_next_event_of_a_hot_owner_by_force(spark, seconds):
+    rng = random.Random(seconds)
+    rows = [(rng.choice(["hot"] * 8 + ["p", "q", ""]), i, hours(rng.randrange(24 * 60)), None if rng.random() < 0.2 else (T0 + timedelta(days=rng.randrange(70))).date()) for i in range(400)]
+    df = spark.createDataFrame(rows, "owner string, entity int, first_seen timestamp, end_date date").repartition(5)
+    got = {r.entity: r.next_seen for r in joins.next_event(df, "owner", "entity", "first_seen", "end_date", seconds).collect()}
+    midnight = lambda d: datetime(d.year, d.month, d.day)
+    want = {i: min((t for o, _, t, _ in rows if o == owner and t > first and t >= midnight(end)), default=None) for owner, i, first, end in rows if owner and end}
+    assert got == want
+
+
 # --- layout and commits
 
 
