@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain as joined
@@ -14,12 +15,14 @@ from pyspark.sql import functions as F
 
 from .common import drop_kept, join_small, small_batches, stored
 
-#: Labelled documents, and words of each, that the model is fitted on at most; the documents are dealt equally to the
-#: languages, but no language gets fewer than LEAST_DOCS if it has them. Words are taken in stretches of STRETCH.
-TRAIN_DOCS, TRAIN_WORDS, LEAST_DOCS, STRETCH = 1500, 160, 20, 20
+#: Labelled documents, and code points of them together, that the model is fitted on at most. Both bounds are dealt
+#: equally to the languages, but no language gets fewer than LEAST_DOCS documents if it has them and they are short enough.
+TRAIN_DOCS, TRAIN_CHARS, LEAST_DOCS = 1500, 1_500_000, 20
 #: Hashed features; words of one stretch of a chain; remembered words of a task; scores (words x labels) that fitting holds at once.
 FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
-WORD = re.compile(r"[^\W\d_]+")
+#: Numbers such as ² ½ Ⅷ are word characters to `re` but no letters (category L).
+NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+WORD = re.compile(f"[^\\W\\d_{NUMBERS}]+")
 
 
 class Numbers(dict):
@@ -236,37 +239,31 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
         at = end
 
 
-def hashed_words(h: int, text: str, most: int) -> list[str]:
-    """At most `most` words of a text in its order: all, or the stretches with the smallest hashes over the whole text."""
-    words = WORD.findall(text.lower())
-    if len(words) <= most:
-        return words
-    starts = sorted(range(0, len(words), STRETCH), key=lambda at: (zlib.crc32(f"{h} {at}".encode()), at))[: max(1, most // STRETCH)]
-    return [w for at in sorted(starts) for w in words[at : at + STRETCH]][:most]
+def training_sample(docs: DataFrame, held_out, text_col: str, lang_col: str, most: int, chars: int) -> list[tuple[str, list[str]]]:
+    """Distinct labelled texts with letters outside held_out: `most` of them and `chars` code points at most, each whole.
 
-
-def training_sample(docs: DataFrame, held_out, text_col: str, lang_col: str, most: int, words: int) -> list[tuple[str, list[str]]]:
-    """Distinct labelled texts with letters outside held_out, `words` words at most of each, from places all over it.
-
-    Every language gives the texts with its smallest hashes: most / languages of them, LEAST_DOCS at least, so that a
-    rare one isn't lost. A text with several labels counts for the smallest."""
+    Every language gives the texts with its smallest hashes, as far as its share of both bounds goes; texts that are
+    longer than its share of code points are passed over, but if it has no other, its shortest text is taken. Numbering
+    is done within a cut of hashes that holds few more than wanted, told by the language's number of texts. A text with
+    several labels counts for the smallest."""
     rows = docs.where(~held_out & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    known = stored(rows.groupBy("h").agg(F.min("lang").alias("lang")), "labelled")  # hashes only
-    share = max(LEAST_DOCS, most // max(1, known.select("lang").distinct().count()))
-    chosen = stored(known.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= share).drop("k"), "chosen")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            taken = [hashed_words(h, text, words) for h, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(taken, pa.list_(pa.string()))], ["lang", "h", "words"])
-
-    taken = small_batches(join_small(rows, chosen, ["h", "lang"], "left_semi", chosen.count())).select("lang", "h", "text")
-    got = taken.mapInArrow(run, "lang string, h long, words array<string>").dropDuplicates(["h"]).orderBy("h").collect()
-    return [(r["lang"], r["words"]) for r in got if r["words"]]
-
-
-def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS) -> DataFrame:
+    known = stored(rows.groupBy("h").agg(F.min("lang").alias("lang"), F.max(F.length("text")).alias("size")), "labelled")  # hashes only
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("size").alias("least"))
+    languages = max(1, counts.count())
+    share, quota = max(LEAST_DOCS, most // languages), chars // languages
+    fits = (F.col("size") <= quota) | (F.col("least") > quota) & (F.col("size") == F.col("least"))
+    cut = known.join(counts, "lang").where(fits)
+    near = F.pmod("h", F.lit(1 << 30)) < (4.0 * share + 64) * (1 << 30) / F.col("n")
+    order = Window.partitionBy("lang").orderBy("h")
+    near = near | (F.col("least") > quota)  # hardly any rows: those of the least length
+    chosen = cut.where(near).withColumns({"k": F.row_number().over(order), "all": F.sum("size").over(order)})
+    chosen = stored(chosen.where((F.col("k") == 1) | (F.col("k") <= share) & (F.col("all") <= quota)).select("h", "lang"), "chosen")
+    taken = join_small(rows, chosen, ["h", "lang"], "left_semi", chosen.count()).dropDuplicates(["h"])
+    return [(r["lang"], WORD.findall(r["text"].lower())) for r in taken.orderBy("h").collect()]
+
+
+def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, n_words, switches) for every row of docs.
 
     Held out are the rows whose crc32 of doc_id as text leaves 2 modulo 4; a null doc_id counts as held out. The
@@ -276,7 +273,7 @@ def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first in alphabetical order counts. A text is one chain, however long. Null texts, texts without letters and tables
     without any labelled row give `und` and 0. Repeated ids keep their rows; nothing is shuffled."""
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(True))
-    sample = training_sample(docs, held, text_col, lang_col, train_docs, train_words)
+    sample = training_sample(docs, held, text_col, lang_col, train_docs, train_chars)
     model = fit_crf(sample) if sample else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -552,20 +552,52 @@ def test_language_of_odd_and_mixed_texts(spark):
     assert language_id.identify_language(documents(spark, rows).limit(0)).count() == 0
 
 
-def test_training_sample_keeps_rare_languages_and_late_words(spark):
+def test_training_sample_keeps_rare_languages_and_whole_texts(spark):
     rng = random.Random(3)
     word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
     rows = [(i, " ".join(word("abcde") for _ in range(12)), "common") for i in range(3000)] + [(5000 + i, " ".join(word("vwxyz") for _ in range(12)), "rare") for i in range(3)]
-    rows += [(6000, "1 " * 5000 + " ".join(["early"] * 500 + ["late"] * 500), "long"), (6001, "123", "none")]
-    sample = language_id.training_sample(documents(spark, rows), F.lit(False), "text", "lang", 90, 160)
+    rows += [(6000, "1 " * 5000 + " ".join(["early"] * 500 + ["late"] * 500), "long"), (6001, "123", "none"), (6002, "x" * 40_000, "long")]
+    sample = language_id.training_sample(documents(spark, rows), F.lit(False), "text", "lang", 90, 60_000)
     assert {lang for lang, _ in sample} == {"common", "rare", "long"}
     assert [sum(lang == x for lang, _ in sample) for x in ("common", "rare", "long")] == [30, 3, 1]
-    words = next(ws for lang, ws in sample if lang == "long")
-    assert len(words) == 160 and {"early", "late"} == set(words)
+    assert next(ws for lang, ws in sample if lang == "long") == ["early"] * 500 + ["late"] * 500
+    # code points bound the sample too, but each language has a text
+    sample = language_id.training_sample(documents(spark, rows), F.lit(False), "text", "lang", 90, 3 * 700)
+    assert sum(lang == "common" for lang, _ in sample) == 700 // 71 and any(lang == "long" for lang, _ in sample)
     got = {r.doc_id: r for r in language_id.identify_language(documents(spark, rows), train_docs=90).collect()}
     assert all(got[5000 + i].lang_pred == "rare" for i in range(3))
 
 
+def test_only_letters_make_words(spark):
+    texts = ["\u00b2", "\u00bd \u2153 12", "\u2167", "\u2460\u2461", "__ 3", "x\u00b2y", "\u0661\u0662", "\u4e00", "\u02b0"]
+    rows = [(i, "the of and that with this", "en") for i in range(30)] + [(100 + i, t, None) for i, t in enumerate(texts)] + [(100, texts[0], "en"), (105, texts[5], None)]
+    got = language_id.identify_language(documents(spark, rows)).where("doc_id >= 100").collect()
+    assert sorted((r.doc_id, r.lang_pred, r.n_words) for r in got) == [*[(100, "und", 0)] * 2, *[(100 + i, "und", 0) for i in range(1, 5)], *[(105, "en", 2)] * 2, (106, "und", 0), (107, "en", 1), (108, "en", 1)]
+    import unicodedata
+
+    for c in map(chr, range(0, 0x30000, 7)):
+        assert bool(language_id.WORD.fullmatch(c)) == unicodedata.category(c).startswith("L"), hex(ord(c))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF.replace("0.001", "0.01")), reason="no driver tables")
+def test_languages_of_switched_texts_word_by_word(spark):
+    """Stretches of held-out texts of several languages, one after another: most words have the language of their own."""
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet").where("text is not null and lang is not null")
+    rng, held = random.Random(11), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language_id.fit_crf(language_id.training_sample(docs, held, "text", "lang", language_id.TRAIN_DOCS, language_id.TRAIN_CHARS))
+    texts = [(r.lang, language_id.WORD.findall(r.text.lower())) for r in docs.where(held).collect()]
+    texts = [t for t in texts if len(t[1]) > 40]
+    right = seen = 0
+    for _ in range(60):
+        parts = [(lang, words[at : at + 25]) for lang, words in rng.sample(texts, 4) for at in [rng.randrange(len(words) - 25)]]
+        truth = [lang for lang, words in parts for _ in words]
+        got = dict(language_id.tag_batch(model, [" ".join(w for _, words in parts for w in words)], {}, []))[0]
+        likely = [model.labels[k] for k in got.argmax(1)]
+        assert len(likely) == len(truth)
+        right, seen = right + sum(map(str.__eq__, likely, truth)), seen + len(truth)
+    assert right >= 0.9 * seen
+
+
 def test_forward_backward_is_exact():
     import itertools
 

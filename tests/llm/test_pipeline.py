@@ -113,7 +113,7 @@ def test_run_by_force(spark, corpus, tmp_path):
     frame_of(spark, corpus).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     read = spark.read.parquet(str(tmp_path / "documents.parquet"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    model = language_id.fit_crf(language_id.training_sample(read, held, "text", "lang", language_id.TRAIN_DOCS, language_id.TRAIN_WORDS))
+    model = language_id.fit_crf(language_id.training_sample(read, held, "text", "lang", language_id.TRAIN_DOCS, language_id.TRAIN_CHARS))
     scores = {i: likeliest(model, t) for i, t, _ in corpus}
     assert all(abs(x - 0.5) > 1e-6 for x in scores.values())
     left = [r for r in corpus if scores[r[0]] >= 0.5]
