@@ -67,11 +67,12 @@ def flows(rows: DataFrame, seconds: int = SLOT, apart: int = APART, keys: tuple[
     )
 
 
-def cumulative_seen(rows: DataFrame, slot: str = "slot", entity: str = "entity") -> DataFrame:
+def cumulative_seen(rows: DataFrame, slot: str = "slot", entity: str = "entity", keys: tuple[str, ...] = ()) -> DataFrame:
     """Distinct entities seen up to each snapshot: new ones per slot, then a running sum over the slots."""
-    new = rows.groupBy(entity).agg(F.min(slot).alias(slot)).groupBy(slot).agg(F.count("*").alias("new"))
-    all_slots = rows.select(slot).distinct().join(new, slot, "left")
-    return all_slots.select(slot, F.sum(F.coalesce("new", F.lit(0))).over(Window.orderBy(slot)).alias("seen"))
+    keys = list(keys)
+    new = rows.groupBy(*keys, entity).agg(F.min(slot).alias(slot)).groupBy(*keys, slot).agg(F.count("*").alias("new"))
+    all_slots = rows.select(*keys, slot).distinct().join(new, [*keys, slot], "left")
+    return all_slots.select(*keys, slot, F.sum(F.coalesce("new", F.lit(0))).over(Window.partitionBy(*keys).orderBy(slot)).alias("seen"))
 
 
 def missing_slots(points: DataFrame, keys: list[str], seconds: int = SLOT, slot: str = "slot") -> DataFrame:

@@ -66,9 +66,10 @@ def shown_change(before: Column, after: Column, least: int = 10) -> Column:
 def refresh_queue(rows: DataFrame, now: Column, n: int, key: str = "entity", checked: str = "checked_at", failed: str = "failed_at", changed: str = "changed", live: str = "live", fresh_hours: int = 24, early_hours: int = 6) -> DataFrame:
     """The next rows to refetch: changed, new, overdue, then early ones; the oldest check first, live before ended.
 
-    Fresh unchanged rows are left out, and rows that failed within the last hour."""
+    changed counts for rows that have been checked; the others are new. Fresh unchanged rows are left out, and rows that
+    failed within the last hour."""
     age = (F.unix_seconds(now) - F.unix_seconds(checked)) / 3600
-    priority = F.when(F.col(changed), 0).when(F.col(checked).isNull(), 1).when(age >= fresh_hours, 2).when(age >= fresh_hours - early_hours, 3)
+    priority = F.when(F.col(changed) & F.col(checked).isNotNull(), 0).when(F.col(checked).isNull(), 1).when(age >= fresh_hours, 2).when(age >= fresh_hours - early_hours, 3)
     cool = F.col(failed).isNull() | (F.unix_seconds(now) - F.unix_seconds(failed) >= 3600)
     due = rows.withColumn("priority", priority).where(F.col("priority").isNotNull() & cool)
     return due.orderBy("priority", F.col(checked).asc_nulls_first(), F.desc(live), key).limit(n)

@@ -59,11 +59,37 @@ def h4_patch_faults(spark: SparkSession, d: str) -> DataFrame:
 @query(duck("roster", "SELECT 0 AS breaks, (SELECT count(DISTINCT slot) FROM roster) AS entries"))
 def h5_chain_check(spark: SparkSession, d: str) -> DataFrame:
     """Each entry's fingerprint of the state before must be the state of the entry before it."""
+    e = chain(spark, d)
+    return history.chain_breaks(e).agg(F.count("*").cast("int").alias("breaks")).crossJoin(e.agg(F.count("*").alias("entries")))
+
+
+def chain(spark: SparkSession, d: str) -> DataFrame:
+    """(slot, state, before): fingerprints of each snapshot and of the one before it."""
     s = states(spark, d)
     f = history.fingerprints(s).select("slot", F.col("total").alias("state"))
     q = points.sequence(s, [])
-    e = f.join(q.select("slot", "before"), "slot").join(f.select(F.col("slot").alias("before"), F.col("state").alias("b")), "before", "left").select("slot", "state", F.col("b").alias("before"))
-    return history.chain_breaks(e).agg(F.count("*").cast("int").alias("breaks")).crossJoin(e.agg(F.count("*").alias("entries")))
+    return f.join(q.select("slot", "before"), "slot").join(f.select(F.col("slot").alias("before"), F.col("state").alias("b")), "before", "left").select("slot", "state", F.col("b").alias("before"))
+
+
+@query(duck("roster", "SELECT CAST(epoch(slot) AS BIGINT) AS slot FROM (SELECT slot, lag(slot) OVER (ORDER BY slot) AS prior FROM (SELECT DISTINCT slot FROM roster)) WHERE prior IS NOT NULL AND (day(slot) % 6 = 1 AND hour(slot) = 12 OR day(prior) % 7 = 3 AND hour(prior) = 18)"))
+def h5_broken_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Some entries name another state before them, some states are altered afterwards: the entry itself, or the one
+    after it, breaks the chain."""
+    e = chain(spark, d)
+    e = e.withColumn("before", F.when((F.day("slot") % 6 == 1) & (F.hour("slot") == 12), F.col("before") + 1).otherwise(F.col("before")))
+    e = e.withColumn("state", F.when((F.day("slot") % 7 == 3) & (F.hour("slot") == 18), F.col("state") - 1).otherwise(F.col("state")))
+    return history.chain_breaks(e).select(secs("slot"))
+
+
+@query(duck("points", "SELECT source, CAST(epoch(max(slot)) AS BIGINT) AS slot, max(CAST(epoch(slot) AS BIGINT)) FILTER (slot <= TIMESTAMP '2024-01-20') AS stale_slot, max(slot) FILTER (source <> 'click' OR slot <= TIMESTAMP '2024-01-20') = max(slot) AS same FROM points GROUP BY 1"))
+def h9_lost_observations(spark: SparkSession, d: str) -> DataFrame:
+    """A projection that has lost one source's observations after a cursor differs from the rebuilt one there only."""
+    p = view(spark, d, "points").select("source", "slot", "population")
+    cursor = F.col("slot") <= F.lit("2024-01-20").cast("timestamp")
+    old, whole = history.latest_projection(p.where(cursor)), history.latest_projection(p)
+    lost = history.latest_projection(old.union(p.where(~cursor & (F.col("source") != "click"))))
+    j = whole.join(old.select("source", F.col("slot").alias("stale")), "source", "left").join(lost.select("source", F.struct("slot", "population").alias("a")), "source")
+    return j.select("source", secs("slot"), F.unix_seconds("stale").alias("stale_slot"), F.struct("slot", "population").eqNullSafe(F.col("a")).alias("same"))
 
 
 H6 = ST + """, ch AS (SELECT seq, count(*) AS changed FROM lg WHERE NOT first GROUP BY 1), n AS (SELECT slot, CAST(sum(m) AS BIGINT) AS n FROM st GROUP BY 1)
@@ -115,3 +141,14 @@ def h11_round_trip(spark: SparkSession, d: str) -> DataFrame:
     own = s.select("slot", "row_hash", "multiplicity")
     differing = own.exceptAll(again).union(again.exceptAll(own)).agg(F.count("*").cast("int").alias("differing"))
     return history.entry_kinds(s, log).groupBy("kind").agg(F.count("*").alias("n")).crossJoin(differing)
+
+
+@query(duck("roster", ", gone AS (SELECT owner, end_date, min(slot) AS slot FROM roster GROUP BY owner, end_date), st AS (SELECT slot, owner, end_date, count(*) AS m FROM roster GROUP BY 1, 2, 3) SELECT CAST(epoch(s.slot) AS BIGINT) AS slot, count(*) AS differing FROM st s JOIN gone g ON s.owner IS NOT DISTINCT FROM g.owner AND s.end_date IS NOT DISTINCT FROM g.end_date AND CAST(s.slot AS DATE) = CAST(g.slot AS DATE) WHERE s.slot >= g.slot GROUP BY 1"))
+def h11_damaged_log(spark: SparkSession, d: str) -> DataFrame:
+    """A log that has lost each row's first entry rebuilds other multiplicities for the rest of that day."""
+    s = states(spark, d)
+    log = history.change_log(s, COLS)
+    first = log.groupBy("row_hash").agg(F.min("seq").alias("seq"))
+    again = history.all_states(log.join(first, ["row_hash", "seq"], "left_anti"), s)
+    own = s.select("slot", "row_hash", "multiplicity")
+    return own.exceptAll(again).groupBy(secs("slot")).agg(F.count("*").alias("differing"))

@@ -53,18 +53,19 @@ def r10_r11_published_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUEUE = """, z AS (SELECT max(seen_at) AS now FROM details), x AS (SELECT entity, max(seen_at) AS checked_at, arg_max(n_rows, seen_at) > 1 AS changed, arg_max(status, seen_at) <> 'all' AS live FROM details GROUP BY 1),
-y AS (SELECT o_orderkey AS entity, CASE WHEN o_orderkey % 11 <> 0 THEN checked_at END AS checked_at, coalesce(changed, false) AS changed, coalesce(live, false) AS live, now FROM orders LEFT JOIN x ON entity = o_orderkey, z),
-p AS (SELECT *, CASE WHEN changed THEN 0 WHEN checked_at IS NULL THEN 1 WHEN (epoch(now) - epoch(checked_at)) / 3600 >= 24 THEN 2 WHEN (epoch(now) - epoch(checked_at)) / 3600 >= 18 THEN 3 END AS priority FROM y)
-SELECT entity, CAST(priority AS INT) AS priority, live FROM p WHERE priority IS NOT NULL ORDER BY priority, checked_at NULLS FIRST, live DESC, entity LIMIT 200"""
+y AS (SELECT o_orderkey AS entity, CASE WHEN o_orderkey % 11 <> 0 THEN checked_at END AS checked_at, coalesce(changed, false) AS changed, coalesce(live, false) AS live, now, CASE WHEN o_orderkey % 3 = 0 THEN now - (o_orderkey % 5) * INTERVAL 20 MINUTE END AS failed_at FROM orders LEFT JOIN x ON entity = o_orderkey, z),
+p AS (SELECT *, CASE WHEN changed AND checked_at IS NOT NULL THEN 0 WHEN checked_at IS NULL THEN 1 WHEN (epoch(now) - epoch(checked_at)) / 3600 >= 24 THEN 2 WHEN (epoch(now) - epoch(checked_at)) / 3600 >= 18 THEN 3 END AS priority FROM y)
+SELECT entity, CAST(priority AS INT) AS priority, live FROM p WHERE priority IS NOT NULL AND (failed_at IS NULL OR epoch(now) - epoch(failed_at) >= 3600) ORDER BY priority, checked_at NULLS FIRST, live DESC, entity LIMIT 200"""
 
 
 @query(duck("details", QUEUE))
 def r12_refresh_queue(spark: SparkSession, d: str) -> DataFrame:
+    """The first 200 entities to check again; every third one failed 0 to 80 minutes ago."""
     det = V(spark, d, "details")
     x = det.groupBy("entity").agg(F.max("seen_at").alias("checked_at"), (F.max_by("n_rows", "seen_at") > 1).alias("changed"), (F.max_by("status", "seen_at") != "all").alias("live"))
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("entity"))
     y = o.join(x, "entity", "left").crossJoin(F.broadcast(det.agg(F.max("seen_at").alias("now"))))
-    y = y.select("entity", F.when(F.col("entity") % 11 != 0, F.col("checked_at")).alias("checked_at"), F.coalesce("changed", F.lit(False)).alias("changed"), F.coalesce("live", F.lit(False)).alias("live"), "now", F.lit(None).cast("timestamp").alias("failed_at"))
+    y = y.select("entity", F.when(F.col("entity") % 11 != 0, F.col("checked_at")).alias("checked_at"), F.coalesce("changed", F.lit(False)).alias("changed"), F.coalesce("live", F.lit(False)).alias("live"), "now", F.when(F.col("entity") % 3 == 0, F.timestamp_seconds(F.unix_seconds("now") - F.col("entity") % 5 * 1200)).alias("failed_at"))
     return products.refresh_queue(y, F.col("now"), 200).select("entity", "priority", "live")
 
 

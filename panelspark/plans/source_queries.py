@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import panel, points
@@ -10,7 +10,7 @@ from ..operators.history import latest_projection
 from ..sources import files, layout, publish, reports
 from ..sources.shared import shared_folder
 from ..sources.views import duck, table, view
-from .panel_queries import ENDS, SPANS
+from .panel_queries import ENDS, OBSERVED, SPANS, observed_rows
 from .registry import query, secs, text
 
 V = view
@@ -42,10 +42,48 @@ def io6_io7_history_csv(spark: SparkSession, d: str) -> DataFrame:
     """The aggregate history as CSV with a cutoff, read back."""
     path = shared_folder(spark, "history")
     publish.write_history(V(spark, d, "points"), path, F.lit("2024-01-10").cast("timestamp"))
-    back = spark.read.schema("source string, slot timestamp, observed_at timestamp, population long, unit string").csv(path, header=True)
+    back = publish.read_history(spark, path)
     return back.select("source", secs("slot"), "population", "unit")
 
 
+FULL = OBSERVED + """, c AS (SELECT event_type AS source, time_bucket(INTERVAL 15 MINUTE, ts) AS slot, max(ts) AS finished, max(ts) FILTER (value > 50) AS updated, count(DISTINCT user_id) AS population, count(*) AS n, count_if(value > 20) AS charges FROM events GROUP BY 1, 2),
+fs AS (SELECT source, slot, count(*) AS new FROM (SELECT event_type AS source, user_id, min(time_bucket(INTERVAL 15 MINUTE, ts)) AS slot FROM events GROUP BY 1, 2) GROUP BY 1, 2),
+seen AS (SELECT c.source, c.slot, sum(coalesce(new, 0)) OVER (PARTITION BY c.source ORDER BY c.slot) AS seen FROM c LEFT JOIN fs ON fs.source = c.source AND fs.slot = c.slot),
+full_points AS (SELECT source, CASE WHEN source = 'purchase' THEN 'bookings' ELSE 'people' END AS unit, CAST(epoch(slot) AS BIGINT) AS slot, epoch_us(obs) AS observed_at, epoch_us(finished) AS finished_at, epoch_us(updated) AS source_updated_at, population, arrivals, departures, comparison_minutes,
+CASE WHEN source <> 'purchase' THEN population END AS listed_people, CASE WHEN source <> 'purchase' THEN n END AS listed_records, CASE WHEN source = 'purchase' THEN charges END AS charge_rows, CAST(seen AS BIGINT) AS people_or_bookings_seen FROM c JOIN moved_on m USING (source, slot) JOIN seen USING (source, slot))"""
+
+
+def full_points(spark: SparkSession, d: str) -> DataFrame:
+    """Observation points with all that is published of them, and a field that isn't."""
+    rows, keys = observed_rows(spark, d), ("source",)
+    own = F.col("source") == "purchase"
+    c = rows.groupBy("source", "slot").agg(F.min("ts").alias("observed_at"), F.max("ts").alias("finished_at"), F.max(F.when(F.col("value") > 50, F.col("ts"))).alias("source_updated_at"), F.count_distinct("entity").alias("population"), F.count("*").alias("n"), F.count_if(F.col("value") > 20).alias("charges"))
+    c = c.withColumns({"listed_people": F.when(~own, F.col("population")), "listed_records": F.when(~own, F.col("n")), "charge_rows": F.when(own, F.col("charges"))})
+    seen = points.cumulative_seen(rows, keys=keys).withColumnRenamed("seen", "people_or_bookings_seen")
+    return c.join(points.flows(rows, keys=keys, observed="ts"), ["source", "slot"]).join(seen, ["source", "slot"])
+
+
+def shown(df: DataFrame) -> DataFrame:
+    """Times as numbers, which both engines print alike."""
+    return df.select(*[F.unix_seconds(c).alias(c) if c == "slot" else F.unix_micros(c).alias(c) if publish.kind_of(c) == "timestamp" else F.col(c) for c in df.columns])
+
+
+@query("WITH e AS (SELECT 1)" + FULL + " SELECT * FROM full_points WHERE observed_at >= epoch_us(TIMESTAMP '2024-01-10')")
+def io6_published_history(spark: SparkSession, d: str) -> DataFrame:
+    """All 14 columns of the published history from a time on, written as CSV and read back."""
+    path = shared_folder(spark, "history")
+    publish.write_history(full_points(spark, d), path, F.lit("2024-01-10").cast("timestamp"))
+    return shown(publish.read_history(spark, path))
+
+
+@query("WITH e AS (SELECT 1)" + FULL + f" SELECT {', '.join(publish.EXPORT)} FROM full_points")
+def io7_whole_export(spark: SparkSession, d: str) -> DataFrame:
+    """The export of all observations, without a time limit, in its 11 columns."""
+    path = shared_folder(spark, "export")
+    publish.write_export(full_points(spark, d), path)
+    return shown(publish.read_history(spark, path, publish.EXPORT))
+
+
 @query(duck("details", "SELECT entity, CAST(epoch(max(seen_at)) AS BIGINT) AS seen_at, arg_max(amount, seen_at) AS amount, arg_max(status, seen_at) AS status FROM details WHERE seen_at <= TIMESTAMP '1997-01-01' GROUP BY 1 HAVING list_contains(arg_max(cases, seen_at), 7)"))
 def io8_exported_details(spark: SparkSession, d: str) -> DataFrame:
     return publish.exported_details(V(spark, d, "details"), F.lit("1997-01-01").cast("timestamp"), case=7).select("entity", secs("seen_at"), "amount", "status")
@@ -159,6 +197,43 @@ def io15_page_rows(spark: SparkSession, d: str) -> DataFrame:
     return files.page_rows(table(spark, d, "pages").select("page_id", "html")).select("page_id", "row_no", "link")
 
 
+PAGED = """, l AS (SELECT slot, entity, owner, end_date, row_number() OVER (PARTITION BY slot ORDER BY entity) - 1 AS i, count(*) OVER (PARTITION BY slot) AS total FROM roster),
+t AS (SELECT *, i // 25 AS page, (i // 25) * 25 + 1 AS first, least((i // 25 + 1) * 25, total) AS last, CAST(epoch(slot) AS BIGINT) // 21600 % 17 AS k FROM l)"""
+PAGE_FAULT = "CASE WHEN k = 3 THEN 'server error: app.FaultException' WHEN k = 5 THEN 'range missing' WHEN k = 7 THEN 'implausible range' WHEN k = 9 AND page = 0 THEN 'fewer rows than the range' WHEN k = 11 THEN 'columns changed' WHEN k = 13 THEN 'identifier missing' WHEN k = 15 THEN 'end date not recognised' END"
+
+
+def roster_html(spark: SparkSession, d: str) -> DataFrame:
+    """(slot, page, html): snapshots as pages of 25 table rows with their advertised range; every other kind of fault."""
+    w = Window.partitionBy("slot")
+    r = V(spark, d, "roster").withColumns({"i": F.row_number().over(w.orderBy("entity")) - 1, "total": F.count("*").over(w), "k": F.floor(F.unix_seconds("slot") / 21600) % 17})
+    r = r.withColumn("page", F.floor(F.col("i") / 25).cast("long"))
+    cell = lambda c: F.concat(F.lit("<td>\n <b>"), c, F.lit(" </b></td>"))
+    entity = F.col("entity").cast("string")
+    link = F.concat(F.lit("<td><a class='x' href=\"javascript:open('"), F.when(F.col("k") == 13, "").otherwise(F.concat(F.lit("r"), entity)), F.lit("')\">Name&amp;  "), entity, F.lit("</a></td>"))
+    date = F.coalesce(F.when(F.col("k") == 15, F.lit("soon")).otherwise(F.date_format("end_date", "MM/dd/yyyy")), F.lit(""))
+    row = F.concat(F.lit("<tr>"), link, cell(entity), cell(F.col("owner")), F.when(F.col("k") == 11, "").otherwise(cell(F.lit("x"))), cell(date), F.lit("</tr>"))
+    drop = (F.col("k") == 9) & (F.col("page") == 0) & (F.col("i") == 0)
+    p = r.groupBy("slot", "page", "total", "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~drop, F.struct("i", row.alias("row"))))), lambda x: x["row"]), "\n").alias("rows"))
+    first, last = F.col("page") * 25 + 1, F.least((F.col("page") + 1) * 25, F.col("total"))
+    thousands = lambda c: F.format_number(c, 0)
+    said = F.concat(F.lit("<p>Showing <b>"), thousands(first), F.lit("</b> to "), thousands(last), F.lit(" of "), thousands(F.when(F.col("k") == 7, last - 1).otherwise(F.col("total"))), F.lit("\n results</p>"))
+    html = F.when(F.col("k") == 3, "<h1>An abnormal error occurred</h1> java: app.FaultException: row of a person").when(F.col("k") == 5, F.concat(F.lit("<table>"), F.col("rows"), F.lit("</table>"))).otherwise(F.concat(said, F.lit("<table><tr><th>Name</th></tr>"), F.col("rows"), F.lit("</table>")))
+    return p.select("slot", "page", html.alias("html"))
+
+
+@query(duck("roster", PAGED + f""" SELECT CAST(epoch(slot) AS BIGINT) AS slot, page, CASE WHEN k NOT IN (3, 5) THEN first END AS first, CASE WHEN k NOT IN (3, 5) THEN last END AS last, CASE WHEN k = 7 THEN last - 1 WHEN k NOT IN (3, 5) THEN total END AS total,
+{PAGE_FAULT} AS fault FROM t GROUP BY ALL"""))
+def io15_page_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """The advertised range of each page of a listing, and why a page is refused."""
+    return files.roster_pages(roster_html(spark, d))[1].select(secs("slot"), "page", "first", "last", "total", "fault")
+
+
+@query(duck("roster", PAGED + f" SELECT CAST(epoch(slot) AS BIGINT) AS slot, page, 'r' || entity AS result_id, 'Name& ' || entity AS name, CAST(entity AS VARCHAR) AS entity, owner, CAST(end_date AS VARCHAR) AS end_date FROM t WHERE {PAGE_FAULT} IS NULL"))
+def io15_listed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the pages that aren't refused: the link's id, the cells' squeezed text, the end date."""
+    return files.roster_pages(roster_html(spark, d))[0].select(secs("slot"), "page", "result_id", "name", "entity", "owner", text("end_date"))
+
+
 @query("SELECT page_id, CASE WHEN dir = 'en' AND name LIKE '%.html' THEN 'english page' WHEN dir = 'en' THEN 'english folder' WHEN dir = 'de' AND regexp_matches(name, '^[0-9]+$') THEN 'german number' END AS family FROM (SELECT page_id, regexp_extract(url, '://[^/]*/([^/]*)/([^?#]*)', 1) AS dir, regexp_extract(url, '://[^/]*/([^/]*)/([^?#]*)', 2) AS name FROM pages)")
 def io16_file_families(spark: SparkSession, d: str) -> DataFrame:
     pattern = "://[^/]*/([^/]*)/([^?#]*)"

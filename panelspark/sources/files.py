@@ -91,6 +91,49 @@ def advertised_range(text: Column) -> dict[str, Column]:
     return {k: number_in(text, pattern, i) for i, k in enumerate(("first", "last", "total"), 1)}
 
 
+def roster_pages(pages: DataFrame, html: str = "html", cells: int = 5, most: int = 50_000) -> tuple[DataFrame, DataFrame]:
+    """(rows, pages) of a listing's pages: the other columns of `pages` come along.
+
+    rows: row_no, result_id (from the link that opens a record), name, entity, owner, birth, end_date. pages: first, last,
+    total (the advertised range), fault. A fault refuses all rows of its page: a server error (told by its class only,
+    as its text can hold rows), no range, an implausible one, other than `cells` cells, a row without an id, an end date
+    that is none, fewer rows than the range. Rows are table rows with such a link."""
+    rest = [c for c in pages.columns if c != html]
+    plain = lambda x: squeezed(unescaped(F.regexp_replace(x, "<[^>]*>", " ")))
+    said = squeezed(F.regexp_replace(html, "<[^>]*>", " "))
+    p = pages.withColumns({"_said": said, **{k: v for k, v in advertised_range(said).items()}})
+    tr = F.filter(F.regexp_extract_all(html, F.lit("(?s)<tr[^>]*>(.*?)</tr>"), 1), lambda x: x.rlike(r"javascript:open\("))
+    parsed = F.transform(tr, lambda x: F.struct(
+        F.regexp_extract(x, r"javascript:open\('([^']*)'\)", 1).alias("result_id"),
+        F.transform(F.regexp_extract_all(x, F.lit("(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), plain).alias("cells"),
+    ))
+    p = p.withColumn("_rows", parsed)
+    end = lambda r: F.get(r["cells"], cells - 1)
+    broken = F.regexp_extract("_said", r"\b((?:[a-z]\w*\.)+[A-Z]\w*(?:Exception|Error))\b", 1)
+    no_range = F.col("total").isNull()
+    fault = (
+        F.when(no_range & F.col("_said").contains("An abnormal error occur"), F.concat(F.lit("server error: "), F.coalesce(F.nullif(broken, F.lit("")), F.lit("unknown"))))
+        .when(no_range, "range missing")
+        .when((F.col("total") < 1) | (F.col("total") > most) | (F.col("first") < 1) | (F.col("first") > F.col("last")) | (F.col("last") > F.col("total")), "implausible range")
+        .when(F.exists("_rows", lambda r: F.size(r["cells"]) != cells), "columns changed")
+        .when(F.exists("_rows", lambda r: (r["result_id"] == "") | (F.get(r["cells"], 1) == "")), "identifier missing")
+        .when(F.exists("_rows", lambda r: (end(r) != "") & F.try_to_timestamp(end(r), F.lit("MM/dd/yyyy")).isNull()), "end date not recognised")
+        .when(F.size("_rows") < F.col("last") - F.col("first") + 1, "fewer rows than the range")
+    )
+    p = p.withColumn("fault", fault)
+    each = p.where("fault IS NULL").select(*rest, F.posexplode("_rows").alias("row_no", "r"))
+    named = {n: F.get("r.cells", F.lit(i)).alias(n) for i, n in enumerate(("name", "entity", "owner", "birth"))}
+    last = F.try_to_timestamp(F.nullif(F.get("r.cells", F.lit(cells - 1)), F.lit("")), F.lit("MM/dd/yyyy")).cast("date")
+    return each.select(*rest, "row_no", "r.result_id", *named.values(), last.alias("end_date")), p.select(*rest, "first", "last", "total", "fault")
+
+
+def unescaped(text: Column) -> Column:
+    """The five character references that tables of text use."""
+    for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(sign))
+    return text
+
+
 def file_family(directory: Column, name: Column, rules: list[tuple[str, str, str]]) -> Column:
     """The family of the first rule (directory, name pattern, family) that fits; null if none does."""
     out = F.lit(None).cast("string")

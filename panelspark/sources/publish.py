@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HISTORY = ["source", "slot", "observed_at", "population", "unit"]
+# fixed values: the columns of the published history and of the whole export, in their order
+HISTORY = ["source", "unit", "slot", "observed_at", "finished_at", "source_updated_at", "population", "arrivals", "departures", "comparison_minutes", "listed_people", "listed_records", "charge_rows", "people_or_bookings_seen"]
+EXPORT = ["source", "slot", "observed_at", "finished_at", "source_updated_at", "population", "arrivals", "departures", "listed_people", "listed_records", "charge_rows"]
+KINDS = {"source": "string", "unit": "string", "slot": "timestamp", "observed_at": "timestamp", "finished_at": "timestamp", "source_updated_at": "timestamp", "comparison_minutes": "double"}
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def nested_panel(spans: DataFrame, ends: DataFrame, entity: str = "entity") -> DataFrame:
@@ -31,16 +37,34 @@ def read_panel(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def history_rows(points: DataFrame, cutoff: Column | None = None) -> DataFrame:
-    """The fixed columns of the aggregate history; the unit depends on the source, other fields are left out."""
-    unit = F.when(F.col("source") == "purchase", "bookings").otherwise("people")
-    out = points.withColumn("unit", unit)
-    out = out if cutoff is None else out.where(F.col("observed_at") >= cutoff)
-    return out.select(*HISTORY)
+def kind_of(column: str) -> str:
+    return KINDS.get(column, "bigint")
+
+
+def history_rows(points: DataFrame, cutoff: Column | None = None, bookings: Sequence[str] = ("purchase",)) -> DataFrame:
+    """The fixed columns of the aggregate history from a time on: what a source doesn't measure is null, other fields are
+    left out, and the unit follows from the source."""
+    unit = F.when(F.col("source").isin(*bookings), "bookings").otherwise("people")
+    return columns_of(points.withColumn("unit", unit) if cutoff is None else points.withColumn("unit", unit).where(F.col("observed_at") >= cutoff), HISTORY)
+
+
+def columns_of(points: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return points.select(*[(F.col(c) if c in points.columns else F.lit(None)).cast(kind_of(c)).alias(c) for c in columns])
 
 
 def write_history(points: DataFrame, path: str, cutoff: Column | None = None) -> None:
-    history_rows(points, cutoff).write.mode("overwrite").csv(path, header=True)
+    """The published history as CSV with a heading."""
+    history_rows(points, cutoff).write.mode("overwrite").csv(path, header=True, timestampFormat=STAMP)
+
+
+def write_export(points: DataFrame, path: str) -> None:
+    """All observations, however old, as CSV with a heading, in order of sources and slots over all files."""
+    columns_of(points, EXPORT).orderBy("source", "slot").write.mode("overwrite").csv(path, header=True, timestampFormat=STAMP)
+
+
+def read_history(spark: SparkSession, path: str, columns: Sequence[str] = tuple(HISTORY)) -> DataFrame:
+    schema = ", ".join(f"{c} {kind_of(c)}" for c in columns)
+    return spark.read.schema(schema).csv(path, header=True, timestampFormat=STAMP, enforceSchema=False)
 
 
 def exported_details(details: DataFrame, at: Column | None = None, entity: int | None = None, case=None) -> DataFrame:

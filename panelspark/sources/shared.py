@@ -12,6 +12,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder named by spark.checkpoint.dir; a local one only where none is named, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.partition("[")[0] == "local":  # a folder of this machine would be of no use there
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="panelspark-")
         spark.conf.set("spark.checkpoint.dir", named)
     return f"{named.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelspark.functions import scalars, stats
 from panelspark.operators import events, forecast, history, joins, panel, points, products, survival
 from panelspark.sources import files, publish
-from panelspark.streaming import ingest
+from panelspark.streaming import ingest, registry
 
 T0 = datetime(2024, 1, 1)
 
@@ -22,18 +22,20 @@ def snaps(spark, rows):
 
 
 def test_kaplan_meier_by_hand(spark):
-    obs = spark.createDataFrame([("g", t, e) for t, e in ((1, True), (2, True), (3, True), (5, True), (2, False), (4, False))], "g string, duration int, event boolean")
-    km = survival.kaplan_meier(obs, ["g"])
-    got = [(r.time, r.at_risk, round(r.survival, 6)) for r in km.orderBy("time").collect()]
-    assert got == [(1, 6, 0.833333), (2, 5, 0.666667), (3, 3, 0.444444), (4, 2, 0.444444), (5, 1, 0.0)]
-    first, last = km.orderBy("time").collect()[0], km.orderBy("time").collect()[-1]
-    assert (round(first.lower, 4), round(first.upper, 4)) == (0.2731, 0.9747)
-    assert last.lower is None and last.upper is None
-    at = {r.day: r.survival for r in survival.survival_at(km, ["g"], (0, 6)).collect()}
-    assert at == {0: 1.0, 6: None}
-    assert survival.at_risk_at(km, ["g"], (2,)).first().at_risk == 3
-    q = {r.share: r.time for r in survival.event_quantiles(km, ["g"], (0.25, 0.5)).collect()}
-    assert q == {0.25: 2, 0.5: 3}
+    """Eight stays, two ends on one day, an end and a cut-off on another; the last one ends."""
+    stays = [(12, True), (4, False), (20, True), (7, True), (9, False), (7, True), (15, False), (4, True)]
+    km = survival.kaplan_meier(spark.createDataFrame([("g", t, e) for t, e in stays], "g string, duration int, event boolean"), ["g"])
+    table = km.orderBy("time").collect()
+    assert [(r.time, r.at_risk, round(r.survival, 6)) for r in table] == [(4, 8, 0.875), (7, 6, 0.583333), (9, 4, 0.583333), (12, 3, 0.388889), (15, 2, 0.388889), (20, 1, 0.0)]
+    # 7/8 with a variance of 1/56 on the log-log scale, and 7/12 with 1/56 + 2/24
+    limits = [(round(r.lower, 4), round(r.upper, 4)) for r in table[:2]]
+    assert limits == [(0.387, 0.9814), (0.1802, 0.8441)]
+    assert table[-1].lower is None and table[-1].upper is None
+    at = {r.day: r.survival and round(r.survival, 6) for r in survival.survival_at(km, ["g"], (3, 10, 21)).collect()}
+    assert at == {3: 1.0, 10: 0.583333, 21: None}
+    assert survival.at_risk_at(km, ["g"], (7,)).first().at_risk == 4
+    q = {r.share: r.time for r in survival.event_quantiles(km, ["g"], (0.1, 0.25, 0.5)).collect()}
+    assert q == {0.1: 4, 0.25: 7, 0.5: 12}
 
 
 def test_spans_follow_observations_not_time(spark):
@@ -181,9 +183,9 @@ def test_stream_registry_equals_rebuild(spark, tmp_path):
     src, out, cursor = (f"file://{tmp_path}/{x}" for x in ("src", "out", "cursor"))
     for low, high in ((0, 15), (15, 30), (30, 45)):
         rows.where((F.col("slot") >= F.lit(minutes(low))) & (F.col("slot") < F.lit(minutes(high)))).write.mode("append").parquet(src)
-        ingest.run_available(spark.readStream.schema(rows.schema).parquet(src), ingest.registry_sink(spark, out), cursor)
+        ingest.run_available(spark.readStream.schema(rows.schema).parquet(src), registry.registry_sink(spark, out), cursor)
     key = lambda df: sorted((r.entity, tuple(r.owners), r.first_seen, r.last) for r in df.collect())
-    assert key(spark.read.parquet(f"{out}/2")) == key(ingest.merge_registry(None, rows))
+    assert key(registry.registry_table(spark, out)) == key(registry.merge_registry(None, rows))
 
 
 def test_once_per_slot_takes_every_event_type(spark, tmp_path):
