@@ -14,7 +14,7 @@ from .common import components, forget, join_counted, stored
 
 #: Vectors that the rotations are learned from at most; rows of one block of a bucket.
 FIT_ROWS, BLOCK = 20_000, 512
-#: Vectors of a label that a bucket is meant to hold; share of pairs at the threshold that may meet in no table.
+#: Vectors of a label that a bucket is meant to hold; share of pairs at the threshold that may be missed.
 BUCKET, MISSED = 32, 0.002
 
 
@@ -58,9 +58,8 @@ def merged(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def table_plan(rows: int, threshold: float) -> tuple[int, int]:
     """(bits of a substring, tables): a substring has about log2(rows / BUCKET) bits, so buckets don't grow with the
-    table; there are as many tables as pairs at the threshold need to meet in one.
-
-    A bit of two vectors at an angle differs with probability angle / pi."""
+    table; there are as many tables as pairs at the threshold would need if a bit of two vectors at an angle differed
+    with probability angle / pi, each by itself. measured_tables() goes on from there."""
     bits = min(48, max(1, round(math.log2(max(2, rows / BUCKET)))))
     same = (1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi) ** bits
     return bits, 1 if same >= 1 else max(1, math.ceil(math.log(MISSED) / math.log(1 - same)))
@@ -72,6 +71,34 @@ def hamming_radius(bits: int, threshold: float) -> int:
     return math.ceil(bits * p + 4 * math.sqrt(bits * p * (1 - p)))
 
 
+def measured_tables(fitted: np.ndarray, bits: int, width: int, tables: int, threshold: float, probes: int = 4000, seed: int = 5) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(mean, projection, tables, radius) so that of pairs just at the threshold no more than MISSED is missed, measured.
+
+    Bits of one rotation depend on each other and those near an axis differ more often than the angle tells. So each of
+    up to `probes` fitted vectors gets a partner at the threshold in a random direction; the radius holds all but a
+    quarter of MISSED of these pairs, and tables with rotations of their own are added until enough pairs meet in one."""
+    rng = np.random.default_rng(seed)
+    x = fitted[:probes]
+    off = rng.standard_normal(x.shape)
+    off -= (off * x).sum(1, keepdims=True) * x
+    off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-300)
+    y = threshold * x + math.sqrt(max(0.0, 1 - threshold**2)) * off
+    turns: list[tuple[np.ndarray, np.ndarray]] = []
+    most = 8 * tables
+    while True:
+        while sum(t.shape[1] for _, t in turns) < width * tables:
+            turns.append(fit_itq(fitted, bits, seed=3 + len(turns)))
+        mean, projection = turns[0][0], np.concatenate([t for _, t in turns], axis=1)
+        differs = ((x - mean) @ projection >= 0) != ((y - mean) @ projection >= 0)
+        first = turns[0][1].shape[1]
+        apart = differs[:, :first].sum(1)
+        radius = max(hamming_radius(first, threshold), int(np.quantile(apart, 1 - MISSED / 4, method="higher")))
+        meets = (~differs[:, : width * tables].reshape(len(x), tables, width).any(2)).any(1) & (apart <= radius)
+        if meets.mean() >= 1 - MISSED or tables >= most:
+            return mean, projection, tables, radius
+        tables = min(most, tables + max(1, tables // 4))
+
+
 def same_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list, pa.Table]]:
     """(first row's keys, rows) of each run of rows that agree in the first `keys` columns, from sorted batches."""
     held: list[pa.RecordBatch] = []
@@ -117,8 +144,9 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
 
     Codes come from rotations learned from fit_rows vectors at most, one rotation for each 64 bits (or for as many as
     the vectors have parts); every vector is indexed. Substrings of them are the keys of the tables, as long and as
-    many as table_plan() says for the largest label. Vectors that agree in a substring are candidates if their first
-    codes are within hamming_radius(), and the exact cosine decides. A bucket larger than `block` is dealt as pairs of
+    many as table_plan() says for the largest label and
+    measured_tables() adds. Vectors that agree in a substring are candidates if their first
+    codes are within its radius, and the exact cosine decides. A bucket larger than `block` is dealt as pairs of
     blocks. Within a task pairs are counted, never sent: it returns each vector's links and the edges of a spanning
     forest."""
     v = F.col(vector_col)
@@ -136,10 +164,8 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec
     most = groups.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
     width, tables = table_plan(most, threshold)
     fitted = unit_rows([x for x in sample if len(x) == dims], dims)
-    turns = [fit_itq(fitted, bits, seed=3 + k) for k in range(-(-width * tables // bits))]
-    mean, projection = turns[0][0], np.concatenate([p for _, p in turns], axis=1)
-    first = projection[:, :bits].shape[1]
-    radius = hamming_radius(first, threshold)
+    mean, projection, tables, radius = measured_tables(fitted, bits, width, tables, threshold)
+    first = min(bits, projection.shape[1])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -196,6 +222,7 @@ def linked_rows(rows: pa.Table, t: int, low: int, high: int, threshold: float, r
     Codes within the radius are reranked by exact cosine; a pair counts only in the first table where it meets."""
     x, parts = matrix(rows.column("vector"), np.float64), matrix(rows.column("parts"), np.int64)
     code, rep, copies, mine = (rows.column(c).to_numpy() for c in ("code", "rep", "copies", "mine"))
+    code = code.view(np.uint64)  # of a signed number bitwise_count takes the absolute value
     norm = np.sqrt(np.einsum("ij,ij->i", x, x))
     a = np.flatnonzero(mine == low)
     z = a if low == high else np.flatnonzero(mine == high)

@@ -726,6 +726,50 @@ def test_vector_links_by_force(spark, block):
     assert all(r.n_links == 0 for r in itq_neardup.link_vectors(one).collect())
 
 
+def planted_vectors(n, dims, labels, pairs, seed, low=0.98, high=0.99):
+    """Vectors with unlike axes, and partners of the first `pairs` of them at cosines from low to high."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dims)) * np.linspace(3, 0.3, dims) + rng.standard_normal((20, dims))[rng.integers(0, 20, n)]
+    off = rng.standard_normal((pairs, dims))
+    unit = x[:pairs] / np.linalg.norm(x[:pairs], axis=1, keepdims=True)
+    off -= (off * unit).sum(1, keepdims=True) * unit
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    c = rng.uniform(low, high, (pairs, 1))
+    y = (c * unit + np.sqrt(1 - c**2) * off) * rng.uniform(0.5, 2, (pairs, 1))
+    label = rng.integers(0, labels, n)
+    return np.concatenate([x, y]), np.concatenate([label, label[:pairs]])
+
+
+def test_recall_of_planted_pairs(spark):
+    """Thousands of pairs just above the threshold, against all pairs by brute force."""
+    x, label = planted_vectors(9000, 64, 3, 4000, 7)
+    frame = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, label, strict=True))], "vec_id long, embedding array<double>, label int")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {}
+    for k in range(3):
+        own = np.flatnonzero(label == k)
+        near = unit[own] @ unit[own].T >= 0.98
+        for i, n in zip(own, near.sum(1) - 1, strict=True):
+            want[int(i)] = int(n)
+    got = {r.vec_id: r.n_links for r in itq_neardup.link_vectors(frame).collect()}
+    assert all(got[i] <= want[i] for i in want) and sum(want.values()) >= 8000
+    assert sum(got.values()) >= 0.99 * sum(want.values())
+
+
+@pytest.mark.parametrize(("dims", "width"), [(16, 6), (64, 9), (64, 16), (200, 12)])
+def test_tables_are_measured(dims, width):
+    """Pairs that the plan hasn't seen meet as often as it says."""
+    x, _ = planted_vectors(6000, dims, 1, 3000, dims + width, 0.98, 0.9801)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    plan = itq_neardup.table_plan(itq_neardup.BUCKET << width, 0.98)
+    assert plan[0] == width
+    mean, projection, tables, radius = itq_neardup.measured_tables(unit[:6000], min(64, dims), width, plan[1], 0.98)
+    signs = (unit - mean) @ projection >= 0
+    differs = signs[:3000] != signs[6000:]
+    met = (~differs[:, : width * tables].reshape(3000, tables, width).any(2)).any(1) & (differs[:, : min(64, dims)].sum(1) <= radius)
+    assert met.mean() >= 0.99 and plan[1] <= tables <= 8 * plan[1]
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 def test_recall_on_the_table(spark):
     v = spark.read.parquet(f"{SF}/embeddings.parquet")
