@@ -22,8 +22,16 @@ from panelspark.llm.common import join_small, small_batches, stored
 
 #: A document goes if it has no letters or its likeliest language holds less than half of its words' weight.
 LEAST_SCORE = 0.5
-#: The column that tells rows apart where doc_id doesn't.
-ROW = "pipeline_row_number"
+#: The columns that tell rows apart where doc_id doesn't, and that hold spans to cut; with more _ if the table has them.
+ROW, SPANS = "pipeline_row_number", "pipeline_spans"
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """name, with as many _ behind it as make it no column of docs."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def with_keys(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -31,13 +39,15 @@ def with_keys(docs: DataFrame) -> tuple[DataFrame, str]:
     ids = docs.groupBy("doc_id").count()
     if ids.where("count > 1 or doc_id is null").isEmpty():
         return docs, "doc_id"
-    return stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed"), ROW
+    row = free_name(docs, ROW)
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "keyed"), row
 
 
 def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """docs without the rows that gone names, and without the row number."""
     gone = stored(gone.select(F.col("doc_id").alias(key)), "gone")
-    return join_small(docs, gone, key, "left_anti", gone.count()).drop(ROW)
+    kept = join_small(docs, gone, key, "left_anti", gone.count())
+    return kept if key == "doc_id" else kept.drop(key)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +72,7 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     taken stay as they are, null and empty texts too."""
     keyed, key = with_keys(docs)
     spans, columns = stored(suffix_dedup.repeated_spans(keyed, id_col=key).withColumnRenamed("doc_id", key), "spans"), docs.columns
-    cuts = "pipeline_spans"
+    cuts = free_name(keyed, SPANS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
