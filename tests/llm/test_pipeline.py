@@ -154,6 +154,19 @@ def test_rows_that_share_an_id_are_judged_by_themselves(spark, corpus):
         assert none.count() == 0
 
 
+def test_columns_of_the_stages_own_names_stay(spark, corpus):
+    en = [t for i, t, lang in sorted(corpus, key=lambda r: r[0]) if lang == "en" and i < 45]
+    rows = [(1, en[0] + " " + en[1], "en"), (2, "start " + en[0] + " " + en[2], "en"), (2, en[3], "en"), (None, en[4], "en")]
+    named = frame_of(spark, rows).withColumns({"Pipeline_row_number": F.lit(7), "pipeline_spans": F.lit("x"), "pipeline_row_number_": F.col("text")})
+    kept = named
+    for _, stage in pipeline.STAGES[:-1]:
+        kept = pipeline.stored(stage(spark, kept, ""), "t")
+        assert kept.columns == named.columns
+    got = kept.collect()
+    assert len(got) == 4 and all((r.Pipeline_row_number, r.pipeline_spans) == (7, "x") for r in got)
+    assert sum(r.text != r.pipeline_row_number_ for r in got) == 1  # one text was cut
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 def test_run(spark):
     got = pipeline.run(spark, SF)
