@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions import stats
 from panelspark.operators import forecast, joins, points, reconcile
-from panelspark.sources import layout
+from panelspark.sources import layout, shared
 from panelspark.streaming import ingest, isolation, registry
 
 T0 = datetime(2024, 1, 1)
@@ -133,6 +133,14 @@ def test_commits_are_once_and_whole(spark, tmp_path):
     assert got() == want
 
 
+def test_an_application_stores_in_one_folder_that_can_be_cleared(spark):
+    one = shared.stored(spark.range(3), "t")
+    assert one.count() == 3 and shared.exists(spark, shared.application_folder(spark))
+    assert spark.conf.get("spark.checkpoint.dir") in shared.shared_folder(spark, "x")
+    shared.clear(spark)
+    assert not shared.exists(spark, shared.application_folder(spark))
+
+
 # --- sources side by side
 
 
