@@ -76,7 +76,7 @@ def burst(sequences: DataFrame, container: int = CONTAINER) -> tuple[DataFrame,
     and rounds end after as many as there are branchings on a path of large containers. settled: the sequences with
     `head`, `head_conv` (its least conv_id) and `depth` (turns that the head stands for). heads, on the driver: number,
     parent, top and depth (first and last depth of the skipped run), n, conv, k1 and k2 of the sequence that ends there,
-    children, and the stored table of its text sizes from top to depth."""
+    children, and the bytes of the texts from top to depth."""
     spark = sequences.sparkSession
     total = sequences.count()
     limit = max(container, total // SHARES)
