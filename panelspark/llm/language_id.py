@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain as joined
@@ -20,9 +19,17 @@ from .common import drop_kept, join_small, small_batches, stored
 TRAIN_DOCS, TRAIN_CHARS, LEAST_DOCS = 1500, 1_500_000, 20
 #: Hashed features; words of one stretch of a chain; remembered words of a task; scores (words x labels) that fitting holds at once.
 FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
-#: Numbers such as ² ½ Ⅷ are word characters to `re` but no letters (category L).
-NUMBERS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-WORD = re.compile(f"[^\\W\\d_{NUMBERS}]+")
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text in lower case: runs of letters (category L).
+
+    To `re` numbers such as \u00b2 \u00bd \u2167 are word characters too; words that have some, which are rare, are cut at them."""
+    found = WORD.findall(text.lower())
+    if "".join(found).isalpha():
+        return found
+    return [part for w in found for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 class Numbers(dict):
@@ -181,7 +188,7 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
 
     Chains are taken in stretches of `chain` words at once, and the messages are carried over the places where they
     meet: first what each stretch of a longer text does to a message, then the messages, then the marginals."""
-    words = [WORD.findall((t or "").lower()) for t in texts]
+    words = [words_of(t or "") for t in texts]
     new = list({w for ws in words for w in ws} - known.keys())
     if len(known) + len(new) > REMEMBERED:
         known.clear()
@@ -260,7 +267,7 @@ def training_sample(docs: DataFrame, held_out, text_col: str, lang_col: str, mos
     chosen = cut.where(near).withColumns({"k": F.row_number().over(order), "all": F.sum("size").over(order)})
     chosen = stored(chosen.where((F.col("k") == 1) | (F.col("k") <= share) & (F.col("all") <= quota)).select("h", "lang"), "chosen")
     taken = join_small(rows, chosen, ["h", "lang"], "left_semi", chosen.count()).dropDuplicates(["h"])
-    return [(r["lang"], WORD.findall(r["text"].lower())) for r in taken.orderBy("h").collect()]
+    return [(r["lang"], words_of(r["text"])) for r in taken.orderBy("h").collect()]
 
 
 def identify_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> DataFrame:
