@@ -11,7 +11,7 @@ from ..functions import scalars as S
 from ..functions.stats import exact_median
 from ..sources.shared import stored
 
-#: Upper bounds of the bands: full years, days held, money, days until a date (a band before 0 comes first).
+# fixed values: upper bounds of the bands: full years, days held, money, days until a date (a band before 0 comes first)
 AGES, HELD, MONEY, AHEAD = (17, 24, 34, 44, 54, 64, 200), (6, 30, 90, 180, 365, 730, 1095, None), (1000, 5000, 10_000, 25_000, 50_000, 100_000, 250_000, None), (0, 7, 30, 90, None)
 NOT_LISTED, BEFORE, NO_DATE, VIOLATION, OTHER = "not listed", "before", "no date", "violation only", "other"
 FLAGS = ("start_missing_or_future", "detainer", "violation_charge", "no_bond_set")
