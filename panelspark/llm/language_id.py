@@ -260,7 +260,7 @@ def training_sample(docs: DataFrame, held_out, text_col: str, lang_col: str, mos
     languages = max(1, counts.count())
     share, quota = max(LEAST_DOCS, most // languages), chars // languages
     fits = (F.col("size") <= quota) | (F.col("least") > quota) & (F.col("size") == F.col("least"))
-    cut = known.join(counts, "lang").where(fits)
+    cut = join_small(known, counts, "lang", "inner", languages, 64).where(fits)  # else all hashes of a language would meet in one task
     near = F.pmod("h", F.lit(1 << 30)) < (4.0 * share + 64) * (1 << 30) / F.col("n")
     order = Window.partitionBy("lang").orderBy("h")
     near = near | (F.col("least") > quota)  # hardly any rows: those of the least length
