@@ -58,13 +58,21 @@ def unconflicted(visits: DataFrame, owners: str = "owners", allowed_none: bool =
     return visits.where(one).withColumn("owner", F.col(owners)[0]).join(bad, "owner", "left_anti")
 
 
-def visit_gaps(visits: DataFrame, owner: str = "owner", entity: str = "entity", start: str = "start_date", end: str = "end_date") -> DataFrame:
+def visit_gaps(visits: DataFrame, owner: str = "owner", entity: str = "entity", start: str = "start_date", end: str = "end_date", days: int = 32) -> DataFrame:
     """(owner, entity, kind, days) for each visit after an owner's first: the days from the end of the one before.
 
     missing: no end before, or any start of the owner is missing; invalid: the visit before starts no earlier, ends
-    before its start, or ends after this start."""
-    w = Window.partitionBy(owner).orderBy(start, entity)
-    v = visits.where(F.col(owner) != "").withColumns({"_void": F.max(F.col(start).isNull()).over(Window.partitionBy(owner)), "_end": F.lag(end).over(w), "_start": F.lag(start).over(w), "_r": F.row_number().over(w)}).where("_r > 1")
+    before its start, or ends after this start. Visits are put in order within buckets of `days` days; a bucket's first
+    goes on from the last of the owner's bucket before, told from one row per owner and bucket. So no task orders all
+    dated visits of an owner, however many it has."""
+    v = visits.where(F.col(owner) != "").withColumn("_b", F.coalesce(F.floor(F.unix_date(start) / days).cast("int"), F.lit(-(1 << 31))))
+    within, over = Window.partitionBy(owner, "_b").orderBy(start, entity), Window.partitionBy(owner)
+    v = v.withColumns({"_end": F.lag(end).over(within), "_start": F.lag(start).over(within), "_r": F.row_number().over(within)})
+    edges = v.groupBy(owner, "_b").agg(F.max(F.struct(F.col(start).alias("start"), F.col(entity).alias("entity"), F.col(end).alias("end"))).alias("_last"), F.max(F.col(start).isNull()).alias("_none"))
+    edges = edges.select(owner, "_b", F.lag("_last").over(over.orderBy("_b")).alias("_before"), F.max("_none").over(over).alias("_void"))
+    v = v.join(edges, [owner, "_b"]).where((F.col("_r") > 1) | F.col("_before").isNotNull())
+    later = F.col("_r") > 1
+    v = v.withColumns({"_end": F.when(later, F.col("_end")).otherwise(F.col("_before.end")), "_start": F.when(later, F.col("_start")).otherwise(F.col("_before.start"))})
     wrong = (F.col("_start") >= F.col(start)) | (F.col("_end") < F.col("_start")) | (F.col("_end") > F.col(start))
     kind = F.when(F.col("_void") | F.col("_end").isNull(), "missing").when(wrong, "invalid").otherwise("measured")
     return v.select(owner, entity, kind.alias("kind"), F.when(kind == "measured", F.datediff(start, "_end")).alias("days"))

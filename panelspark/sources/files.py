@@ -147,14 +147,6 @@ def key_faults(source: Column, slot: Column) -> Column:
     return F.when(~source.rlike("^[a-z][a-z0-9_-]*$"), "source name").when((F.minute(slot) % 15 != 0) | (F.second(slot) != 0), "not a quarter hour")
 
 
-def scan(points: DataFrame, source: str, after: Column | None = None, through: Column | None = None, slot: str = "slot") -> DataFrame:
-    """Observations of a source after a cursor and through a slot; on partitioned data both prune."""
-    out = points.where(F.col("source") == source)
-    if after is not None:
-        out = out.where(F.col(slot) > after)
-    return out if through is None else out.where(F.col(slot) <= through)
-
-
 def population_points(points: DataFrame, source: str, slot: str = "slot") -> DataFrame:
     """A source's observations in order of their slots, point columns only: other columns aren't read."""
     return points.where(F.col("source") == source).select("source", slot, "observed_at", "population").orderBy(slot)

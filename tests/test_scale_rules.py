@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelspark.functions import stats
-from panelspark.operators import forecast, joins, points, reconcile
+from panelspark.operators import events, forecast, joins, points, reconcile
 from panelspark.sources import layout, shared
 from panelspark.streaming import ingest, isolation, registry
 
@@ -97,6 +97,30 @@ def test_next_event_of_a_hot_owner_by_force(spark, seconds):
     assert got == want
 
 
+@pytest.mark.parametrize("days", [1, 32, 4000])
+def test_visit_gaps_of_a_hot_owner_by_force(spark, days):
+    rng = random.Random(days)
+    day = lambda n: date(2023, 1, 1) + timedelta(days=n)
+    rows = []
+    for i in range(400):
+        owner, at = rng.choice(["hot"] * 8 + ["p", "q", "void", ""]), rng.randrange(500)
+        rows.append((owner, i, None if owner == "void" and rng.random() < 0.3 else day(at), None if rng.random() < 0.2 else day(at + rng.randrange(-1, 4))))
+    df = spark.createDataFrame(rows, "owner string, entity int, start_date date, end_date date").repartition(5)
+    got = {r.entity: (r.kind, r.days) for r in events.visit_gaps(df, days=days).collect()}
+    want = {}
+    for owner in {r[0] for r in rows} - {""}:
+        own = sorted((r for r in rows if r[0] == owner), key=lambda r: (r[2] is not None, r[2] or day(0), r[1]))
+        void = any(r[2] is None for r in own)
+        for (_, _, a, z), (_, i, start, _) in zip(own, own[1:], strict=False):
+            if void or z is None:
+                want[i] = ("missing", None)
+            elif a >= start or z < a or z > start:
+                want[i] = ("invalid", None)
+            else:
+                want[i] = ("measured", (start - z).days)
+    assert got == want
+
+
 # --- layout and commits
 
 
