@@ -8,6 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows that a task gets of what it puts in order or holds, about.
+TASK_ROWS = 500_000
+
+
+def tasks_for(df: DataFrame, rows: int = TASK_ROWS) -> int:
+    """How many tasks df's rows need to get about `rows` each, one a core at least; rows are counted.
+
+    For repartition(): sizes of shuffled bytes, by which Spark joins partitions, tell little of the memory that rows
+    take, since sorted keys shrink to a twentieth."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+
+
 def change_points(df: DataFrame, values: Sequence[str], order: str, keys: Sequence[str] = ()) -> DataFrame:
     """The first row of each run of equal values."""
     w = Window.partitionBy(*keys).orderBy(order)
@@ -53,24 +65,28 @@ def modal(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return n.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(value))).alias("_m")).select(*keys, F.col(f"_m.{value}").alias(value))
 
 
-def next_event(events: DataFrame, owner: str, entity: str, first_seen: str, end: str, seconds: int = 86_400 * 32) -> DataFrame:
+def next_event(events: DataFrame, owner: str, entity: str, first_seen: str, end: str, seconds: int = 86_400 * 32, tasks: int | None = None) -> DataFrame:
     """(entity, owner, end, next_seen): when another entity of the same owner, first seen later than this one and not
     before the day of its end, is first seen; null if none is.
 
     Both conditions bound the time from below. Times are cut in buckets of `seconds`: the first time in the asked bucket
     that is late enough comes from one ordered pass over an owner's bucket, else the least time of the owner's next
-    bucket that has any, from a pass over one row per owner and bucket. So no task holds more than a bucket of an
-    owner's rows, however many it has. Times of one owner are counted once; blank owners are left out."""
-    e = events.where(F.col(owner) != "").withColumn("_t", F.unix_micros(first_seen))
-    bucket = lambda c: F.floor(F.col(c) / (seconds * 1_000_000)).cast("long")
-    asks = e.where(F.col(end).isNotNull()).select(owner, entity, end, F.greatest(F.col("_t") + 1, F.unix_micros(F.col(end).cast("timestamp"))).alias("_at"), F.lit(None).cast("long").alias("_t"))
-    seen = e.select(owner, "_t").distinct().select(owner, *[F.lit(None).cast(e.schema[c].dataType).alias(c) for c in (entity, end)], F.col("_t").alias("_at"), "_t")
-    ahead = Window.partitionBy(owner, "_b").orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    near = asks.union(seen).withColumn("_b", bucket("_at")).withColumn("_near", F.min("_t").over(ahead)).where(F.col(entity).isNotNull())
+    bucket that has any, from a pass over one row per owner and bucket. Rows are dealt by owner and bucket to as many
+    `tasks` as their number asks for (see tasks_for(); by default events are counted), so no task holds more than its
+    share of rows and a bucket of an owner, however many the owner or the table has. Passes run from the latest time
+    down, as running minima. Blank owners are left out."""
+    tasks = tasks or tasks_for(events)
+    bucket = F.floor(F.col("_at") / (seconds * 1_000_000)).cast("long").alias("_b")
+    t = F.unix_micros(first_seen)
+    ask = F.struct(F.col(entity), F.col(end), F.when(t.isNotNull(), F.greatest(t + 1, F.unix_micros(F.col(end).cast("timestamp")))).alias("_at"), F.lit(None).cast("long").alias("_t"))
+    none = [F.lit(None).cast(events.schema[c].dataType).alias(c) for c in (entity, end)]
+    both = F.array(F.when(F.col(end).isNotNull(), ask), F.when(t.isNotNull(), F.struct(*none, t.alias("_at"), t.alias("_t"))))
+    e = events.where(F.col(owner) != "").select(owner, F.explode(F.filter(both, lambda x: x.isNotNull())).alias("x")).select(owner, "x.*")
+    e = e.select("*", bucket).repartition(tasks, owner, "_b")
+    near = e.withColumn("_near", F.min("_t").over(Window.partitionBy(owner, "_b").orderBy(F.desc("_at")).rangeBetween(Window.unboundedPreceding, Window.currentRow))).where(F.col(entity).isNotNull())
     # one row per owner and bucket: its least time, and the least of the next bucket with times
-    least = e.groupBy(owner, bucket("_t").alias("_b")).agg(F.min("_t").alias("_least")).union(asks.select(owner, bucket("_at").alias("_b"), F.lit(None).cast("long")).distinct())
-    least = least.groupBy(owner, "_b").agg(F.min("_least").alias("_least"))
-    after = Window.partitionBy(owner).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
-    far = least.select(owner, "_b", F.min("_least").over(after).alias("_far"))
+    least = e.groupBy(owner, "_b").agg(F.min("_t").alias("_least")).repartition(tasks, owner)
+    after = Window.partitionBy(owner).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
+    far = least.select(owner, "_b", F.min("_least").over(after).alias("_far")).where("_far is not null").repartition(tasks, owner, "_b")
     out = near.join(far, [owner, "_b"], "left")
     return out.select(entity, owner, end, F.timestamp_micros(F.coalesce("_near", "_far")).alias("next_seen"))

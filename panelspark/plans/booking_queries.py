@@ -89,9 +89,14 @@ def owned(spark: SparkSession, d: str) -> DataFrame:
     return events.unconflicted(bookings(spark, d))
 
 
+def next_visits(spark: SparkSession, d: str) -> DataFrame:
+    tasks = joins.tasks_for(table(spark, d, "orders"))  # all visits, of which the table's footers tell the number
+    return joins.next_event(owned(spark, d), "owner", "entity", "first_seen", "end_date", tasks=tasks)
+
+
 @query(duck("bookings", NEXT + " SELECT v.entity, owner, CAST(end_date AS VARCHAR) AS end_date, CAST(epoch(nxt) AS BIGINT) AS next_seen FROM v JOIN nx USING (entity)"))
 def j16_next_event(spark: SparkSession, d: str) -> DataFrame:
-    n = joins.next_event(owned(spark, d), "owner", "entity", "first_seen", "end_date").where("next_seen is not null")
+    n = next_visits(spark, d).where("next_seen is not null")
     return n.select("entity", "owner", text("end_date"), secs("next_seen"))
 
 
@@ -105,7 +110,7 @@ def c11_re_entry(spark: SparkSession, d: str) -> DataFrame:
     """From an end within coverage to the owner's next first sight, censored at the snapshot. Visits without an owner or
     of a conflicted one are counted as excluded."""
     e = bookings(spark, d).where(F.col("end_date").between(F.lit(START).cast("date"), snap()))
-    nxt = joins.next_event(owned(spark, d), "owner", "entity", "first_seen", "end_date")
+    nxt = next_visits(spark, d)
     x = nxt.where(F.col("end_date").between(F.lit(START).cast("date"), snap()))
     x = x.select(F.lit(1).alias("g"), F.col("next_seen").isNotNull().alias("event"), F.datediff(F.coalesce(F.col("next_seen").cast("date"), snap()), "end_date").alias("duration"))
     at = survival.survival_at(survival.kaplan_meier(x, ["g"]), ["g"], (7, 30, 60, 90)).select("day", F.round("survival", 6).alias("survival"))

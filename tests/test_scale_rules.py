@@ -97,6 +97,21 @@ def test_next_event_of_a_hot_owner_by_force(spark, seconds):
     assert got == want
 
 
+def test_next_event_deals_rows_by_their_number(spark):
+    at = F.timestamp_seconds(1_600_000_000 + F.col("id") * 3600)
+    df = spark.range(6000).select(F.lit("hot").alias("owner"), F.col("id").alias("entity"), at.alias("first_seen"), at.cast("date").alias("end_date"))
+    out = joins.next_event(df, "owner", "entity", "first_seen", "end_date", 86_400 * 2, tasks=12)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) > 8 and max(sizes) < 1500  # however Spark would join such small partitions
+    assert joins.tasks_for(df, 100) == 60 and joins.tasks_for(df) == spark.sparkContext.defaultParallelism
+
+
+def test_next_event_of_an_event_never_seen(spark):
+    rows = [("p", 1, None, date(2024, 1, 1)), ("p", 2, T0 + timedelta(days=900), date(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "owner string, entity int, first_seen timestamp, end_date date")
+    assert {r.entity: r.next_seen for r in joins.next_event(df, "owner", "entity", "first_seen", "end_date").collect()} == {1: None, 2: None}
+
+
 @pytest.mark.parametrize("days", [1, 32, 4000])
 def test_visit_gaps_of_a_hot_owner_by_force(spark, days):
     rng = random.Random(days)
