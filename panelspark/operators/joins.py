@@ -65,6 +65,19 @@ def modal(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return n.groupBy(*keys).agg(F.min(F.struct(-F.col("_n"), F.col(value))).alias("_m")).select(*keys, F.col(f"_m.{value}").alias(value))
 
 
+def listed_entities(cases: DataFrame, listed: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(entity, family), each once: entities of which a family lists a case. cases: (entity, case_no), listed: (family,
+    case_no); both may repeat rows.
+
+    Cases meet one row per listed case, with its families, and are dealt by case and by entity to as many `tasks` as
+    their number asks for; families unfold only then, within the task that has all rows of an entity. The result stays
+    dealt by entity."""
+    tasks = tasks or tasks_for(cases)
+    families = listed.select("family", "case_no").distinct().groupBy("case_no").agg(F.collect_list("family").alias("family"))
+    j = cases.select("entity", "case_no").repartition(tasks, "case_no").join(families.hint("shuffle_hash"), "case_no")
+    return j.select("entity", "family").repartition(tasks, "entity").select("entity", F.explode("family").alias("family")).dropDuplicates(["entity", "family"])
+
+
 def next_event(events: DataFrame, owner: str, entity: str, first_seen: str, end: str, seconds: int = 86_400 * 32, tasks: int | None = None) -> DataFrame:
     """(entity, owner, end, next_seen): when another entity of the same owner, first seen later than this one and not
     before the day of its end, is first seen; null if none is.
