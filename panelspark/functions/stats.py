@@ -27,7 +27,7 @@ def range_of(cuts: str, value: str, ranges: int) -> Column:
     return coarse * side + below(F.slice(cuts, coarse * side + 1, F.lit(side - 1)))
 
 
-def ordered_entries(df: DataFrame, keys: Sequence[str], value: str, entries: dict[float, Callable[[Column], Column]], least: int = 1, whole: int = WHOLE, ranges: int = RANGES) -> DataFrame:
+def ordered_entries(df: DataFrame, keys: Sequence[str], value: str, entries: dict[float, Callable[[Column], Column]], least: int = 1, whole: int = WHOLE, ranges: int = RANGES, times: str | None = None) -> DataFrame:
     """(keys, share, value): for each share the entry of a group's sorted values whose number its function gives from the
     number of values, null where there is none.
 
@@ -35,14 +35,14 @@ def ordered_entries(df: DataFrame, keys: Sequence[str], value: str, entries: dic
     `whole` different values is put in order. A larger one is cut at approximate percentiles of its different values, so
     that its ranges hold about as many of them whatever their size; ranges are counted, and only within the one that
     holds the entry values are put in order: no task orders a whole large group, also without keys. Counts are stored in
-    the shared folder, as they are read several times."""
+    the shared folder, as they are read several times. A row stands for as many values as its column `times` says."""
     keys = list(keys)
     spread = lambda df, c: df.crossJoin(c) if not keys else df.join(c, keys)
     asked = F.array(*[F.struct(F.lit(float(s)).alias("share"), f(F.col("_n")).cast("long").alias("at")) for s, f in entries.items()])
     of = lambda test: F.explode(F.filter(asked, lambda x: test(x["at"]))).alias("_e")
     running = lambda df, c, by, order: df.withColumn("_to", F.sum(c).over(Window.partitionBy(*by).orderBy(order)))
     inside = lambda c: lambda at: (at < F.col("_to")) & (at >= F.col("_to") - F.col(c))
-    counts = stored(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c")), "counts")
+    counts = stored(df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.sum(times) if times else F.count("*")).alias("_c")), "counts")
     groups = counts.groupBy(*keys).agg(F.sum("_c").alias("_n"), F.count("*").alias("_d"))
     known = spread(counts, groups).where(F.col("_n") >= least)
     none = groups.select(*keys, of(lambda at: (F.col("_n") < least) | (at >= F.col("_n")))).select(*keys, "_e.share", F.lit(None).cast(df.schema[value].dataType).alias(value))
@@ -59,7 +59,7 @@ def ordered_entries(df: DataFrame, keys: Sequence[str], value: str, entries: dic
     return hits.select(*keys, "share", F.col(value).alias("value"))
 
 
-def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], last: bool = False, least: int = 1, **how: int) -> DataFrame:
+def index_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: Sequence[float], last: bool = False, least: int = 1, **how: int | str | None) -> DataFrame:
     """(keys, share, value): the sorted values' entry floor(n * share), or int(share * (n - 1)) if last; see
     ordered_entries()."""
     return ordered_entries(df, keys, value, {s: lambda n, s=s: F.floor(F.lit(float(s)) * (n - 1 if last else n)) for s in shares}, least, **how)

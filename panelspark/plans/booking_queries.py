@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..functions.scalars import band
 from ..operators import events, joins, survival
+from ..sources.shared import stored
 from ..sources.views import duck, table, view
 from .registry import query, secs, text
 
@@ -238,15 +239,26 @@ UNION ALL SELECT 'case status', st, NULL FROM t UNION ALL SELECT 'none decided',
 timing AS (SELECT section, label, n, ds[len(ds) // 4 + 1] AS q1, ds[len(ds) // 2 + 1] AS median, ds[3 * len(ds) // 4 + 1] AS q3 FROM ll)"""
 
 
+def details_by_entity(spark: SparkSession, d: str, tasks: int) -> DataFrame:
+    """The details, dealt by entity before rows are grouped, so that what is grouped or put in order by entity later on
+    stays where it is."""
+    return view(spark, d, "details", lineitem=table(spark, d, "lineitem").repartition(tasks, "l_orderkey"))
+
+
 def event_timing(spark: SparkSession, d: str) -> DataFrame:
     """(section, label, n, q1, median, q3): from the start to the earliest linked event, for entities that are new and
     those present at the start, and for those with the linked case open; what comes before the start, the linked
-    cases' status classes and entities with nothing decided are counted."""
+    cases' status classes and entities with nothing decided are counted.
+
+    Rows of lineitem are dealt once by case and once by entity; what is counted of them, one row per label and number of
+    days, is stored, as counts and quantiles both read it."""
+    li = table(spark, d, "lineitem")
+    tasks = joins.tasks_for(li)
     first = view(spark, d, "reports").where("family = 'indictments'").groupBy("case_no").agg(F.min("event_date").alias("day"))
-    case = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("entity"), F.col("l_partkey").cast("string").alias("case_no"))
-    case = case.agg(F.bool_or(F.col("l_linestatus") == "O").alias("open"), F.bool_and((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R")).alias("sentenced"))
-    e = case.join(first, "case_no").groupBy("entity").agg(F.min("day").alias("day"), F.bool_or("open").alias("open"), F.bool_and("sentenced").alias("sentenced"))
-    last = view(spark, d, "details").where("status <> 'some'").groupBy("entity").agg(F.max_by("status", "seen_at").alias("last_status"))
+    case = li.select(F.col("l_orderkey").alias("entity"), F.col("l_partkey").cast("string").alias("case_no"), (F.col("l_linestatus") == "O").alias("open"), ((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R")).alias("sentenced"))
+    e = case.repartition(tasks, "case_no").join(first.hint("shuffle_hash"), "case_no").select("entity", "day", "open", "sentenced").repartition(tasks, "entity")
+    e = e.groupBy("entity").agg(F.min("day").alias("day"), F.bool_or("open").alias("open"), F.bool_and("sentenced").alias("sentenced"))
+    last = details_by_entity(spark, d, tasks).where("status <> 'some'").groupBy("entity").agg(F.max_by("status", "seen_at").alias("last_status"))
     t = bookings(spark, d).where("start_date is not null").join(e, "entity").join(last, "entity", "left").withColumn("days", F.datediff("day", "start_date"))
     grp = F.when(F.col("left_truncated"), "present at start").otherwise("new")
     status = F.when(F.col("open"), "open").when(F.col("sentenced"), "sentenced").otherwise("other")
@@ -254,8 +266,9 @@ def event_timing(spark: SparkSession, d: str) -> DataFrame:
     none, days = F.lit(None).cast("int"), F.col("days")
     rows = F.array(row(days >= 0, "during stay", grp, days), row((days >= 0) & F.col("open"), "during stay, case open", grp, days), row(days < 0, "before start", grp, none), row(F.lit(True), "case status", status, none), row(F.col("last_status") == "none", "none decided", grp, none))
     u = t.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x")).select("x.*")
-    q = stats.index_quantiles(u, ["section", "label"], "days", (0.25, 0.5, 0.75)).groupBy("section", "label").agg(*[F.max(F.when(F.col("share") == s, F.col("value"))).alias(name) for s, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    return u.groupBy("section", "label").agg(F.count("*").alias("n")).join(q, ["section", "label"], "left")
+    u = stored(u.groupBy("section", "label", "days").agg(F.count("*").alias("n")), "timing")
+    q = stats.index_quantiles(u, ["section", "label"], "days", (0.25, 0.5, 0.75), times="n").groupBy("section", "label").agg(*[F.max(F.when(F.col("share") == s, F.col("value"))).alias(name) for s, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    return u.groupBy("section", "label").agg(F.sum("n").alias("n")).join(q, ["section", "label"], "left")
 
 
 @query(duck("bookings details reports", C9 + " SELECT section, label, n, CAST(q1 AS INT) AS q1, CAST(median AS INT) AS median, CAST(q3 AS INT) AS q3 FROM timing"))
