@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..functions.scalars import us_date
-from ..operators import events, survival
+from ..operators import events, joins, survival
 from ..operators.panel import owners_of
 from ..sources.views import duck, table, view
 from .registry import query, secs, text
@@ -61,8 +61,10 @@ moves AS (SELECT entity, seen_at, CASE WHEN b IS NULL THEN 'first' WHEN next_dat
 
 
 def moves(spark: SparkSession, d: str) -> DataFrame:
-    v = V(spark, d, "details").withColumn("next_date", F.when(F.col("n_rows") % 3 != 0, F.col("next_date")))
-    return events.date_moves(v)
+    """Rows of lineitem are dealt by entity before they are grouped, so that versions are put in order where they are."""
+    li = table(spark, d, "lineitem")
+    v = view(spark, d, "details", lineitem=li.repartition(joins.tasks_for(li), "l_orderkey"))
+    return events.date_moves(v.withColumn("next_date", F.when(F.col("n_rows") % 3 != 0, F.col("next_date"))))
 
 
 @query(duck("details", MOVES + " SELECT entity, CAST(epoch(seen_at) AS BIGINT) AS seen_at, kind, CAST(days AS INT) AS days FROM moves"))

@@ -45,22 +45,27 @@ def unfolded(df: DataFrame, structs: list[Column]) -> DataFrame:
 def match_rates(b: DataFrame, cases: DataFrame, reports: DataFrame) -> DataFrame:
     """(section, metric, value): how far court reports match entities by number and by case.
 
-    b: entities; cases: (entity, case_no); reports: (family, version, case_no, entity or null). Of the pending report the
-    newest version counts, of the others all. A case in lower case that would only match in upper case is counted."""
+    b: entities; cases: (entity, case_no), which may repeat; reports: (family, version, case_no, entity or null). Of the
+    pending report the newest version counts, of the others all. A case in lower case that would only match in upper case
+    is counted. Each number is counted after a step that leaves what it counts once, so no row is copied per number."""
+    tasks = joins.tasks_for(cases)
     held = held_now(b).select("entity").withColumn("held", F.lit(True))
     known = b.select("entity").withColumn("known", F.lit(True))
     pending = reports.where("family = 'pending'")
-    pend = stats.latest_rows(pending, ["family"], ["version"])
-    own = cases.withColumn("own", F.lit(True))
-    p = pend.join(known, "entity", "left").join(own, ["entity", "case_no"], "left")
-    p = p.agg(F.max("version").alias("v"), F.count("*").alias("n"), F.count("entity").alias("e"), F.count("known").alias("k"), F.count_if(F.col("known") & F.col("own")).alias("o"))
+    pend = pending.join(F.broadcast(pending.agg(F.max("version").alias("version"))), "version", "left_semi")
+    p = pend.agg(F.max("version").alias("v"), F.count("*").alias("n"), F.count("entity").alias("e"))
+    named = pend.where("entity is not null").select("entity", "case_no").repartition(tasks, "entity").join(known, "entity")
+    k = named.agg(F.count("*").alias("k"))
+    p = p.crossJoin(k).crossJoin(named.join(cases.repartition(tasks, "entity"), ["entity", "case_no"], "left_semi").agg(F.count("*").alias("o")))
     out = unfolded(p, long("pending", version=F.col("v"), rows=F.col("n"), with_entity=F.col("e"), matching=F.col("k"), matching_with_the_case=F.col("o")))
     h = held.join(pend.select("entity").distinct().withColumn("listed", F.lit(True)), "entity", "left").agg(F.count("*").alias("n"), F.count("listed").alias("l"))
     out = out.union(unfolded(h, long("held", entities=F.col("n"), pending=F.col("l"))))
     rest = reports.where("family <> 'pending'")
     distinct = rest.select("family", "case_no").distinct()
-    with_case = distinct.join(cases.join(held, "entity", "left"), "case_no", "left").groupBy("family").agg(F.count_distinct("case_no").alias("c"), F.count_distinct(F.when(F.col("entity").isNotNull(), F.col("case_no"))).alias("m"), F.count_distinct(F.when(F.col("held"), F.col("entity"))).alias("h"))
-    per = rest.groupBy("family").agg(F.count_distinct("version").alias("v"), F.count("*").alias("n")).join(with_case, "family")
+    known_case = cases.select("case_no").distinct().withColumn("own", F.lit(True))
+    with_case = distinct.join(known_case, "case_no", "left").groupBy("family").agg(F.count("case_no").alias("c"), F.count("own").alias("m"))
+    with_held = joins.listed_entities(cases, distinct, tasks).join(held, "entity", "left_semi").groupBy("family").agg(F.count("*").alias("h"))
+    per = rest.groupBy("family").agg(F.count_distinct("version").alias("v"), F.count("*").alias("n")).join(with_case, "family").join(with_held, "family", "left").fillna(0, "h")
     out = out.union(unfolded(per, long(F.col("family"), versions=F.col("v"), rows=F.col("n"), cases=F.col("c"), cases_matching=F.col("m"), held_with_a_listed_case=F.col("h"))))
     court = distinct.select("case_no").union(pend.select("case_no")).distinct()
     lower = cases.where(F.col("case_no").rlike("^[a-z]")).select("case_no").distinct()
@@ -70,7 +75,7 @@ def match_rates(b: DataFrame, cases: DataFrame, reports: DataFrame) -> DataFrame
 
 def rates(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
-    cases = li.select(F.col("l_orderkey").alias("entity"), F.concat(F.when(F.col("l_partkey") % 5 == 0, "x").otherwise("X"), F.col("l_partkey").cast("string")).alias("case_no")).distinct()
+    cases = li.select(F.col("l_orderkey").alias("entity"), F.concat(F.when(F.col("l_partkey") % 5 == 0, "x").otherwise("X"), F.col("l_partkey").cast("string")).alias("case_no"))
     r = view(spark, d, "reports").select("family", "version", F.concat(F.lit("X"), "case_no").alias("case_no"), F.when(F.col("entity") != "", F.col("entity").cast("long")).alias("entity"))
     return match_rates(bookings(spark, d), cases, r)
 

@@ -1,5 +1,6 @@
 """Rules that only show with heavy tails, long series, several writers or failing sources."""
 
+import os
 import random
 import statistics
 from datetime import date, datetime, timedelta
@@ -286,3 +287,38 @@ def test_reconciliation_has_every_class(spark):
     assert of("second only", "hold") == {"hold": 1, "no hold": 2}
     assert of("first only", "location") == {"cell": 1, "not listed": 2, "no record": 6}
     assert of("by day", "2024-03-10") == {"versions": 3, "second": 1, "held": 17, "shared": 1, "only second": 0, "second listed ended": 0, "only first": 16}
+
+
+# --- what is counted once
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_listed_entities_by_force(spark):
+    rng = random.Random(5)
+    cases = [(rng.randrange(40), str(rng.randrange(30))) for _ in range(300)] + [(99, None)]
+    listed = [(rng.choice("abc"), str(rng.randrange(60))) for _ in range(60)] * 2 + [("a", None)]
+    got = joins.listed_entities(spark.createDataFrame(cases, "entity int, case_no string"), spark.createDataFrame(listed, "family string, case_no string"), 7)
+    assert got.rdd.getNumPartitions() == 7
+    want = {(f, e) for f, c in listed for e, own in cases if c == own and c}
+    assert sorted((r.family, r.entity) for r in got.collect()) == sorted(want)
+
+
+def test_entries_of_rows_that_stand_for_several(spark):
+    rows = [("g", v, n) for v, n in ((5, 3), (1, 2), (9, 1), (None, 4), (1, 1))]
+    df = spark.createDataFrame(rows, "k string, v int, n int")
+    got = {r.share: r.value for r in stats.index_quantiles(df, ["k"], "v", (0.25, 0.5, 0.9), times="n").collect()}
+    values = [1, 1, 1, 5, 5, 5, 9]
+    assert got == {s: values[int(7 * s)] for s in got} and len(got) == 3
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no driver tables")
+def test_no_row_is_copied_per_count_and_timing_is_worked_out_once(spark):
+    from panelspark.plans import booking_queries, join_queries, linkage_queries
+
+    d = "/root/testdata/sf0.001"
+    assert "Expand" not in plan_of(join_queries.j12_case_matches(spark, d))
+    assert "Expand" not in plan_of(linkage_queries.r5_match_rates(spark, d))
+    assert "l_orderkey" not in plan_of(booking_queries.c9_event_timing(spark, d))  # reads what is stored
