@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain as joined
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +17,9 @@ from .common import drop_kept, join_small, small_batches, stored
 #: Labelled documents, and code points of them together, that the model is fitted on at most. Both bounds are dealt
 #: equally to the languages, but no language gets fewer than LEAST_DOCS documents if it has them and they are short enough.
 TRAIN_DOCS, TRAIN_CHARS, LEAST_DOCS = 1500, 1_500_000, 20
-#: Hashed features; words of one stretch of a chain; remembered words of a task; scores (words x labels) that fitting holds at once.
-FEATURES, CHAIN, REMEMBERED, FIT_SCORES = 1 << 15, 256, 150_000, 1 << 22
+#: Hashed features; words of one stretch of a chain; words after which a task forgets those it remembers; scores (words x
+#: labels) that fitting holds at once; words whose features are named together (their numbers have 10 bits).
+FEATURES, CHAIN, REMEMBERED, FIT_SCORES, NAMED = 1 << 15, 256, 150_000, 1 << 22, 1 << 10
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -32,32 +33,100 @@ def words_of(text: str) -> list[str]:
     return [part for w in found for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
-class Numbers(dict):
-    """Feature numbers by name, remembered: few n-grams and affixes make up most names. Emptied at REMEMBERED names."""
-
-    def __missing__(self, name: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        number = self[name] = zlib.crc32(name.encode()) % FEATURES
-        return number
-
+def crc_table() -> np.ndarray:
+    """What a byte does to a CRC-32 state."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, table >> 1 ^ 0xEDB88320, table >> 1).astype(np.uint32)
+    return table
+
+
+CRC = crc_table()
+
+
+def longer(state: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """CRC-32 states after the UTF-8 bytes of one more letter each."""
+    out, most = state.copy(), int(letters.max(initial=0))
+    for shift, least, beyond, lead in ((18, 0x10000, 0x110000, 0xF0), (12, 0x800, 0x10000, 0xE0), (6, 0x80, 0x800, 0xC0), (0, 0, 0x80, 0)):
+        if most < least:
+            continue
+        at = np.flatnonzero(letters >= least) if least else slice(None)
+        c = letters[at]
+        byte = np.where(c < beyond, lead | c >> shift, 0x80 | c >> shift & 0x3F) if most >= beyond else lead | c >> shift
+        out[at] = CRC[(out[at] ^ byte) & 0xFF] ^ out[at] >> 8
+    return out
+
+
+def features_of(words: list[str], lexicon: frozenset[str] = frozenset()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words in lower case, one word's after the other's, and how many each word has.
+
+    A word's names are p and its first 1 to 4 letters, s and its last 1 to 4, the n-grams of 2, then of 3, of the word
+    between < and >, and w and the word if the lexicon has it, each once, at its first place; a name's feature is its CRC-32
+    modulo FEATURES. All words' names are hashed together, a letter at a time; NAMED words at once."""
+    made = [features_of_few(words[k : k + NAMED], lexicon) for k in range(0, len(words), NAMED)]
+    return np.concatenate([np.zeros(0, np.int64), *(m[0] for m in made)]), np.concatenate([np.zeros(0, np.int64), *(m[1] for m in made)])
+
+
+def features_of_few(words: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """features_of() for 1 to NAMED words: every name has a slot, those that repeat an earlier one of the word go at the end."""
+    letters = np.frombuffer(f"<{'><'.join(words)}>".encode("utf-32-le"), np.uint32)
+    n, size = len(words), np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(size + 2)
+    first = ends - size - 2  # of <
+    slots = 2 * size + 10  # four p, four s, n-grams of 2 and of 3, w
+    base = np.cumsum(slots) - slots
+    total = int(slots.sum())
+    state, used = np.zeros(total, np.uint32), np.zeros(total, bool)
+    key = np.zeros(total, np.uint64)  # word and name, for names of two or three letters, as letters (category L) lie below 2 ** 18
+    word = np.repeat(np.arange(n, dtype=np.uint64) << np.uint64(54), slots)
+
+    def named(*name: np.ndarray | int) -> np.ndarray:
+        out = np.zeros(1, np.uint64)
+        for c in (*name, 0)[:3]:
+            out = out << np.uint64(18) | np.asarray(c).astype(np.uint64)
+        return out
 
-def word_features(word: str, lexicon: frozenset[str] = frozenset(), numbers: Numbers | None = None) -> list[int]:
-    """Hashed features of a word in lower case: affixes of 1 to 4 letters, n-grams of 2 to 3, its lexicon entry."""
-    numbers = Numbers() if numbers is None else numbers
-    marked = f"<{word}>"
-    names = [f"p{word[:k]}" for k in (1, 2, 3, 4)] + [f"s{word[-k:]}" for k in (1, 2, 3, 4)]
-    names += [marked[i : i + 2] for i in range(len(word) + 1)] + [marked[i : i + 3] for i in range(len(word))]
-    if word in lexicon:
-        names.append(f"w{word}")
-    return [*map(numbers.__getitem__, dict.fromkeys(names))]
+    start = np.full(n, 0xFFFFFFFF, np.uint32)
+    for head, slot in (("p", 0), ("s", 4)):
+        opened = longer(start, np.full(n, ord(head), np.uint32))
+        for k in range(1, 5):
+            has = np.flatnonzero(size >= k)
+            at = first[has] + 1 if head == "p" else ends[has] - 1 - k
+            now = opened[has]
+            for x in range(k):
+                now = longer(now, letters[at + x])
+            to = base[has] + slot + k - 1
+            state[to], used[to] = now, True
+            if k < 3:
+                key[to] = named(ord(head), *(letters[at + x] for x in range(k)))
+    owner = np.repeat(np.arange(n), size + 2)
+    to = np.arange(len(letters)) + (base + 8 - first)[owner]  # of the n-gram of 2 that begins at a letter
+    two = np.flatnonzero(np.arange(len(letters)) + 1 < ends[owner])
+    three = np.flatnonzero(np.arange(len(letters)) + 2 < ends[owner])
+    state_two = np.zeros(len(letters), np.uint32)
+    state_two[two] = longer(longer(np.full(len(two), 0xFFFFFFFF, np.uint32), letters[two]), letters[two + 1])
+    state[to[two]], key[to[two]] = state_two[two], named(letters[two], letters[two + 1])
+    on = to[three] + size[owner[three]] + 1
+    state[on], key[on] = longer(state_two[three], letters[three + 2]), named(letters[three], letters[three + 1], letters[three + 2])
+    used[to[two]] = used[on] = True
+    for i, w in enumerate(words):
+        if w in lexicon:
+            state[base[i] + slots[i] - 1], used[base[i] + slots[i] - 1] = zlib.crc32(f"w{w}".encode()) ^ 0xFFFFFFFF, True
+    short = np.flatnonzero(key)
+    names = key[short] | word[short]
+    order = np.argsort(names)
+    names = names[order]
+    runs = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+    used[short] = False
+    used[short[np.minimum.reduceat(order, runs)]] = True
+    return ((state[used] ^ 0xFFFFFFFF) % FEATURES).astype(np.int64), np.add.reduceat(used, base, dtype=np.int64)
 
 
 class Crf:
     """Scores of labels for words (sums of feature weights) and of label transitions."""
 
     def __init__(self, labels: list[str], lexicon: frozenset[str] = frozenset()):
-        self.labels, self.lexicon, self.numbers = labels, lexicon, Numbers()
+        self.labels, self.lexicon = labels, lexicon
         self.weights = np.zeros((FEATURES + 1, len(labels)))  # the last row pads
         self.transitions = np.zeros((len(labels), len(labels)))
 
@@ -65,19 +134,14 @@ class Crf:
         """Scores (words x labels); the mean over a word's features keeps long words from weighing more."""
         if not words:
             return np.zeros((0, len(self.labels)))
-        found = [word_features(w, self.lexicon, self.numbers) for w in words]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(joined.from_iterable(found), np.int64, int(sizes.sum()))
+        flat, sizes = features_of(words, self.lexicon)
         return np.add.reduceat(self.weights[flat], np.concatenate(([0], np.cumsum(sizes)[:-1])), axis=0) / np.sqrt(sizes)[:, None]
 
     def moves(self) -> np.ndarray:
         return np.exp(self.transitions - self.transitions.max())
 
-    def forward_backward(self, scores: np.ndarray, lengths: np.ndarray, before: np.ndarray | None = None, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
-        """Marginals of labels, summed marginals of transitions, log likelihood of all chains' normalisers.
-
-        before and after (chains x labels): messages from what a chain goes on from and what goes on after it, for
-        stretches of longer chains; without them chains stand alone."""
+    def forward_backward(self, scores: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Marginals of labels, summed marginals of transitions, log likelihood of all chains' normalisers."""
         n, steps, k = scores.shape
         move = self.moves()
         top = scores.max(2, keepdims=True)
@@ -85,13 +149,13 @@ class Crf:
         live = np.arange(steps)[None, :] < lengths[:, None]
         ahead = np.empty_like(seen)
         scale = np.ones((n, steps))
-        a = seen[:, 0] if before is None else seen[:, 0] * before
+        a = seen[:, 0]
         for t in range(steps):
             if t:
                 a = (ahead[:, t - 1] @ move) * seen[:, t]
             scale[:, t] = np.where(live[:, t], a.sum(1), 1.0)
             ahead[:, t] = np.where(live[:, t, None], a / scale[:, t, None], ahead[:, t - 1] if t else a)
-        last = np.ones((n, k)) if after is None else after
+        last = np.ones((n, k))
         back = last
         out = np.empty_like(seen)
         pairs = np.zeros((k, k))
@@ -102,21 +166,39 @@ class Crf:
             pairs += np.einsum("ni,nj->ij", ahead[inner, t], moved[inner]) * move
             back = np.where(inner[:, None], moved @ move.T, last)
             out[:, t] = ahead[:, t] * back
-        if after is not None:
-            out /= out.sum(2, keepdims=True)
         return out, pairs, float((np.log(scale) * live).sum() + (top[:, :, 0] * live).sum() + self.transitions.max() * (lengths - 1).sum())
 
-    def transfers(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """What each stretch does to messages (stretches x labels x labels, up to a factor): the product of its words'
-        weights and the transitions between them."""
+    def marginals(self, seen: np.ndarray, going: list[int], before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Marginals of labels (steps x labels x chains) of stretches of chains, longest first, from their words' weights.
+
+        going: how many stretches have a step; before and after (labels x chains): messages from what a stretch goes on
+        from and what goes on after it."""
+        move, ahead = self.moves(), np.zeros_like(seen)
+        scale = np.ones((len(seen), seen.shape[2]))
+        a = seen[0] * before
+        for t, n in enumerate(going):
+            if t:
+                a = (move.T @ ahead[t - 1, :, :n]) * seen[t, :, :n]
+            a.sum(0, out=scale[t, :n])
+            np.divide(a, scale[t, :n], out=ahead[t, :, :n])
+        back = after.copy()
+        ahead[-1] *= back
+        for t in range(len(seen) - 2, -1, -1):
+            n = going[t + 1]
+            back[:, :n] = move @ (seen[t + 1, :, :n] * back[:, :n] / scale[t + 1, :n])
+            ahead[t] *= back
+        ahead /= np.maximum(ahead.sum(1, keepdims=True), np.finfo(float).tiny)
+        return ahead
+
+    def transfers(self, seen: np.ndarray, going: list[int]) -> np.ndarray:
+        """What each stretch does to messages (labels x labels x stretches, up to a factor): the product of its words'
+        weights and the transitions between them. Arguments as in marginals()."""
         move = self.moves()
-        seen = np.exp(scores - scores.max(2, keepdims=True))
-        k = scores.shape[2]
-        out = np.eye(k) * seen[:, 0, None, :]
-        for t in range(1, scores.shape[1]):
-            n = int(np.searchsorted(-lengths, -t))  # longest first: those that have a step t
-            now = (out[:n].reshape(-1, k) @ move).reshape(n, k, k) * seen[:n, t, None, :]
-            out[:n] = now if t % 16 else now / now.sum((1, 2), keepdims=True)
+        out = np.eye(seen.shape[1])[:, :, None] * seen[0]
+        for t, n in enumerate(going):
+            if t:
+                now = (move.T @ out[:, :, :n]) * seen[t, :, :n]
+                out[:, :, :n] = now if t % 16 else now / now.sum((0, 1))
         return out
 
 
@@ -133,11 +215,8 @@ def fit_crf(samples: list[tuple[str, list[str]]], rounds: int = 60, chain: int =
             counts[w] = counts.get(w, 0) + 1
     model = Crf(labels, frozenset(w for w, n in counts.items() if n >= 5))
     vocabulary = {w: i for i, w in enumerate(counts)}
-    numbers = Numbers()
-    feats = [word_features(w, model.lexicon, numbers) for w in vocabulary]
-    sizes = np.fromiter(map(len, feats), np.int64, len(feats))
-    flat = np.fromiter(joined.from_iterable(feats), np.int64, int(sizes.sum()))
-    owner = np.repeat(np.arange(len(feats)), sizes)
+    flat, sizes = features_of([*vocabulary], model.lexicon)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     damp = 1 / np.sqrt(sizes)
     runs = []
     for lang, words in samples:
@@ -189,26 +268,24 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
     Chains are taken in stretches of `chain` words at once, and the messages are carried over the places where they
     meet: first what each stretch of a longer text does to a message, then the messages, then the marginals."""
     words = [words_of(t or "") for t in texts]
-    new = list({w for ws in words for w in ws} - known.keys())
-    if len(known) + len(new) > REMEMBERED:
+    if len(known) > REMEMBERED:
         known.clear()
         table.clear()
-        new = list({w for ws in words for w in ws})
-    base = sum(len(x) for x in table)
-    known.update(zip(new, range(base, base + len(new)), strict=True))
+    had, put, size = len(known), known.setdefault, known.__len__
+    numbers = [np.array([put(w, size()) for w in ws], np.int64) for ws in words]
+    new = [*islice(known, had, None)]
     made = [model.emissions(new[k : k + 4096]).astype(np.float32) for k in range(0, len(new), 4096)]
     table[:] = [np.concatenate([*table, *made])] if new else table
     owner, rows = [], []
-    for i, ws in enumerate(words):
-        if ws:
-            row = np.fromiter(map(known.__getitem__, ws), np.int64, len(ws))
-            for at in range(0, len(ws), chain):
-                owner.append(i)
-                rows.append(row[at : at + chain])
+    for i, row in enumerate(numbers):
+        for at in range(0, len(row), chain):
+            owner.append(i)
+            rows.append(row[at : at + chain])
     k = len(model.labels)
-    before, after = np.ones((len(rows), k)), np.ones((len(rows), k))
+    before, after = np.ones((k, len(rows))), np.ones((k, len(rows)))
 
-    def grids(which: list[int]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    def grids(which: list[int]) -> Iterator[tuple[list[int], np.ndarray, list[int]]]:
+        """Stretches, longest first, their words' weights (steps x labels x stretches), and how many have each step."""
         order = sorted(which, key=lambda j: -len(rows[j]))
         for at in range(0, len(order), 512):
             part = order[at : at + 512]
@@ -216,25 +293,26 @@ def tag_batch(model: Crf, texts: list[str | None], known: dict[str, int], table:
             grid = np.zeros((len(part), int(lengths[0])), np.int64)
             for x, j in enumerate(part):
                 grid[x, : len(rows[j])] = rows[j]
-            yield part, table[0][grid].astype(np.float64), lengths
+            scores = np.ascontiguousarray(table[0][grid.T].transpose(0, 2, 1), np.float64)
+            yield part, np.exp(scores - scores.max(1, keepdims=True)), np.searchsorted(-lengths, -np.arange(grid.shape[1])).tolist()
 
     several = [j for j in range(len(rows)) if j and owner[j - 1] == owner[j] or j + 1 < len(rows) and owner[j + 1] == owner[j]]
     if several:
         does: dict[int, np.ndarray] = {}
-        for part, scores, lengths in grids(several):
-            does.update(zip(part, model.transfers(scores, lengths), strict=True))
+        for part, seen, going in grids(several):
+            does.update(zip(part, model.transfers(seen, going).transpose(2, 0, 1), strict=True))
         move = model.moves()
         for j in several:
             if j + 1 in does and owner[j + 1] == owner[j]:
-                m = (before[j] @ does[j]) @ move
-                before[j + 1] = m / m.sum()
+                m = (before[:, j] @ does[j]) @ move
+                before[:, j + 1] = m / m.sum()
         for j in reversed(several):
             if j - 1 in does and owner[j - 1] == owner[j]:
-                m = move @ (does[j] @ after[j])
-                after[j - 1] = m / m.sum()
+                m = move @ (does[j] @ after[:, j])
+                after[:, j - 1] = m / m.sum()
     done: list[np.ndarray | None] = [None] * len(rows)
-    for part, scores, lengths in grids(list(range(len(rows)))):
-        got = model.forward_backward(scores, lengths, before[part], after[part])[0]
+    for part, seen, going in grids(list(range(len(rows)))):
+        got = np.ascontiguousarray(model.marginals(seen, going, before[:, part], after[:, part]).transpose(2, 0, 1))
         for x, j in enumerate(part):
             done[j] = got[x, : len(rows[j])]
     at = 0

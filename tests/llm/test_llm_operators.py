@@ -5,6 +5,7 @@ import os
 import random
 import re
 import struct
+import sys
 import time
 import zlib
 
@@ -626,6 +627,42 @@ def test_messages_are_carried_over_stretches(chain):
         assert np.allclose(marginal, model.forward_backward(scores, np.array([scores.shape[1]]))[0][0])
 
 
+def test_features_of_words_are_those_of_their_names():
+    def by_force(word, lexicon):
+        marked = f"<{word}>"
+        names = [f"p{word[:k]}" for k in (1, 2, 3, 4)] + [f"s{word[-k:]}" for k in (1, 2, 3, 4)]
+        names += [marked[i : i + 2] for i in range(len(word) + 1)] + [marked[i : i + 3] for i in range(len(word))]
+        return [zlib.crc32(n.encode()) % language_id.FEATURES for n in dict.fromkeys(names + [f"w{word}"] * (word in lexicon))]
+
+    rng = random.Random(5)
+    alphabets = ["ab", "pswab", "abcdefghij\u00e9\u00df\u0436", "\u4e00\u4e8c\u0e01\U00010400\U000323af"]
+    words = list({"".join(rng.choice(a) for _ in range(rng.randint(1, 9))) for a in alphabets for _ in range(1200)} | {"a" * 5000, "banana", "papa", "sas"})
+    lexicon = frozenset(rng.sample(words, 300))
+    flat, sizes = language_id.features_of(words, lexicon)
+    want = [by_force(w, lexicon) for w in words]
+    assert len(words) > 2 * language_id.NAMED and sizes.tolist() == [*map(len, want)] and flat.tolist() == [x for w in want for x in w]
+    assert [len(x) for x in language_id.features_of([])] == [0, 0]
+
+
+def test_new_words_are_scored_together():
+    """Scoring words never met makes no Python or numpy call for each of them."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(8000)]
+    model, calls = language_id.Crf(["a", "b"]), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    model.emissions(words[:10])
+    sys.setprofile(count)
+    try:
+        model.emissions(words)
+    finally:
+        sys.setprofile(None)
+    assert calls < len(words)
+
+
 # --- 9 repeats
 
 
